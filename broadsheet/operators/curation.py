@@ -8,20 +8,19 @@ through ``match_rules``, an equi-join on words.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..plans.ordered import first_rows
+from ..plans.ordered import first_rows, once
 
 MUST_WATCH = 0
 DIGEST_CAP = 30
 MIN_SECTION_ITEMS = 2
 MIN_COMPANIES = 2
-_WORD = r"[\p{L}\p{N}]"
 
 
 @dataclass(frozen=True)
@@ -69,34 +68,73 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
 
 
-def term_count(text: Column, terms: Sequence[str]) -> Column:
-    """How often any of the terms occurs as whole words, ignoring case.
+def word_line(text: Column) -> Column:
+    """Words of a text on one line, each with a blank on both sides.
+
+    Made once per row; every term is then found by plain substring search.
+    """
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", "  "), F.lit(" "))
+
+
+def term_count(line: Column, terms: Sequence[str]) -> Column:
+    """How often the terms occur in a ``word_line``, as whole words, ignoring case.
 
     A term of several words matches across any run of separators.
     """
-    phrases = [r"[^\p{L}\p{N}]+".join(re.escape(w) for w in re.split(r"\W+", t.lower()) if w) for t in terms]
-    alternatives = "|".join(sorted(phrases, key=len, reverse=True))
-    return F.regexp_count(F.lower(text), F.lit(rf"(?<!{_WORD})(?:{alternatives})(?!{_WORD})"))
+    total = F.lit(0)
+    for term in terms:
+        needle = " " + "  ".join(w for w in re.split(r"[\W_]+", term.lower()) if w) + " "
+        gone = F.length(line) - F.length(F.replace(line, F.lit(needle), F.lit("")))
+        total = total + F.floor(gone / F.lit(len(needle)))
+    return total.cast("bigint")
 
 
 def article_text(title: Column, summary: Column) -> Column:
     return F.concat(F.coalesce(title, F.lit("")), F.lit("\n"), F.coalesce(summary, F.lit("")))
 
 
-def tag(articles: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``topics``: ``array<struct<topic, tier, n_hits>>`` of the topics an article touches."""
-    text = article_text(F.col("title"), F.col("summary"))
+def _with_line(articles: DataFrame) -> DataFrame:
+    return once(articles, "_line", word_line(article_text(F.col("title"), F.col("summary"))))
+
+
+def tag(
+    articles: DataFrame, rules: Sequence[Rule], skip: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """Add ``topics``: ``array<struct<topic, tier, n_hits>>`` of the topics an article touches.
+
+    ``skip`` holds terms that take a single topic away from an article; the
+    must-watch topic is never taken away.
+    """
+    line = F.col("_line")
     groups: dict[tuple[str, int], list[str]] = {}
     for rule in rules:
         groups.setdefault((rule.topic, rule.tier), []).append(rule.term)
+
+    def hits(topic: str, tier: int, terms: list[str]) -> Column:
+        n = term_count(line, terms)
+        unwanted = (skip or {}).get(topic)
+        if unwanted and tier != MUST_WATCH:
+            return F.when(term_count(line, unwanted) == 0, n).otherwise(F.lit(0).cast("bigint"))
+        return n
+
     found = F.array(*[
-        F.struct(
-            F.lit(topic).alias("topic"), F.lit(tier).alias("tier"),
-            term_count(text, terms).cast("bigint").alias("n_hits"),
-        )
+        F.struct(F.lit(topic).alias("topic"), F.lit(tier).alias("tier"), hits(topic, tier, terms).alias("n_hits"))
         for (topic, tier), terms in groups.items()
     ])
-    return articles.withColumn("topics", F.filter(found, lambda t: t["n_hits"] > 0))
+    return once(_with_line(articles), "topics", F.filter(found, lambda t: t["n_hits"] > 0)).drop("_line")
+
+
+def exclude(articles: DataFrame, strict: Sequence[str], rules: Sequence[Rule] = ()) -> DataFrame:
+    """Drop articles with a strictly excluded term, unless a must-watch rule claims them.
+
+    Works on the text alone, so it runs before tagging and before any shuffle.
+    """
+    watched = [r.term for r in rules if r.tier == MUST_WATCH]
+    line = F.col("_line")
+    keep = term_count(line, strict) == 0
+    if watched:
+        keep = keep | (term_count(line, watched) > 0)
+    return _with_line(articles).filter(keep).drop("_line")
 
 
 def topic_rows(tagged: DataFrame) -> DataFrame:
@@ -133,30 +171,15 @@ def score(tagged: DataFrame) -> DataFrame:
     best = F.array_min(F.transform(
         topics, lambda t: F.struct(t["tier"].alias("tier"), (-t["n_hits"]).alias("neg"), t["topic"].alias("topic"))
     ))
-    return tagged.withColumns({
-        "best_tier": best["tier"],
-        "lead_topic": best["topic"],
+    scored = tagged.withColumns({
+        "_best": best,
         "n_hits": F.aggregate(topics, F.lit(0).cast("bigint"), lambda a, t: a + t["n_hits"]),
-        "must_watch": F.exists(topics, lambda t: t["tier"] == MUST_WATCH),
     })
-
-
-def _unless(topic: str, skipped: Column):
-    return lambda t: ~(skipped & (t["topic"] == topic) & (t["tier"] != MUST_WATCH))
-
-
-def exclude(tagged: DataFrame, strict: Sequence[str], skip: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """Drop articles with a strictly excluded term; drop single topics by their skip terms.
-
-    A must-watch article is never dropped, and its must-watch topic stays.
-    """
-    text = article_text(F.col("title"), F.col("summary"))
-    topics = F.col("topics")
-    for topic, terms in (skip or {}).items():
-        topics = F.filter(topics, _unless(topic, term_count(text, terms) > 0))
-    kept = tagged.withColumn("topics", topics)
-    watched = F.exists("topics", lambda t: t["tier"] == MUST_WATCH)
-    return kept.filter(watched | (term_count(text, strict) == 0)) if strict else kept
+    return scored.withColumns({
+        "best_tier": F.col("_best.tier"),
+        "lead_topic": F.col("_best.topic"),
+        "must_watch": F.coalesce(F.col("_best.tier") == MUST_WATCH, F.lit(False)),
+    }).drop("_best")
 
 
 def story_key(title: Column) -> Column:
@@ -186,12 +209,10 @@ def best_per_story(scored: DataFrame, digest: Sequence[str] = (), quality: str |
 
 def route(scored: DataFrame, sections: Sequence[Section] = SECTIONS) -> DataFrame:
     """Add section and its position by leading topic; articles without a section go."""
-    place, name = F.lit(None).cast("int"), F.lit(None).cast("string")
-    for i, section in enumerate(sections):
-        hit = F.col("lead_topic").isin(*section.topics)
-        place = F.when(hit, F.lit(i)).otherwise(place)
-        name = F.when(hit, F.lit(section.name)).otherwise(name)
-    return scored.withColumns({"section_ord": place, "section": name}).filter(F.col("section").isNotNull())
+    places = F.create_map(*[F.lit(x) for i, s in enumerate(sections) for topic in s.topics for x in (topic, i)])
+    names = F.array(*[F.lit(s.name) for s in sections])
+    placed = scored.withColumn("section_ord", F.try_element_at(places, F.col("lead_topic")))
+    return placed.filter(F.col("section_ord").isNotNull()).withColumn("section", F.get(names, F.col("section_ord")))
 
 
 def apply_quotas(
@@ -207,10 +228,8 @@ def apply_quotas(
     head = first_rows(
         regular, [*digest, "section"], priority_order(), max([s.cap or total for s in sections]), rank="_place"
     )
-    cap = F.lit(total)
-    for section in sections:
-        if section.cap is not None:
-            cap = F.when(F.col("section") == section.name, F.lit(section.cap)).otherwise(cap)
+    caps = F.array(*[F.lit(s.cap or total) for s in sections])
+    cap = F.get(caps, F.col("section_ord"))
     capped = head.filter(F.col("_place") <= cap).drop("_place")
     filled = capped.groupBy(*digest, "section").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_items)
     kept = capped.join(filled.drop("_n"), [*digest, "section"], "left_semi")
@@ -223,15 +242,14 @@ def mentions(articles: DataFrame, entities: Sequence[tuple[str, str]], digest: S
 
     ``entities`` are pairs of canonical name and term.
     """
-    text = article_text(F.col("title"), F.col("summary"))
     names: dict[str, list[str]] = {}
     for name, term in entities:
         names.setdefault(name, []).append(term)
     present = F.filter(
-        F.array(*[F.when(term_count(text, terms) > 0, F.lit(n)) for n, terms in names.items()]),
+        F.array(*[F.when(term_count(F.col("_line"), terms) > 0, F.lit(n)) for n, terms in names.items()]),
         lambda n: n.isNotNull(),
     )
-    rows = articles.select(*digest, F.explode(present).alias("entity"))
+    rows = _with_line(articles).select(*digest, F.explode(present).alias("entity"))
     counts = rows.groupBy(*digest, "entity").agg(F.count("*").alias("n_articles"))
     wide = counts.groupBy(*digest).agg(F.count("*").alias("_n")).filter(F.col("_n") >= MIN_COMPANIES)
     return counts.join(wide.drop("_n"), list(digest), "left_semi")

@@ -676,7 +676,7 @@ def int3_must_watch(t: Tables) -> DataFrame:
 
 
 def _scored(t: Tables) -> DataFrame:
-    return U.score(U.exclude(_tagged(t), STRICT, SKIP))
+    return U.score(U.tag(U.exclude(t.articles(), STRICT, RULES), RULES, SKIP))
 
 
 @query
@@ -784,10 +784,11 @@ def str4_bounded_dedup(t: Tables) -> DataFrame:
 
 @query
 def str5_thread_state(t: Tables) -> DataFrame:
+    """Threads of landed drops, inserted once per link."""
     rows, path = _drops(t)
-    out = scratch_path(t.spark, "threads")
-    jobs.threads_stream(jobs.landed(t.spark, path, rows.schema), out)
-    return t.spark.read.parquet(out).select("link", "title", "source")
+    log = StateLog(t.spark, scratch_path(t.spark, "threads"))
+    jobs.threads_stream(jobs.landed(t.spark, path, rows.schema), log, lambda _: AS_OF)
+    return log.threads(2**31, AS_OF).select("url", "title", "subreddit")
 
 
 @query

@@ -636,8 +636,7 @@ SELECT article_key, source, published, feed_pos FROM articles WHERE published IS
 oracle("str3_exact_dedup", "articles", "SELECT DISTINCT article_key, title, link FROM articles")
 oracle("str4_bounded_dedup", "", f"SELECT DISTINCT {key('event_type', 'CAST(user_id AS VARCHAR)')} AS article_key FROM events")
 oracle("str5_thread_state", "articles", """
-SELECT link, title, source FROM articles WHERE source IN ('src3', 'src7')
-QUALIFY row_number() OVER (PARTITION BY link ORDER BY feed_ord DESC, feed_pos DESC) = 1""")
+SELECT DISTINCT link AS url, title, source AS subreddit FROM articles WHERE source IN ('src3', 'src7')""")
 oracle("str6_signal_state", "signals", """
 SELECT id, batch, date, lane, severity FROM (
   SELECT * FROM signals QUALIFY row_number() OVER (PARTITION BY id ORDER BY payload_seq DESC, pos DESC) = 1)

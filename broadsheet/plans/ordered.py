@@ -74,6 +74,17 @@ def previous_value(
     return joined.select(*df.columns, F.coalesce(out, "_carried").alias(out))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    The optimizer rewrites a filter on a derived column by repeating its whole
+    expression below the projection. A one-element explode keeps the filter above
+    the value, still inside code generation and without a shuffle.
+    """
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode(F.array(value)).alias(name))
+
+
 def first_rows(
     df: DataFrame, group: Sequence[str], order: Sequence[Column | str], n: int, rank: str | None = None
 ) -> DataFrame:

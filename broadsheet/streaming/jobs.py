@@ -7,15 +7,17 @@ output. Checkpoints live in the shared scratch folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import articles as A
+from ..operators import state as S
 from ..plans.daily import StateLog, run_daily, run_sweep_merge
+from ..plans.ordered import last_wins
+from ..plans.skew import member_join
 from ..session import scratch_path
 
 
@@ -95,35 +97,18 @@ def silent_sources(counts: DataFrame, sources: Sequence[str]) -> DataFrame:
     return expected.join(counts, ["day", "source"], "left_anti")
 
 
-class FirstSeen(StatefulProcessor):
-    """Keeps the row that first brings a key for a time; later rows of a live key are dropped.
+def threads_stream(stream: DataFrame, log: StateLog, as_of: Callable[[int], str]) -> None:
+    """Insert-if-absent per link with a lifetime: every batch adds the links the log does not hold.
 
-    Of duplicates that arrive together the last in feed order is kept.
+    Of new duplicates the last in feed order is kept; a link comes back once its
+    entry has outlived the retention.
     """
-
-    def __init__(self, value_schema: T.StructType, ttl_ms: int):
-        self.value_schema = value_schema
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("seen", T.BooleanType())]), self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator, timerValues) -> Iterator:
-        if self.seen.exists():
-            return
-        built = max(rows, key=lambda r: (r["feed_ord"], r["feed_pos"]))
-        self.seen.update((True,))
-        yield built
-
-    def close(self) -> None:
-        pass
-
-
-def threads_stream(stream: DataFrame, out: str, ttl_ms: int = 7 * 24 * 3600 * 1000) -> None:
-    """Insert-if-absent per link with a state lifetime, kept in the state store."""
-    schema = stream.schema
-    first = (
-        A.thread_articles(stream).groupBy("link")
-        .transformWithState(FirstSeen(schema, ttl_ms), schema, "append", "processingTime")
-    )
-    _run(first, "threads", lambda w: w.format("parquet").option("path", out).outputMode("append"))
+    def batch(df: DataFrame, batch_id: int) -> None:
+        now = as_of(batch_id)
+        known = log.threads(batch_id, now).select(F.col("url").alias("link"))
+        fresh = member_join(A.thread_articles(df), known, "link", "left_anti")
+        latest = last_wins(fresh, ["link"], F.struct("feed_ord", "feed_pos"))
+        log.write(S.build_threads(latest, now), "threads", batch_id)
+        log.commit(batch_id)
+
+    _run(stream, "threads", lambda w: w.foreachBatch(batch))
