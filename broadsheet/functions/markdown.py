@@ -55,9 +55,8 @@ def list_states(classes: Column) -> Column:
     return F.regexp_replace(classes, r"(?:\G(?!^)|(?=b))[bn]", "1")
 
 
-def _render_lines(content: Column) -> Column:
-    lines = F.split(content, "\n", -1)
-    classes = line_classes(lines)
+def render_lines(content: Column, classes: Column) -> Column:
+    """Lines with list tags, items and paragraphs in place."""
     states = list_states(classes)
     before = F.concat(F.lit("0"), F.substr(states, F.lit(1), F.length(states) - 1))
     # Per line: its class letter and the state in front of it, as a two-letter code.
@@ -80,7 +79,11 @@ def _render_lines(content: Column) -> Column:
         return F.concat(lead, body)
 
     closing = F.when(F.endswith(states, F.lit("1")), F.lit("\n</ul>")).otherwise(F.lit(""))
-    return F.concat(F.array_join(F.zip_with(lines, codes, render), "\n"), closing)
+    return F.concat(F.array_join(F.zip_with(split_lines(content), codes, render), "\n"), closing)
+
+
+def split_lines(content: Column) -> Column:
+    return F.split(content, "\n", -1)
 
 
 def is_html(content: Column) -> Column:
@@ -92,18 +95,15 @@ def is_html(content: Column) -> Column:
     )
 
 
-def markdown_to_html(c: Column) -> Column:
-    """HTML stays as it is but for bold and links; anything else is converted in full."""
-    content = unfence(c)
-    return F.when(is_html(content), _links(_bold(content))).otherwise(_render_lines(inline_markup(content)))
+def marked_up(content: Column) -> Column:
+    """Inline markup of an unfenced reply. HTML only gets bold and links."""
+    return F.when(is_html(content), _links(_bold(content))).otherwise(inline_markup(content))
 
 
-def markdown_line_states(c: Column) -> Column:
-    """``array<struct<line, in_list>>`` of a markdown reply; null for one that is HTML."""
-    content = unfence(c)
-    lines = F.split(inline_markup(content), "\n", -1)
-    flags = F.split(list_states(line_classes(lines)), "")
-    states = F.zip_with(
-        lines, flags, lambda line, s: F.struct(line.alias("line"), (s == "1").alias("in_list"))
+def line_states(content: Column, classes: Column) -> Column:
+    """``array<struct<line, in_list>>`` of a marked-up text."""
+    flags = F.split(list_states(classes), "")
+    return F.zip_with(
+        split_lines(content), flags,
+        lambda line, s: F.struct(line.alias("line"), (s == "1").alias("in_list")),
     )
-    return F.when(~is_html(content), states)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import markdown as M
 from ..functions.html import html_to_text, link_texts, section_topics
-from ..functions.markdown import markdown_line_states, markdown_to_html
 from ..functions.text import join_text_blocks, length_budget, strip_reasoning
+from ..plans.ordered import once
 
 
 def page_text(pages: DataFrame, html: str = "html", separator: str = "\n") -> DataFrame:
@@ -15,14 +16,23 @@ def page_text(pages: DataFrame, html: str = "html", separator: str = "\n") -> Da
     return pages.withColumn("text", html_to_text(F.col(html), separator)).drop(html)
 
 
+def _marked_up(replies: DataFrame, content: str) -> DataFrame:
+    """Each step of the conversion feeds several uses of the next, so each is made once."""
+    rows = once(replies, "_c", M.unfence(F.col(content)))
+    rows = once(rows, "_m", M.marked_up(F.col("_c")))
+    return once(rows, "_k", F.when(~M.is_html(F.col("_c")), M.line_classes(M.split_lines(F.col("_m")))))
+
+
 def digest_html(replies: DataFrame, content: str = "content") -> DataFrame:
-    """Replies normalized to HTML."""
-    return replies.withColumn("html", markdown_to_html(F.col(content))).drop(content)
+    """Replies normalized to HTML: HTML stays, markdown is converted in full."""
+    html = F.when(F.col("_k").isNull(), F.col("_m")).otherwise(M.render_lines(F.col("_m"), F.col("_k")))
+    return _marked_up(replies, content).withColumn("html", html).drop(content, "_c", "_m", "_k")
 
 
 def list_state(replies: DataFrame, key: str, content: str = "content") -> DataFrame:
-    """Per line of a markdown reply: is the line inside a list."""
-    lines = replies.select(key, F.posexplode(markdown_line_states(F.col(content))).alias("line_no", "_l"))
+    """Per line of a markdown reply: is the line inside a list. Replies in HTML have no lines."""
+    rows = _marked_up(replies.select(key, content), content).filter(F.col("_k").isNotNull())
+    lines = rows.select(key, F.posexplode(M.line_states(F.col("_m"), F.col("_k"))).alias("line_no", "_l"))
     return lines.select(key, "line_no", F.col("_l.line").alias("line"), F.col("_l.in_list").alias("in_list"))
 
 

@@ -277,17 +277,19 @@ def jn3_uncached_threads(t: Tables) -> DataFrame:
     return S.uncached_threads(run, t.threads(), ["run"], 2**31 - 1, split_hot=True).select("article_key", "link", "feed_pos")
 
 
-def _current_and_prior(t: Tables) -> tuple[DataFrame, DataFrame]:
-    signals = t.signals()
-    return signals.filter(F.col("batch") == LAST_BATCH), signals.filter(F.col("batch") < LAST_BATCH)
+def _signal_table(t: Tables) -> DataFrame:
+    """Signals as the stored history they are: written once, then read by every use."""
+    path = scratch_path(t.spark, "signals")
+    t.signals().write.parquet(path)
+    return t.spark.read.parquet(path)
 
 
 @query
 def jn4_fresh_signals(t: Tables) -> DataFrame:
-    current, prior = _current_and_prior(t)
-    fresh = G.fresh_signals(current, prior, split_hot=True).select("id", "lane", "subject", F.lit("fresh").alias("state"))
-    again = G.repeat_signals(current, prior, split_hot=True).select("id", "lane", "subject", F.lit("repeat").alias("state"))
-    return fresh.unionByName(again)
+    signals = _signal_table(t)
+    current, prior = signals.filter(F.col("batch") == LAST_BATCH), signals.filter(F.col("batch") < LAST_BATCH)
+    state = F.when(F.col("is_repeat"), "repeat").otherwise("fresh")
+    return G.mark_repeats(current, prior, split_hot=True).select("id", "lane", "subject", state.alias("state"))
 
 
 @query
@@ -481,7 +483,7 @@ def set3_ordered_distinct(t: Tables) -> DataFrame:
 
 @query
 def sig5_merge_signals(t: Tables) -> DataFrame:
-    signals = t.signals()
+    signals = _signal_table(t)
     old = F.col("batch") < "2024-01-22"
     merged = S.merge_signals(signals.filter(old), signals.filter(~old), SWEEP_AS_OF)
     return merged.select("id", "batch", "date", "lane", "severity", "summary", F.col("first_seen.seq.payload_seq").alias("first_seq"))
@@ -529,9 +531,10 @@ def sig1_normalize(t: Tables) -> DataFrame:
 
 @query
 def sig2_section(t: Tables) -> DataFrame:
-    current, prior = _current_and_prior(t)
-    errors = G.funnel(t.payloads(), t.signals().limit(0)).filter(F.col("n_failed") > 0)
-    return G.render_sections(t.signals(), G.repeat_signals(current, prior), errors)
+    signals = _signal_table(t)
+    current, prior = signals.filter(F.col("batch") == LAST_BATCH), signals.filter(F.col("batch") < LAST_BATCH)
+    errors = G.funnel(t.payloads(), signals.limit(0)).filter(F.col("n_failed") > 0)
+    return G.render_sections(signals, G.repeat_signals(current, prior), errors)
 
 
 @query

@@ -9,6 +9,8 @@ shuffled join, and each of them holds less than 1/HOT_KEYS of the rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +27,27 @@ def member_join(left: DataFrame, right: DataFrame, key: str, how: str, split_hot
     """``left_semi`` or ``left_anti`` of ``left`` against the keys of ``right``."""
     if how not in ("left_semi", "left_anti"):
         raise ValueError("how must be left_semi or left_anti")
-    keys = right.select(key)
+    return _split(left, right.select(key), key, split_hot, lambda rows, keys: rows.join(keys, key, how))
+
+
+def mark_members(left: DataFrame, right: DataFrame, key: str, out: str, split_hot: bool = False) -> DataFrame:
+    """All rows of ``left`` with a flag: is the key in ``right``. One join answers both ways."""
+    def flag(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        joined = rows.join(keys.distinct().withColumn(out, F.lit(True)), key, "left")
+        return joined.withColumn(out, F.coalesce(out, F.lit(False)))
+
+    return _split(left, right.select(key), key, split_hot, flag)
+
+
+def _split(
+    left: DataFrame, keys: DataFrame, key: str, split_hot: bool, join: Callable[[DataFrame, DataFrame], DataFrame]
+) -> DataFrame:
     if not split_hot:
-        return left.join(keys, key, how)
+        return join(left, keys)
     hot = hot_keys(left, key)
     marked = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     hot_members = keys.join(F.broadcast(hot), key, "left_semi").distinct().limit(HOT_KEYS)
-    few = marked.filter(F.col("_hot")).drop("_hot").join(F.broadcast(hot_members), key, how)
-    rest = marked.filter(F.col("_hot").isNull()).drop("_hot").join(keys.distinct(), key, how)
+    few = marked.filter(F.col("_hot")).drop("_hot")
+    rest = marked.filter(F.col("_hot").isNull()).drop("_hot")
+    few, rest = join(few, F.broadcast(hot_members)), join(rest, keys.distinct())
     return few.unionByName(rest)
