@@ -59,7 +59,7 @@ def src1_feed_items(t: Tables) -> DataFrame:
         F.when(F.col("published") != "soon", F.col("published")).otherwise(F.col("updated")).alias("pubDate"), "feed_pos",
     )
     landed.write.format("xml").option("rowTag", "item").option("rootTag", "channel").partitionBy("source").save(path)
-    read = scans.of_feeds(scans.rss_items(t.spark, path), t.feeds())
+    read = scans.of_feeds(scans.rss_items(t.spark, path, numbered=True), t.feeds())
     return A.items_to_articles(read).select("title", "link", "source", "published", "feed_ord", "feed_pos", F.length("summary").alias("n_summary"))
 
 

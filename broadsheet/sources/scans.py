@@ -11,14 +11,12 @@ from .. import schemas
 from ..functions.times import from_epoch
 from ..operators.articles import STORY_FEED_ORD, STORY_SOURCE
 
-_RSS_ITEM = schemas.shape("title link description pubDate _broken", feed_pos=schemas.LONG)
-_ATOM_ENTRY = schemas.shape(
-    "title summary published updated _broken", link=schemas.shape("_href"), feed_pos=schemas.LONG
-)
+_RSS = schemas.shape("title link description pubDate _broken", feed_pos=schemas.LONG)
+_ATOM = schemas.shape("title summary published updated _broken", link=schemas.shape("_href"), feed_pos=schemas.LONG)
 
 
 def _xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) -> DataFrame:
-    """Landed XML; a file that cannot be parsed gives no rows instead of failing the scan."""
+    """Landed XML with the file each row came from; what cannot be parsed gives no rows."""
     rows = (
         spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_broken").option("ignoreNamespace", "true")
@@ -27,18 +25,32 @@ def _xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) ->
     return rows.withColumn("landed", F.col("_metadata.file_path")).filter(F.col("_broken").isNull()).drop("_broken")
 
 
-def rss_items(spark: SparkSession, path: str) -> DataFrame:
-    """RSS items. ``landed`` is the file; entries without ``feed_pos`` get it from the lander."""
-    items = _xml(spark, path, "item", _RSS_ITEM)
+def _entries(spark: SparkSession, path: str, feed_tag: str, tag: str, entry: T.StructType, numbered: bool) -> DataFrame:
+    if numbered:
+        return _xml(spark, path, tag, entry)
+    inner = T.StructType([f for f in entry.fields if f.name not in ("_broken", "feed_pos")])
+    feed = schemas.shape("_broken", **{tag: T.ArrayType(inner)})
+    rows = _xml(spark, path, feed_tag, feed).select("landed", F.posexplode(tag).alias("pos", "e"))
+    return rows.select("landed", "e.*", F.col("pos").cast("bigint").alias("feed_pos"))
+
+
+def rss_items(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+    """RSS items with their position in the feed.
+
+    A snapshot as served is read feed by feed, the position being the order in
+    the file. ``numbered`` reads large landed files whose items carry
+    ``feed_pos`` item by item, which splits them.
+    """
+    items = _entries(spark, path, "channel", "item", _RSS, numbered)
     return items.select(
         "title", "link", F.lit(None).cast("string").alias("summary"), "description",
         F.col("pubDate").alias("published"), F.lit(None).cast("string").alias("updated"), "feed_pos", "landed",
     )
 
 
-def atom_items(spark: SparkSession, path: str) -> DataFrame:
+def atom_items(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
     """Atom entries in the same shape as RSS items."""
-    items = _xml(spark, path, "entry", _ATOM_ENTRY)
+    items = _entries(spark, path, "feed", "entry", _ATOM, numbered)
     return items.select(
         "title", F.col("link._href").alias("link"), "summary", F.lit(None).cast("string").alias("description"),
         "published", "updated", "feed_pos", "landed",
@@ -46,8 +58,13 @@ def atom_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def of_feeds(items: DataFrame, feeds: DataFrame) -> DataFrame:
-    """Name the feed of each item by the folder ``source=<name>`` it landed in."""
-    folder = F.url_decode(F.regexp_extract("landed", r"/source=([^/]+)/", 1))
+    """Name the feed of each item by the folder ``source=<name>`` it landed in.
+
+    Folder names are escaped when written and again when shown as a path.
+    """
+    folder = F.regexp_extract("landed", r"/source=([^/]+)/", 1)
+    for _ in range(2):
+        folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
     named = items.withColumn("source", folder).drop("landed")
     return named.join(feeds.select("source", "feed_ord"), "source")
 
