@@ -119,15 +119,8 @@ def link_texts(html: Column) -> Column:
     return F.transform(F.regexp_extract_all(html, F.lit(_A_HREF), F.lit(1)), inner_text)
 
 
-def lead_section_list(html: Column) -> Column:
-    """Inside of the first list behind the first lead heading, else empty text.
-
-    Contract: headings and the list are siblings, and lists do not nest, which is
-    the grammar of a rendered digest. Only the first lead heading counts, also
-    when no list follows it.
-    """
-    headings = F.regexp_extract_all(html, F.lit(_H2), F.lit(0))
-
+def lead_heading(html: Column) -> Column:
+    """The first heading that holds a lead word, with its tags; null without one."""
     def leads(heading: Column) -> Column:
         text = F.lower(F.array_join(F.split(heading, NON_TEXT, -1), ""))
         hit = F.lit(False)
@@ -135,17 +128,23 @@ def lead_section_list(html: Column) -> Column:
             hit = hit | F.contains(text, F.lit(word))
         return hit
 
-    first = F.get(F.filter(headings, leads), F.lit(0))
-    tail = F.substr(html, F.instr(html, first) + F.length(first))
+    return F.get(F.filter(F.regexp_extract_all(html, F.lit(_H2), F.lit(0)), leads), F.lit(0))
+
+
+def list_behind(html: Column, heading: Column) -> Column:
+    """Inside of the first list behind a heading; empty without one.
+
+    Contract: headings and the list are siblings, and lists do not nest, which is
+    the grammar of a rendered digest.
+    """
+    tail = F.substr(html, F.instr(html, heading) + F.length(heading))
     inside = F.regexp_extract(tail, rf"(?is)<ul\b{_ATTRS}>(.*?)(?:</ul\s*>|\z)", 1)
-    return F.when(first.isNull(), F.lit("")).otherwise(inside)
+    return F.when(heading.isNull(), F.lit("")).otherwise(inside)
 
 
-def section_topics(html: Column) -> Column:
-    """Up to five topic titles: the lead section first, any longer link text otherwise."""
-    items = F.regexp_extract_all(
-        lead_section_list(html), F.lit(rf"(?is)<li\b{_ATTRS}>(.*?)(?=<li\b|\z)"), F.lit(1)
-    )
+def item_titles(inside: Column) -> Column:
+    """Per list item the text of its first link, else of its first strong part."""
+    items = F.regexp_extract_all(inside, F.lit(rf"(?is)<li\b{_ATTRS}>(.*?)(?=<li\b|\z)"), F.lit(1))
 
     def title(item: Column) -> Column:
         return (
@@ -153,6 +152,9 @@ def section_topics(html: Column) -> Column:
             .when(item.rlike(_STRONG), inner_text(F.regexp_extract(item, _STRONG, 1)))
         )
 
-    lead = F.filter(F.transform(items, title), lambda t: t.isNotNull())
-    other = F.filter(link_texts(html), lambda t: F.length(t) > MIN_LINK_TEXT)
-    return F.slice(F.when(F.size(lead) > 0, lead).otherwise(other), 1, TOPIC_LIMIT)
+    return F.filter(F.transform(items, title), lambda t: t.isNotNull())
+
+
+def longer_links(html: Column) -> Column:
+    """Link texts long enough to be a title."""
+    return F.filter(link_texts(html), lambda t: F.length(t) > MIN_LINK_TEXT)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions import markdown as M
-from ..functions.html import html_to_text, link_texts, section_topics
+from ..functions.html import html_to_text, link_texts
 from ..functions.text import join_text_blocks, length_budget, strip_reasoning
 from ..plans.ordered import once
 
@@ -37,8 +38,15 @@ def list_state(replies: DataFrame, key: str, content: str = "content") -> DataFr
 
 
 def topics(digests: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """Up to five topic titles per digest, in order."""
-    return digests.select(key, F.posexplode(section_topics(F.col(html))).alias("pos", "topic"))
+    """Up to five topic titles per digest: the lead section's, else the longer links.
+
+    Only the first lead heading counts, also when no list follows it.
+    """
+    page = F.col(html)
+    rows = once(digests.select(key, html), "_h", H.lead_heading(page))
+    rows = once(rows, "_lead", H.item_titles(H.list_behind(page, F.col("_h"))))
+    found = F.when(F.size("_lead") > 0, F.col("_lead")).otherwise(H.longer_links(page))
+    return rows.select(key, F.posexplode(F.slice(found, 1, H.TOPIC_LIMIT)).alias("pos", "topic"))
 
 
 def links(pages: DataFrame, key: str, html: str = "html") -> DataFrame:

@@ -532,7 +532,9 @@ _TAGS = r"(?is)<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>|<!--.*?--
 
 
 def nodes(x: str) -> str:
-    decoded = "replace(replace(replace(replace(n, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+    decoded = "n"
+    for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        decoded = f"regexp_replace({decoded}, '&{name};?', '{char}', 'g')"
     return (f"list_filter(list_transform(string_split_regex({x}, '{_TAGS}'), lambda n: {strip(decoded)}), lambda n: n <> '')")
 
 
