@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +19,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so their Python can import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="ship-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared scratch folder and read it back.
 
@@ -29,6 +48,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Run ``make`` over Arrow batches; it returns one column per field of ``schema``."""
+    ship(df.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -38,3 +58,9 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: s
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def map_stream(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` for functions that look beyond one batch."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)

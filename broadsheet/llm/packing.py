@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from broadsheet.llm import wordbpe
-from broadsheet.llm.frames import map_batches, settle
+from broadsheet.llm.frames import map_batches, map_stream, settle
 
 CAPACITY = 2048
 #: Pieces packed together; a group leaves at most about one bin that is not full.
@@ -211,4 +211,4 @@ def pack_documents(
             yield from packed()
 
     # Dealt out in turn: groups are even whatever the documents are.
-    return pieces.repartition(groups).mapInArrow(run, schema)
+    return map_stream(pieces.repartition(groups), run, schema)

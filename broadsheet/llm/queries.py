@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import mixing, packing, token_counts
+from pyspark.sql import functions as F
+
+from broadsheet.llm import language_id, licenses, mixing, packing, token_counts, topk_search, toxicity
 from broadsheet.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +20,78 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = language_id.held_out(F.col("doc_id"), 4, 2)
+    net = language_id.fit(docs.filter(~F.coalesce(held, F.lit(False))))
+    out = language_id.identify(docs, net, F.coalesce(held, F.lit(False)).alias("held_out"))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in licenses.SENTENCES.items())
+    steps = ["""t0 AS (SELECT doc_id, sentence_ids AS raw, sentence_ids AS rest, '' AS found FROM ids)"""]
+    for k, (sequence, name) in enumerate(licenses.RULES, 1):
+        piece = quoted("|" + "|".join(sequence) + "|")
+        steps.append(f"""t{k} AS (SELECT doc_id, raw,
+  replace(rest, {piece}, '|-|') AS rest,
+  CASE WHEN contains(rest, {piece}) AND NOT contains(found, {quoted(name + ",")}) THEN found || {quoted(name + ",")} ELSE found END AS found
+  FROM t{k - 1})""")
+    return f"""
+WITH cut AS (
+  SELECT doc_id, text, list_filter(string_split_regex(regexp_replace(text, {quoted(licenses.END)}, E'\\\\1\\n', 'g'), '\\n+'), lambda x: length(x) > 0) AS parts
+  FROM documents),
+ids AS (
+  SELECT doc_id, CASE WHEN regexp_matches(text, {quoted(licenses.ANCHORS)}) THEN
+    regexp_replace('|' || array_to_string(list_transform(parts, lambda s:
+      CASE WHEN length(s) <= {licenses.LONGEST} AND regexp_matches(s, {quoted(licenses.ANCHORS)})
+        THEN coalesce((MAP {{{known}}})[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))], '-') ELSE '-' END), '|') || '|', '(\\|-)+\\|', '|-|', 'g')
+    ELSE '|' END AS sentence_ids
+  FROM cut),
+{", ".join(steps)}
+SELECT doc_id, regexp_replace(regexp_replace(raw, '(\\|-)+\\|', '|', 'g'), '^\\||\\|$', '', 'g') AS sentence_ids, rtrim(found, ',') AS licenses
+FROM t{len(licenses.RULES)}
+"""
+
+
+ORACLES["op3_license_scan"] = _license_sql()
+
+
+@query
+def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(language_id.held_out(F.col("doc_id"), 3, 1), F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    out = toxicity.score(docs, model, 0.7, held.alias("held_out"))
+    return out.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+@query
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk_search.quantised(table(spark, sf_dir, "embeddings"))
+    return topk_search.search(vectors, vectors.filter(F.col("id") % 100 == 0), 10)
+
+
+ORACLES["op6_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
