@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from broadsheet.llm import language_id, licenses, mixing, packing, token_counts, topk_search, toxicity
+from broadsheet.llm import language_id, licenses, mixing, packing, pii, token_counts, topk_search, toxicity
 from broadsheet.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,9 @@ FROM placed
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
