@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from broadsheet.llm import language_id, licenses, mixing, packing, pii, token_counts, topk_search, toxicity
+from broadsheet.llm import embedding_dedup, language_id, licenses, mixing, packing, pii, token_counts, topk_search, toxicity
 from broadsheet.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,29 @@ FROM t{len(licenses.RULES)}
 ORACLES["op3_license_scan"] = _license_sql()
 
 
+@query
+def op4_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+ORACLES["op4_embedding_near_dup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(node, seen) AS (
+  SELECT DISTINCT a, a FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a),
+low AS (SELECT node, min(seen) AS component FROM reach GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(low.component, e.vec_id) AS component_id,
+  coalesce(e.vec_id = coalesce(low.component, e.vec_id), true) AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN low ON e.vec_id = low.node
+"""
+
+
 @query
 def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
