@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from broadsheet.llm import embedding_dedup, language_id, licenses, mixing, packing, pii, token_counts, topk_search, toxicity
+from broadsheet.llm import embedding_dedup, language_id, licenses, mixing, near_dedup, packing, pii, token_counts, topk_search, toxicity
 from broadsheet.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,31 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.deduplicate(table(spark, sf_dir, "documents"), 85)
+
+
+ORACLES["op2_minhash_near_dup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM words WHERE len(w) > 0),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)),
+reach(node, seen) AS (SELECT DISTINCT a, a FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a),
+low AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(len(s.s), 0)::BIGINT AS n_shingles, coalesce(low.component, d.doc_id) AS component_id,
+  d.doc_id = coalesce(low.component, d.doc_id) AS kept
+FROM documents d LEFT JOIN sets s USING (doc_id) LEFT JOIN low ON d.doc_id = low.node
+"""
+
+
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
