@@ -10,7 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from broadsheet.session import scratch_path
 
@@ -60,7 +60,7 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: s
     return df.mapInArrow(run, schema)
 
 
-def map_stream(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_stream(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
     """``mapInArrow`` for functions that look beyond one batch."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -19,11 +19,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.frames import map_batches
+from broadsheet.llm.frames import map_batches, map_stream
 
 WINDOW = 256
 WIDTHS = (2, 4, 6)
@@ -187,25 +188,42 @@ def identify(docs: DataFrame, net: Network | None, *extra: Column) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a few tens of kilobytes
 
     def run(batch):
-        out = {"doc_id": batch.column("doc_id"), **{f.name: batch.column(f.name) for f in passed}}
-        texts = batch.column("text").to_pylist()
-        langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        if shared.value is not None:
-            folded = _folded(shared)
-            for part in _parts(texts):
-                cut = [windows(texts[i].lower().encode()) for i in part]
-                n = np.array([len(w) for w in cut])
-                x = np.concatenate(cut)
-                weight = np.maximum((x != 0).sum(1), 1)[:, None]
-                starts = np.cumsum(n) - n
-                p = np.add.reduceat(folded.probabilities(x) * weight, starts) / np.add.reduceat(weight, starts)
-                for i, best, row in zip(part, p.argmax(1), p):
-                    langs[i], scores[i] = folded.net.languages[best], min(1.0, float(row[best]))
-        return out | {"lang_pred": langs, "score": scores}
+        langs, scores = _predict(shared, batch.column("text").to_pylist())
+        return {"doc_id": batch.column("doc_id"), **{f.name: batch.column(f.name) for f in passed}, "lang_pred": langs, "score": scores}
 
     return map_batches(rows, run, schema)
 
 
+def known(docs: DataFrame, net: Network | None) -> DataFrame:
+    """The rows of ``docs`` whose language is not "und", with their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
+
+    def run(batches):
+        for batch in batches:
+            langs, _ = _predict(shared, batch.column("text").to_pylist())
+            yield batch.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
+
+    return map_stream(lettered, run, docs.schema)
+
+
+def _predict(shared, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """Language and score of each text by a broadcast network; null texts are unknown."""
+    langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    if shared.value is not None:
+        folded = _folded(shared)
+        for part in _parts(texts):
+            cut = [windows(texts[i].lower().encode()) for i in part]
+            n = np.array([len(w) for w in cut])
+            x = np.concatenate(cut)
+            weight = np.maximum((x != 0).sum(1), 1)[:, None]
+            starts = np.cumsum(n) - n
+            p = np.add.reduceat(folded.probabilities(x) * weight, starts) / np.add.reduceat(weight, starts)
+            for i, best, row in zip(part, p.argmax(1), p):
+                langs[i], scores[i] = folded.net.languages[best], min(1.0, float(row[best]))
+    return langs, scores
+
+
 _FOLDED: dict[int, Folded] = {}
 
 

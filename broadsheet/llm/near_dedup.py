@@ -18,10 +18,10 @@ Bands are compared in order, so that each pair is looked at in its first common
 band alone.
 
 A text without words, or null, has no set: 0 shingles, linked with nothing. With
-fewer than five words the whole sequence is its one shingle. Rows that share an id
-count as one node; rows without an id find their own copies only by the others'
-ids and are kept where there are none. An empty table gives an empty table. Extra
-columns are ignored.
+fewer than five words the whole sequence is its one shingle. Rows that repeat, share
+an id or have none are rows of their own; a group's id is its smallest, and null
+where no row has one, whose rows then count as kept. An empty table gives an empty
+table. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -174,16 +174,15 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, set for each ``wanted`` (node, doc_id, digest) row."""
-    found = _documents(docs).join(wanted, [F.col("doc_id") == F.col("w_id"), F.col("digest") == F.col("w_digest")])
+    """node, set for each ``wanted`` (node, w_id, w_digest) row."""
+    keyed = _documents(docs).select(F.coalesce("doc_id", F.lit(0)).alias("w_id"), F.col("digest").alias("w_digest"), "data")
+    found = keyed.join(wanted, ["w_id", "w_digest"])
 
     def make(batch):
-        sets = [shingles(d).tobytes() for d in batch.column("data").to_pylist()]
-        return {"node": batch.column("node"), "digest": batch.column("digest"), "set": sets}
+        return {"node": batch.column("node"), "set": [shingles(d).tobytes() for d in batch.column("data").to_pylist()]}
 
     # Rows that repeat id and text give the same set more than once.
-    made = map_batches(found.select("node", "digest", "data"), make, "node bigint, digest bigint, set binary")
-    return made.dropDuplicates(["node", "digest"]).drop("digest")
+    return map_batches(found.select("node", "data"), make, "node bigint, set binary").dropDuplicates(["node"])
 
 
 def _confirm(percent: int) -> Callable:
@@ -267,16 +266,18 @@ def _links(percent: int) -> Callable[[pa.Table], pa.Table]:
     return make
 
 
-def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row; links from ``percent`` % similarity."""
+def grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, digest, n_shingles, set_id, group, component_id per row; null where there is no set or id."""
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sketched = settle(sketch(docs), "sketches")
-    # One node per distinct set, named by its smallest id.
+    # One node per distinct set, with one row to find its text again by.
+    place = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)).alias("w_id"), F.col("digest").alias("w_digest"))
     sets = settle(
-        sketched.filter("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(
-            F.min(F.struct(*HANDLE)).alias("handle"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-        .select("set_id", F.col("handle.doc_id").alias("node"), F.col("handle.digest").alias("digest"), "n_shingles", "sig", "bands"), "sets")
+        sketched.filter("set_id IS NOT NULL").groupBy("set_id").agg(
+            F.min("doc_id").alias("least_id"), F.min(place).alias("place"), F.first("n_shingles").alias("n_shingles"),
+            F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()), "sets")
     entries = sets.select("node", F.posexplode("bands").alias("band", "key"))
     shared = entries.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     shared = settle(entries.join(shared, "key"), "shared-bands")
@@ -290,7 +291,7 @@ def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     # One pass over the texts fetches the full set of every node that shares a band.
     needed = shared.select("node").distinct()
-    handles = sets.select("node", F.col("node").alias("w_id"), F.col("digest").alias("w_digest")).join(needed, "node", "left_semi")
+    handles = sets.select("node", "place.w_id", "place.w_digest").join(needed, "node", "left_semi")
     held = settle(full_sets(docs, handles), "full-sets")
     both = likely.join(held.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
         held.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
@@ -313,7 +314,30 @@ def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
     second = settle(second, "links-second")
     groups = connected(first.union(second))
 
-    named = sets.select("set_id", "node").join(groups, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
-    out = sketched.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    named = sets.select("set_id", "node", "least_id").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    ids = named.groupBy("group").agg(F.min("least_id").alias("component_id"))
+    named = named.join(ids, "group").select("set_id", "group", "component_id")
+    return sketched.select("doc_id", "digest", "n_shingles", "set_id").join(named, "set_id", "left")
+
+
+def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row; links from ``percent`` % similarity."""
+    component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return grouped(docs, percent).select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def representatives(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """One row of ``docs`` per group, that of the smallest id; texts without words are all kept.
+
+    Of rows that repeat id and text one stays. Rows without an id stand back behind
+    those with one.
+    """
+    rows = grouped(docs, percent).filter("set_id IS NOT NULL")
+    place = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)).alias("_near_id"), F.col("digest").alias("_near_digest"))
+    kept = settle(rows.groupBy("group").agg(F.min(place).alias("p")).select("p._near_id", "p._near_digest"), "kept")
+    keyed = docs.withColumns({"_near_id": F.coalesce("doc_id", F.lit(0)), "_near_digest": F.xxhash64(F.col("text").cast("binary"))})
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # Already dealt and sorted by the two columns, so dropping repeats costs no shuffle.
+    chosen = keyed.filter(worded).join(kept, ["_near_id", "_near_digest"], "left_semi").dropDuplicates(["_near_id", "_near_digest"])
+    return chosen.unionByName(keyed.filter(~worded)).select(*docs.columns)

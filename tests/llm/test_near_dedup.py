@@ -61,10 +61,10 @@ def test_deduplicate(spark, monkeypatch, block):
 
 def test_repeated_rows_null_ids_and_empty_tables(spark):
     long = " ".join(f"v{i}" for i in range(30000))
-    rows = [(5, "p q r s t u"), (5, "p q r s t u"), (None, "p q r s t u"), (None, "only here"), (7, long), (6, long + " z"), (8, "p q r s t u"), (5, "other words")]
+    rows = [(5, "p q r s t u"), (5, "p q r s t u"), (None, "p q r s t u"), (None, "only here"), (7, long), (6, long + " z"), (8, "p q r s t u"), (5, "other words"), (None, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = sorted(((x.doc_id or -1, x.n_shingles, x.component_id, x.kept) for x in nd.deduplicate(df).collect()), key=str)
-    assert got == sorted([(5, 2, 5, True), (5, 2, 5, True), (-1, 2, 5, False), (-1, 1, None, True), (7, 29996, 6, False), (6, 29997, 6, True), (8, 2, 5, False), (5, 1, 5, True)], key=str)
+    assert got == sorted([(5, 2, 5, True), (5, 2, 5, True), (-1, 2, 5, False), (-1, 1, None, True), (7, 29996, 6, False), (6, 29997, 6, True), (8, 2, 5, False), (5, 1, 5, True), (-1, 0, None, True)], key=str)
     assert nd.deduplicate(df.limit(0)).collect() == []
 
 
