@@ -132,14 +132,20 @@ def lead_heading(html: Column) -> Column:
 
 
 def list_behind(html: Column, heading: Column) -> Column:
-    """Inside of the first list behind a heading; empty without one.
-
-    Contract: headings and the list are siblings, and lists do not nest, which is
-    the grammar of a rendered digest.
-    """
+    """Inside of the first list behind a heading, nested lists included; empty without one."""
     tail = F.substr(html, F.instr(html, heading) + F.length(heading))
-    inside = F.regexp_extract(tail, rf"(?is)<ul\b{_ATTRS}>(.*?)(?:</ul\s*>|\z)", 1)
-    return F.when(heading.isNull(), F.lit("")).otherwise(inside)
+    # Cut before every list tag, then walk along until the first list is closed.
+    parts = F.split(tail, r"(?i)(?=<ul\b|</ul\s*>)", -1)
+
+    def step(seen: Column, part: Column) -> Column:
+        opens, closes = part.rlike(r"(?i)^<ul\b"), part.rlike(r"(?i)^</ul\s*>")
+        depth = F.when(seen["done"], F.lit(0)).when(opens, seen["depth"] + 1).when(closes, F.greatest(seen["depth"] - 1, F.lit(0))).otherwise(seen["depth"])
+        ends = closes & (seen["depth"] == 1)
+        text = F.when(depth > 0, F.concat(seen["text"], part)).otherwise(seen["text"])
+        return F.struct(depth.alias("depth"), (seen["done"] | ends).alias("done"), text.alias("text"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
+    return F.when(heading.isNull(), F.lit("")).otherwise(F.aggregate(parts, start, step)["text"])
 
 
 def item_titles(inside: Column) -> Column:

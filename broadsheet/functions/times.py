@@ -31,6 +31,8 @@ ZONES = {
     "UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000",
     "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
     "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+    "CET": "+0100", "CEST": "+0200", "EET": "+0200", "EEST": "+0300", "WET": "+0000", "WEST": "+0100",
+    "BST": "+0100", "MSK": "+0300", "JST": "+0900", "KST": "+0900", "AEST": "+1000", "AEDT": "+1100",
 }
 
 
@@ -49,13 +51,14 @@ def parse_feed_date(text: Column) -> Column:
 
     A date without a zone counts as UTC, a year of two digits as one of this century.
     """
-    text = F.btrim(text)
+    # A mail-style date may end in a comment, as in "+0000 (UTC)".
+    text = F.btrim(F.regexp_replace(text, r"\s*\([^()]*\)\s*$", ""))
     body = F.regexp_replace(text, r"^[A-Za-z]{2,9},?\s+", "")
-    zone = F.upper(F.regexp_extract(body, r"([A-Za-z]{1,3})$", 1))
+    zone = F.upper(F.regexp_extract(body, r"([A-Za-z]{1,4})$", 1))
     names = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
     offset = F.try_element_at(names, zone)
     mail = F.when(
-        offset.isNotNull(), F.concat(F.regexp_replace(body, r"\s*[A-Za-z]{1,3}$", ""), F.lit(" "), offset)
+        offset.isNotNull(), F.concat(F.regexp_replace(body, r"\s*[A-Za-z]{1,4}$", ""), F.lit(" "), offset)
     ).otherwise(body)
     mail = F.regexp_replace(mail, r"^(\d{1,2}\s+[A-Za-z]{3})\s+(\d\d)\s", "$1 20$2 ")
     parsed_mail = _to_utc(F.try_to_timestamp(mail, F.lit("d MMM yyyy HH:mm[:ss] xx")))

@@ -80,17 +80,18 @@ def accepted_items(items: DataFrame, fetches: DataFrame) -> DataFrame:
 
 
 def feed_health(feeds: DataFrame, fetches: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per registered feed with its status and accepted row count."""
+    """One row per registered feed with its status and accepted row count; feeds never fetched included."""
     counts = rows_per_source(feeds, accepted_items(items, fetches))
     n = F.col("n_rows")
     status = (
-        F.when(F.col("status") != 200, "http_error")
+        F.when(F.col("status").isNull(), "not_fetched")
+        .when(F.col("status") != 200, "http_error")
         .when(F.col("malformed") & (n == 0), "malformed_empty")
         .when(F.col("malformed"), "malformed_kept")
         .when(n == 0, "empty")
         .otherwise("ok")
     )
-    return counts.join(fetches, "source").select("source", status.alias("health"), "n_rows")
+    return counts.join(fetches, "source", "left").select("source", status.alias("health"), "n_rows")
 
 
 def union_sources(feed_articles: DataFrame, story_articles: DataFrame) -> DataFrame:
@@ -112,22 +113,21 @@ def thread_articles(articles: DataFrame) -> DataFrame:
     return articles.filter(F.contains("link", F.lit(THREAD_HOST)))
 
 
-def not_sent(articles: DataFrame, sent: DataFrame, split_hot: bool = False) -> DataFrame:
+def not_sent(articles: DataFrame, sent: DataFrame) -> DataFrame:
     """Articles whose key is not in the history. Duplicates inside the batch all stay.
 
     No broadcast hint: the history grows, so its side is chosen by size.
-    ``split_hot`` is for whole tables, where copies of one article may dominate.
     """
-    return member_join(articles, sent, "article_key", "left_anti", split_hot)
+    return member_join(articles, sent, "article_key", "left_anti")
 
 
-def already_sent(articles: DataFrame, sent: DataFrame, split_hot: bool = False) -> DataFrame:
+def already_sent(articles: DataFrame, sent: DataFrame) -> DataFrame:
     """The rows ``not_sent`` removes."""
-    return member_join(articles, sent, "article_key", "left_semi", split_hot)
+    return member_join(articles, sent, "article_key", "left_semi")
 
 
-def skip_report(articles: DataFrame, sent: DataFrame, split_hot: bool = False) -> DataFrame:
+def skip_report(articles: DataFrame, sent: DataFrame) -> DataFrame:
     """Skipped rows with the title cut the way the run report shows it."""
-    return already_sent(articles, sent, split_hot).select(
+    return already_sent(articles, sent).select(
         "article_key", F.left("title", F.lit(50)).alias("title"), "source"
     )

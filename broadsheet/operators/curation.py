@@ -93,6 +93,10 @@ def article_text(title: Column, summary: Column) -> Column:
     return F.concat(F.coalesce(title, F.lit("")), F.lit("\n"), F.coalesce(summary, F.lit("")))
 
 
+#: Salts that a first word of a rule table is spread over.
+SPREAD = 16
+
+
 def _with_line(articles: DataFrame) -> DataFrame:
     return once(articles, "_line", word_line(article_text(F.col("title"), F.col("summary"))))
 
@@ -137,32 +141,34 @@ def exclude(articles: DataFrame, strict: Sequence[str], rules: Sequence[Rule] =
     return _with_line(articles).filter(keep).drop("_line")
 
 
-def topic_rows(tagged: DataFrame) -> DataFrame:
-    """One row per article and topic."""
-    return tagged.select("article_key", F.explode("topics").alias("_t")).select("article_key", "_t.*")
-
-
 def match_rules(articles: DataFrame, rules: DataFrame) -> DataFrame:
     """Hits per article and topic for a rule table of any size (``tier, topic, term``).
 
     Every word of an article meets the rules that start with it in an equi-join;
-    longer terms then compare their remaining words. Articles need a unique
-    ``row_id``.
+    longer terms then compare their remaining words. Words that start no rule are
+    left out before anything else, equal spans of an article are counted first, and
+    both sides of the join are spread over ``SPREAD`` salts of the first word, so a
+    common word does not end in one task. Articles need a unique ``row_id``.
     """
     keyed = rules.withColumn("_words", words(F.col("term"))).filter(F.size("_words") > 0)
     keyed = keyed.withColumn("_first", F.get("_words", F.lit(0)))
     longest = keyed.agg(F.max(F.size("_words"))).first()[0] or 1
+    starts = keyed.select("_first").distinct()
     split = articles.select("row_id", "article_key", words(article_text(F.col("title"), F.col("summary"))).alias("_w"))
+    salt = F.pmod(F.xxhash64("row_id"), F.lit(SPREAD)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
     # The words behind each position travel along only as far as the longest term.
     spans = split.select(
-        "row_id", "article_key",
+        "row_id", "article_key", salt.alias("_salt"),
         F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w"), F.lit(1))),
                               lambda i: F.slice(F.col("_w"), i, longest))).alias("_span"),
     ).filter(F.size("_span") > 0).withColumn("_first", F.get("_span", F.lit(0)))
-    hits = spans.join(keyed, "_first").filter(
+    near = spans.join(starts.withColumn("_salt", salts), ["_first", "_salt"], "left_semi")
+    counted = near.groupBy("_first", "_salt", "row_id", "article_key", "_span").agg(F.count("*").alias("_n"))
+    hits = counted.join(keyed.withColumn("_salt", salts), ["_first", "_salt"]).filter(
         F.slice("_span", F.lit(1), F.size("_words")) == F.col("_words")
     )
-    return hits.groupBy("row_id", "article_key", "topic", "tier").agg(F.count("*").alias("n_hits"))
+    return hits.groupBy("row_id", "article_key", "topic", "tier").agg(F.sum("_n").alias("n_hits"))
 
 
 def score(tagged: DataFrame) -> DataFrame:

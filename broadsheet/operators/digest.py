@@ -46,18 +46,27 @@ def prompts(blocks: DataFrame, template: str, **values: str) -> DataFrame:
     return blocks.withColumn("prompt", fill(template, columns)).drop("blocks")
 
 
-def render(chosen: DataFrame, digest: Sequence[str], date: Column, sections: Sequence[Section] = SECTIONS) -> DataFrame:
-    """One HTML document per digest: sections in fixed order, best articles first.
+#: Articles in one part of a rendered digest.
+PART = 200
 
-    Input is the capped selection, so every group here is small.
+
+def render(
+    chosen: DataFrame, digest: Sequence[str], date: Column, sections: Sequence[Section] = SECTIONS, size: int = PART
+) -> DataFrame:
+    """HTML of each digest in numbered parts: sections in fixed order, best articles first.
+
+    Must-watch articles are exempt from the digest's cap, so a digest may be long:
+    a part holds at most ``size`` articles and the parts together hold all.
     """
     link = F.concat(
         F.lit('  <li>\n    <strong><a href="'), html_escape(F.col("link")), F.lit('">'),
         html_escape(F.col("title")), F.lit("</a></strong> ("), html_escape(F.col("source")),
         F.lit(")<br>\n    "), html_escape(F.col("summary")), F.lit("\n  </li>"),
     )
-    w = Window.partitionBy(*digest, "section_ord").orderBy(*priority_order())
-    items = chosen.withColumn("_n", F.row_number().over(w)).groupBy(*digest, "section_ord").agg(
+    w = Window.partitionBy(*digest).orderBy("section_ord", *priority_order())
+    numbered = chosen.withColumn("_n", F.row_number().over(w))
+    numbered = numbered.withColumn("part_no", F.floor((F.col("_n") - 1) / size).cast("int"))
+    items = numbered.groupBy(*digest, "part_no", "section_ord").agg(
         _joined(F.col("_n"), link, "\n").alias("items"), F.count("*").alias("_c")
     )
     headings = F.array(*[F.lit(s.heading) for s in sections])
@@ -65,11 +74,11 @@ def render(chosen: DataFrame, digest: Sequence[str], date: Column, sections: Seq
         F.lit("<h2>"), html_escape(F.get(headings, F.col("section_ord"))), F.lit("</h2>\n<ul>\n"),
         F.col("items"), F.lit("\n</ul>"),
     )
-    head = F.concat(
+    head = F.when(F.col("part_no") == 0, F.concat(
         F.lit(f"<h1>{DIGEST_TITLE}</h1>\n<p>Good morning! Here's your personalized news for "),
         date, F.lit(".</p>\n\n"),
-    )
-    return items.groupBy(*digest).agg(
+    )).otherwise("")
+    return items.groupBy(*digest, "part_no").agg(
         F.concat(head, _joined(F.col("section_ord"), body, "\n\n")).alias("html"),
         F.sum("_c").cast("bigint").alias("n_articles"),
     )

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import markdown as M
-from ..functions.html import html_to_text, link_texts
-from ..functions.text import join_text_blocks, length_budget, strip_reasoning
+from ..functions.html import html_to_text
+from ..functions.text import join_text_blocks
 from ..plans.ordered import once
 
 
@@ -49,19 +49,6 @@ def topics(digests: DataFrame, key: str, html: str = "html") -> DataFrame:
     return rows.select(key, F.posexplode(F.slice(found, 1, H.TOPIC_LIMIT)).alias("pos", "topic"))
 
 
-def links(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """Every link text of a page, in page order."""
-    return pages.select(key, F.posexplode(link_texts(F.col(html))).alias("pos", "text"))
-
-
-def budgeted(texts: DataFrame, column: str = "text", sample: bool = False) -> DataFrame:
-    return texts.withColumn(column, length_budget(F.col(column), sample))
-
-
-def without_reasoning(replies: DataFrame, column: str = "text") -> DataFrame:
-    return replies.withColumn(column, strip_reasoning(F.col(column)))
-
-
 def reply_text(replies: DataFrame, blocks: str = "blocks") -> tuple[DataFrame, DataFrame]:
     """Text of block replies, and the replies that carry none."""
     joined = replies.withColumn("text", join_text_blocks(F.col(blocks)))

@@ -65,16 +65,17 @@ def build_threads(articles: DataFrame, as_of) -> DataFrame:
     )
 
 
-def uncached_threads(
-    articles: DataFrame, cached: DataFrame, run: list[str], n: int = MAX_THREADS, split_hot: bool = False
-) -> DataFrame:
+def uncached(articles: DataFrame, cached: DataFrame) -> DataFrame:
+    """Thread articles whose link is not cached. Duplicate links all stay."""
+    return member_join(thread_articles(articles), cached.select(F.col("url").alias("link")), "link", "left_anti")
+
+
+def uncached_threads(articles: DataFrame, cached: DataFrame, run: list[str], n: int = MAX_THREADS) -> DataFrame:
     """First n thread articles of a run that are not cached, in article order.
 
     Duplicate links are not collapsed here: each takes one of the n places.
     """
-    known = cached.select(F.col("url").alias("link"))
-    fresh = member_join(thread_articles(articles), known, "link", "left_anti", split_hot)
-    return first_rows(fresh, run, ["feed_ord", "feed_pos"], n)
+    return first_rows(uncached(articles, cached), run, ["feed_ord", "feed_pos"], n)
 
 
 def add_threads(existing: DataFrame, articles: DataFrame, as_of, n: int = MAX_THREADS) -> DataFrame:

@@ -80,3 +80,10 @@ def alerts(runs: DataFrame) -> DataFrame:
         lambda a: a.isNotNull(),
     )
     return runs.select("run", F.explode(found).alias("alert"))
+
+
+def run_stats(runs: DataFrame, counts: DataFrame) -> DataFrame:
+    """Counts of every run, zeros for a run that has left no rows at all."""
+    names = ("n_new", "n_threads", "n_to_build", "n_built")
+    joined = runs.select("run").join(counts, "run", "left")
+    return joined.select("run", *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in names])

@@ -49,17 +49,48 @@ def _printable(c):
     return F.regexp_replace(c, "[^\\t\\n\\r\\x20-\\x{D7FF}\\x{E000}-\\x{FFFD}\\x{10000}-\\x{10FFFF}]", "")
 
 
+def _tagged_text(name, text, attributes=""):
+    return F.concat(F.lit(f"<{name}{attributes}>"), html_escape(text), F.lit(f"</{name}>"))
+
+
+#: Items of one landed snapshot, so that no file grows with the feed.
+SNAPSHOT = 2_000
+
+
+def _snapshots(t: Tables) -> DataFrame:
+    """Land the items as feeds serve them and scan them.
+
+    By source in turn: RSS with siblings under other prefixes, Atom with content and
+    an enclosure, RDF, and RSS that breaks off inside one more item.
+    """
+    items = t.feed_items()
+    style = F.col("feed_ord") % 4
+    title, body = _printable(F.col("title")), _printable(F.col("description"))
+    when = F.when(F.col("published") != "soon", F.col("published")).otherwise(F.col("updated"))
+    date = lambda name: F.coalesce(_tagged_text(name, when), F.lit(""))
+    link = F.col("link")
+    rss = F.concat(
+        F.lit("<item>"), _tagged_text("title", title), _tagged_text("link", link), F.lit('<atom:link href="https://self" rel="self"/>'),
+        _tagged_text("description", body), F.lit("<media:title>photo</media:title><media:description>none</media:description>"), date("pubDate"), F.lit("</item>"))
+    atom = F.concat(
+        F.lit('<entry xml:lang="en">'), _tagged_text("title", title, ' type="html"'), F.lit('<link rel="enclosure" href="https://file"/><link rel="alternate" href="'),
+        html_escape(link), F.lit('"/>'), _tagged_text("content", body, ' type="html"'), date("updated"), F.lit("</entry>"))
+    rdf = F.concat(F.lit('<item rdf:about="x">'), _tagged_text("title", title), _tagged_text("link", link), _tagged_text("description", body), date("dc:date"), F.lit("</item>"))
+    xml = F.when(style == 1, atom).when(style == 2, rdf).otherwise(rss)
+    ordered = F.array_sort(F.collect_list(F.struct("feed_pos", xml.alias("x"))))
+    files = items.groupBy("source", "feed_ord", F.floor(F.col("feed_pos") / SNAPSHOT).alias("part")).agg(
+        F.array_join(F.transform(ordered, lambda x: x["x"]), "\n").alias("x"))
+    start = F.when(style == 1, "<feed>").when(style == 2, "<rdf:RDF><channel><title>c</title></channel>").otherwise("<rss><channel><title>c</title>")
+    end = F.when(style == 1, "</feed>").when(style == 2, "</rdf:RDF>").when(style == 3, "<item><title>cut off</tit").otherwise("</channel></rss>")
+    path = scratch_path(t.spark, "feeds")
+    files.select("source", F.concat(start, "x", end).alias("value")).write.option("maxRecordsPerFile", 1).partitionBy("source").text(path)
+    return scans.snapshots(t.spark, path)
+
+
 @query
 def src1_feed_items(t: Tables) -> DataFrame:
-    """Land the items as RSS files by feed, scan them and map them to articles."""
-    path = scratch_path(t.spark, "rss")
-    items = t.feed_items()
-    landed = items.select(
-        "source", _printable("title").alias("title"), "link", _printable("description").alias("description"),
-        F.when(F.col("published") != "soon", F.col("published")).otherwise(F.col("updated")).alias("pubDate"), "feed_pos",
-    )
-    landed.write.format("xml").option("rowTag", "item").option("rootTag", "channel").partitionBy("source").save(path)
-    read = scans.of_feeds(scans.rss_items(t.spark, path, numbered=True), t.feeds())
+    """Landed feed snapshots, scanned and mapped to articles."""
+    read = scans.of_feeds(scans.feed_entries(_snapshots(t)), t.feeds())
     return A.items_to_articles(read).select("title", "link", "source", "published", "feed_ord", "feed_pos", F.length("summary").alias("n_summary"))
 
 
@@ -101,30 +132,37 @@ def src3_union(t: Tables) -> DataFrame:
     return A.union_sources(feeds, _stories(t)).select("title", "link", "source", "published", "feed_ord", "feed_pos")
 
 
-def _fetches(t: Tables) -> DataFrame:
-    return t.feeds().select(
-        "source",
-        F.when(F.col("source") == "src4", 503).when(F.col("source") == "src9", 404).otherwise(200).alias("status"),
-        F.col("source").isin("src6", "silent").alias("malformed"),
-    )
-
-
 @query
 def src4_feed_health(t: Tables) -> DataFrame:
-    return A.feed_health(t.feeds(), _fetches(t), t.feed_items())
+    """Health out of the fetch log and the landed snapshots; some feeds were never fetched."""
+    landed = _snapshots(t)
+    status = t.feeds().filter("source <> 'src12'").select(
+        "source", F.when(F.col("source") == "src4", 503).when(F.col("source") == "src9", 404).otherwise(200).alias("status"))
+    items = scans.of_feeds(scans.feed_entries(landed), t.feeds())
+    return A.feed_health(t.feeds(), scans.fetch_log(landed, status), items)
 
 
 @query
 def src5_state_import(t: Tables) -> DataFrame:
-    """Sent rows out of legacy JSON documents, some of them corrupt."""
+    """Rows of every map of legacy JSON documents, some of them corrupt and some entries no objects."""
     entry = F.to_json(F.struct(
-        F.col("title"), F.col("link"), F.col("source"), F.lit("2024-01-25T06:00:00").alias("sent_at")))
+        F.col("title"), F.col("link"), F.col("source"), F.lit("2024-01-25T06:00:00").alias("sent_at"),
+        F.lit("2024-01-26T06:00:00").alias("fetched_at"), F.col("link").alias("subject")))
+    quoted = F.concat(F.lit('"'), F.col("article_key"), F.lit('"'))
     rows = t.articles().select(
         F.when(F.col("feed_pos") % 10 == 7, "{broken")
         .when(F.col("feed_pos") % 10 == 8, '{"last_cleanup":null}')
-        .otherwise(F.concat(F.lit('{"sent_articles":{"'), F.col("article_key"), F.lit('":'), entry, F.lit("}}")))
+        .otherwise(F.concat(
+            F.lit('{"sent_articles":{'), quoted, F.lit(":"), entry, F.lit(',"none":7},"reddit_cache":{'), quoted, F.lit(":"), entry,
+            F.lit('},"signals":['), entry, F.lit(',3],"last_run_date":"2024-01-27"}')))
         .alias("document"))
-    return scans.state_documents(rows)
+    sent, threads = scans.state_documents(rows), scans.thread_documents(rows)
+    return (
+        sent.select(F.lit("sent").alias("kind"), F.col("article_key").alias("key"), "title", F.col("sent_at").alias("at"))
+        .unionByName(threads.select(F.lit("thread").alias("kind"), F.col("url").alias("key"), "title", F.col("fetched_at").alias("at")))
+        .unionByName(scans.signal_documents(rows).select(F.lit("signal").alias("kind"), F.md5("subject").alias("key"), F.lit("").alias("title"), F.lit(None).cast("timestamp_ntz").alias("at")))
+        .unionByName(scans.run_stamps(rows).select(F.lit("stamp").alias("kind"), F.col("last_run_date").alias("key"), F.lit("").alias("title"), F.lit(None).cast("timestamp_ntz").alias("at")))
+    )
 
 
 @query
@@ -140,19 +178,31 @@ def src7_pages(t: Tables) -> DataFrame:
 
 @query
 def src8_file_listing(t: Tables) -> DataFrame:
-    return scans.file_listing(t.spark, t.dir, "*.parquet").select("name", "length")
+    """The documents written by source, and what the listing of that folder shows."""
+    path = scratch_path(t.spark, "listed")
+    t.documents.select("doc_id", "source").write.partitionBy("source").parquet(path)
+    files = scans.file_listing(t.spark, path, "*.parquet")
+    return files.groupBy("folder").agg((F.min("length") > 0).alias("filled"))
 
 
 # ---------------------------------------------------------------- sinks
 
 
-def _merge_batch(t: Tables) -> DataFrame:
-    return A.not_sent(t.articles(), t.recent_sent(), split_hot=True)
+def _stored(t: Tables, rows: DataFrame, name: str) -> DataFrame:
+    """A state table as it stands: written once, then read by every use."""
+    path = scratch_path(t.spark, name)
+    rows.write.parquet(path)
+    return t.spark.read.schema(rows.schema).parquet(path)
+
+
+def _recent_sent(t: Tables) -> DataFrame:
+    return _stored(t, t.recent_sent(), "sent")
 
 
 @query
 def snk1_mark_sent(t: Tables) -> DataFrame:
-    return S.mark_sent(t.sent(), t.articles(), AS_OF)
+    """A batch of half of the articles; the rest of the history stays as it was."""
+    return S.mark_sent(t.sent(), t.articles().filter(F.col("feed_pos") % 2 == 1), AS_OF)
 
 
 def _digest(new: DataFrame) -> DataFrame:
@@ -161,14 +211,18 @@ def _digest(new: DataFrame) -> DataFrame:
 
 @query
 def snk2_commit(t: Tables) -> DataFrame:
-    """Three runs: one commits, the next is not delivered and leaves no trace, the last sees the first only."""
+    """Three runs, each with a sweep: one commits, the next is not delivered and leaves no trace, the last sees the first only."""
     log = StateLog(t.spark, scratch_path(t.spark, "state"))
     rows = t.todays()
-    even = F.col("feed_ord") % 2 == 0
-    run_daily(log, rows.filter(even), 1, AS_OF, _digest)
-    run_daily(log, rows, 2, AS_OF, _digest, deliver=lambda published: False)
-    run_daily(log, rows, 3, AS_OF, _digest)
-    return log.read("sent", schemas.SENT, 4).select("run", "article_key", "source", "sent_at")
+    signals = _signal_table(t)
+    even, old = F.col("feed_ord") % 2 == 0, F.col("batch") < "2024-01-22"
+    run_daily(log, rows.filter(even), 1, AS_OF, _digest, signals=signals.filter(old))
+    run_daily(log, rows, 2, AS_OF, _digest, deliver=lambda published: False, signals=signals)
+    run_daily(log, rows, 3, AS_OF, _digest, signals=signals.filter(~old))
+    sent = log.read("sent", schemas.SENT, 4).select("run", F.lit("sent").alias("kind"), F.col("article_key").alias("key"))
+    swept = log.read("signals", schemas.SIGNAL, 4).select("run", F.lit("signal").alias("kind"), F.col("id").alias("key"))
+    fresh = log.read("fresh", schemas.SIGNAL, 4).select("run", F.lit("fresh").alias("kind"), F.col("id").alias("key"))
+    return sent.unionByName(swept).unionByName(fresh).groupBy("run", "kind", "key").agg(F.count("*").alias("n"))
 
 
 @query
@@ -187,7 +241,7 @@ def snk4_publish(t: Tables) -> DataFrame:
     """Digest documents written by day and read back."""
     path = scratch_path(t.spark, "digests")
     _rendered(t).withColumn("digest_date", F.lit(AS_OF[:10])).write.partitionBy("digest_date").parquet(path)
-    return t.spark.read.parquet(path).select("lang", F.md5("html").alias("html_md5"), "n_articles", F.col("digest_date").cast("string").alias("digest_date"))
+    return t.spark.read.parquet(path).select("lang", "part_no", F.md5("html").alias("html_md5"), "n_articles", F.col("digest_date").cast("string").alias("digest_date"))
 
 
 # ---------------------------------------------------------------- filters and projections
@@ -222,7 +276,7 @@ def flt5_grounded(t: Tables) -> DataFrame:
 
 @query
 def flt6_lane_selection(t: Tables) -> DataFrame:
-    return t.payloads().filter(F.col("lane").isin("competitor", "launches")).groupBy("lane").agg(F.count("*").alias("n_payloads"))
+    return G.select_lanes(t.payloads(), ["competitor", "launches"]).groupBy("lane").agg(F.count("*").alias("n_payloads"))
 
 
 def _run_stats(t: Tables) -> DataFrame:
@@ -231,7 +285,7 @@ def _run_stats(t: Tables) -> DataFrame:
     a = t.articles().withColumn("run", day)
     thread = F.contains("link", F.lit("reddit.com")).cast("int")
     all_rows = a.select("run", F.lit(0).alias("new"), thread.alias("thread"), F.lit(0).alias("built"))
-    new = A.not_sent(a, t.recent_sent(), split_hot=True).select("run", F.lit(1).alias("new"), F.lit(0).alias("thread"), thread.alias("built"))
+    new = A.not_sent(a, _recent_sent(t)).select("run", F.lit(1).alias("new"), F.lit(0).alias("thread"), thread.alias("built"))
     return all_rows.unionByName(new).groupBy("run").agg(
         F.sum("new").alias("n_new"), F.sum("thread").alias("n_threads"),
         F.sum("thread").alias("n_to_build"), F.sum("built").alias("n_built"))
@@ -239,7 +293,9 @@ def _run_stats(t: Tables) -> DataFrame:
 
 @query
 def flt7_alerts(t: Tables) -> DataFrame:
-    return R.alerts(_run_stats(t))
+    """Alerts of every day of the calendar, a day without any article included."""
+    days = t.spark.sql("SELECT date_format(d, 'yyyy-MM-dd') AS run FROM (SELECT explode(sequence(DATE '2024-01-25', DATE '2024-02-01')) AS d)")
+    return R.alerts(R.run_stats(days, _run_stats(t)))
 
 
 @query
@@ -263,25 +319,22 @@ def prj3_signal_dimensions(t: Tables) -> DataFrame:
 
 @query
 def jn1_not_sent(t: Tables) -> DataFrame:
-    return _merge_batch(t).select(*ARTICLE_COLUMNS)
+    return A.not_sent(t.articles(), _recent_sent(t)).select(*ARTICLE_COLUMNS)
 
 
 @query
 def jn2_skip_report(t: Tables) -> DataFrame:
-    return A.skip_report(t.articles(), t.recent_sent(), split_hot=True)
+    return A.skip_report(t.articles(), _recent_sent(t))
 
 
 @query
 def jn3_uncached_threads(t: Tables) -> DataFrame:
-    run = t.articles().withColumn("run", F.lit(0))
-    return S.uncached_threads(run, t.threads(), ["run"], 2**31 - 1, split_hot=True).select("article_key", "link", "feed_pos")
+    return S.uncached(t.articles(), _stored(t, t.threads(), "threads")).select("article_key", "link", "feed_pos")
 
 
 def _signal_table(t: Tables) -> DataFrame:
     """Signals as the stored history they are: written once, then read by every use."""
-    path = scratch_path(t.spark, "signals")
-    t.signals().write.parquet(path)
-    return t.spark.read.parquet(path)
+    return _stored(t, t.signals(), "signals")
 
 
 @query
@@ -289,7 +342,7 @@ def jn4_fresh_signals(t: Tables) -> DataFrame:
     signals = _signal_table(t)
     current, prior = signals.filter(F.col("batch") == LAST_BATCH), signals.filter(F.col("batch") < LAST_BATCH)
     state = F.when(F.col("is_repeat"), "repeat").otherwise("fresh")
-    return G.mark_repeats(current, prior, split_hot=True).select("id", "lane", "subject", state.alias("state"))
+    return G.mark_repeats(current, prior).select("id", "lane", "subject", state.alias("state"))
 
 
 @query
@@ -330,7 +383,7 @@ def agg2_severity_counts(t: Tables) -> DataFrame:
 
 @query
 def agg3_sweep_funnel(t: Tables) -> DataFrame:
-    return G.funnel(t.payloads(), t.signals())
+    return G.funnel(t.payloads())
 
 
 @query
@@ -424,7 +477,7 @@ def top1_ranked_signals(t: Tables) -> DataFrame:
 @query
 def top2_first_threads(t: Tables) -> DataFrame:
     run = t.articles().withColumn("run", F.lit(0))
-    return S.uncached_threads(run, t.threads(), ["run"], split_hot=True).select("article_key", "link", "feed_ord", "feed_pos")
+    return S.uncached_threads(run, t.threads(), ["run"]).select("article_key", "link", "feed_ord", "feed_pos")
 
 
 def _topic_digests(t: Tables) -> DataFrame:
@@ -531,10 +584,10 @@ def sig1_normalize(t: Tables) -> DataFrame:
 
 @query
 def sig2_section(t: Tables) -> DataFrame:
-    signals = _signal_table(t)
-    current, prior = signals.filter(F.col("batch") == LAST_BATCH), signals.filter(F.col("batch") < LAST_BATCH)
-    errors = G.funnel(t.payloads(), signals.limit(0)).filter(F.col("n_failed") > 0)
-    return G.render_sections(signals, G.repeat_signals(current, prior), errors)
+    """Sections of all batches: what earlier batches reported is counted, not listed."""
+    marked = G.mark_prior_batches(_signal_table(t))
+    errors = G.funnel(t.payloads()).filter(F.col("n_failed") > 0)
+    return G.render_sections(marked.filter("NOT is_repeat"), marked.filter("is_repeat"), errors)
 
 
 @query
@@ -621,11 +674,18 @@ def txt9_prompts(t: Tables) -> DataFrame:
     return D.prompts(blocks, TEMPLATE, reader="Alex").select("edition", F.md5("prompt").alias("prompt_md5"), "n_articles")
 
 
+LANE_TEMPLATE = "{framing}\nOn {today}, look into {key}: {brief}\nReport about {target} findings."
+
+
 @query
 def txt9_lane_prompts(t: Tables) -> DataFrame:
-    """Lane assignments with the number of payloads each lane has delivered."""
-    done = t.payloads().groupBy(F.col("lane").alias("key")).agg(F.count("*").alias("n_payloads"))
-    return G.lane_prompts(t.lanes(), SWEEP_AS_OF).join(done, "key")
+    """Assignment texts of one lane per part."""
+    k = F.col("p_partkey")
+    lanes = t.part.select(
+        k.cast("string").alias("key"), F.col("p_brand").alias("topic"), F.col("p_name").alias("topic_label"),
+        F.when(k % 3 != 0, F.col("p_brand")).alias("framing"), F.col("p_type").alias("brief"),
+        F.when(k % 5 != 0, F.col("p_size")).alias("target_signals"), F.when(k % 2 == 0, F.col("p_name")).alias("extra_rules"))
+    return G.lane_prompts(lanes, SWEEP_AS_OF, LANE_TEMPLATE)
 
 
 @query
@@ -734,44 +794,44 @@ def int10_digest(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- streaming
 
 
-def _land(t: Tables, rows: DataFrame, by: str, name: str) -> str:
-    """Land rows as parquet, one folder per value of ``by``."""
-    path = scratch_path(t.spark, name)
-    rows.write.partitionBy(by).parquet(path)
-    return path
+#: Drops that land one after the other, each taken in by a tick of its own.
+DROPS = 3
 
 
-@query
-def str1_ingest(t: Tables) -> DataFrame:
-    """Items taken in from landed files, exactly once."""
-    items = t.feed_items().select("source", "title", "link", "feed_pos")
-    path, out = _land(t, items, "source", "landed"), scratch_path(t.spark, "ingested")
-    jobs.ingest(jobs.landed(t.spark, path, items.schema, files_per_batch=8), out)
-    return t.spark.read.parquet(out).select("source", "title", "link", "feed_pos")
+def _ticks(t: Tables, rows: DataFrame, drop: F.Column, name: str, tick: Callable[[DataFrame, str], None]) -> None:
+    """Land one drop, run the job, land the next: the job goes on where it stopped."""
+    path, checkpoint = scratch_path(t.spark, name), scratch_path(t.spark, f"{name}-checkpoint")
+    for i in range(DROPS):
+        rows.filter(drop == i).write.mode("append").parquet(path)
+        tick(jobs.landed(t.spark, path, rows.schema), checkpoint)
 
 
-def _drops(t: Tables) -> tuple[DataFrame, str]:
-    """Articles landed as one drop per language."""
-    rows = t.articles()
-    langs = t.documents.select(F.col("doc_id").alias("feed_pos"), "lang")
-    return rows, _land(t, rows.join(langs, "feed_pos"), "lang", "drops")
+def _turn() -> F.Column:
+    return F.pmod("feed_pos", F.lit(DROPS))
+
+
+@query
+def str1_ingest(t: Tables) -> DataFrame:
+    """Items taken in from landed files over several ticks, exactly once."""
+    items, out = t.feed_items().select("source", "title", "link", "feed_pos"), scratch_path(t.spark, "ingested")
+    _ticks(t, items, _turn(), "landed", lambda stream, checkpoint: jobs.ingest(stream, out, checkpoint))
+    return t.spark.read.schema(items.schema).parquet(out).select("source", "title", "link", "feed_pos")
 
 
 @query
 def str2_recent(t: Tables) -> DataFrame:
-    rows, path = _drops(t)
+    """Recent rows and the run that took them in."""
     out = scratch_path(t.spark, "recent")
-    jobs.ingest_recent(jobs.landed(t.spark, path, rows.schema, files_per_batch=8), out, AS_OF)
-    return t.spark.read.parquet(out).select("article_key", "source", "published", "feed_pos")
+    _ticks(t, t.articles(), _turn(), "drops", lambda stream, checkpoint: jobs.ingest_recent(stream, out, checkpoint, AS_OF))
+    return t.spark.read.parquet(out).select("article_key", "source", "published", "feed_pos", F.col("run").cast("bigint").alias("run"))
 
 
 @query
 def str3_exact_dedup(t: Tables) -> DataFrame:
-    """Daily runs over landed drops; every offered key ends up in the log once."""
-    rows, path = _drops(t)
+    """Daily runs over landed drops: every key and the run that delivered it."""
     log = StateLog(t.spark, scratch_path(t.spark, "log"))
-    jobs.daily_stream(jobs.landed(t.spark, path, rows.schema, files_per_batch=8), log, lambda _: AS_OF, _digest)
-    return log.sent(2**31, AS_OF).select("article_key", "title", "link")
+    _ticks(t, t.articles(), _turn(), "drops", lambda stream, checkpoint: jobs.daily_stream(stream, log, checkpoint, lambda _: AS_OF, _digest))
+    return log.read("sent", schemas.SENT, 2**31).select("article_key", "run")
 
 
 @query
@@ -781,27 +841,24 @@ def str4_bounded_dedup(t: Tables) -> DataFrame:
         F.col("ts").cast("timestamp").alias("ts"))
     path, out = scratch_path(t.spark, "events"), scratch_path(t.spark, "unique")
     items.write.parquet(path)
-    jobs.dedup_within(jobs.landed(t.spark, path, items.schema), out, "ts", "60 days")
+    jobs.dedup_within(jobs.landed(t.spark, path, items.schema), out, scratch_path(t.spark, "unique-checkpoint"), "ts", "60 days")
     return t.spark.read.parquet(out).select("article_key")
 
 
 @query
 def str5_thread_state(t: Tables) -> DataFrame:
-    """Threads of landed drops, inserted once per link."""
-    rows, path = _drops(t)
+    """Threads of landed drops, inserted once per link by the run that saw it first."""
     log = StateLog(t.spark, scratch_path(t.spark, "threads"))
-    jobs.threads_stream(jobs.landed(t.spark, path, rows.schema), log, lambda _: AS_OF)
-    return log.threads(2**31, AS_OF).select("url", "title", "subreddit")
+    _ticks(t, t.articles(), _turn(), "drops", lambda stream, checkpoint: jobs.threads_stream(stream, log, checkpoint, lambda _: AS_OF))
+    return log.read("threads", schemas.THREAD, 2**31).select("url", "title", "subreddit", "run")
 
 
 @query
 def str6_signal_state(t: Tables) -> DataFrame:
-    """Sweeps landed by week, merged batch by batch; the final rolling history."""
-    signals = t.signals()
-    path = scratch_path(t.spark, "weeks")
-    signals.write.parquet(path)
+    """Sweeps landed week by week, merged tick by tick; the final rolling history."""
     log = StateLog(t.spark, scratch_path(t.spark, "signals"))
-    jobs.sweep_stream(jobs.landed(t.spark, path, signals.schema), log, SWEEP_AS_OF)
+    drop = F.when(F.col("batch") < "2024-01-15", 0).when(F.col("batch") < LAST_BATCH, 1).otherwise(2)
+    _ticks(t, _signal_table(t), drop, "weeks", lambda stream, checkpoint: jobs.sweep_stream(stream, log, checkpoint, SWEEP_AS_OF))
     return signal_history(log, 2**31, SWEEP_AS_OF).select("id", "batch", "date", "lane", "severity")
 
 
@@ -811,7 +868,7 @@ def str7_daily_counts(t: Tables) -> DataFrame:
     rows = t.events.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("source"))
     path, out = scratch_path(t.spark, "stream"), scratch_path(t.spark, "counts")
     rows.write.parquet(path)
-    jobs.daily_counts(jobs.landed(t.spark, path, rows.schema), out, "ts")
+    jobs.daily_counts(jobs.landed(t.spark, path, rows.schema), out, scratch_path(t.spark, "counts-checkpoint"), "ts")
     counts = t.spark.read.parquet(out)
     return counts.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "source", "n_rows")
 

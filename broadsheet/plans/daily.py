@@ -2,14 +2,16 @@
 
 State is a log: every run appends what it learned under ``run=<id>`` and a
 commit marker is written last, after delivery. A run reads only runs committed
-before it, so a run that failed anywhere left nothing behind, and a run that is
-repeated overwrites its own folders with the same rows.
+before it, so a run that failed anywhere shows in no later one, and a run that is
+repeated overwrites its own folders with the same rows. Tables whose rows live
+for some days carry the day of the run as an outer folder, which prunes reads.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +21,17 @@ from .. import schemas
 from ..functions.times import moment
 from ..operators import articles as A
 from ..operators import state as S
+from ..session import remove
 from ..sources.scans import state_table
 from .ordered import last_wins
 
 RUN = T.StructType([T.StructField("run", T.LongType())])
+#: Tables read by age: their folders start with the day of the run.
+DATED = ("sent", "threads")
 
 
-def _with_run(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("run", T.LongType())])
+def _day(as_of: str | date) -> str:
+    return as_of.isoformat()[:10] if isinstance(as_of, date) else str(as_of)[:10]
 
 
 @dataclass(frozen=True)
@@ -36,32 +41,48 @@ class StateLog:
     spark: SparkSession
     root: str
 
-    def path(self, table: str, run: int | None = None) -> str:
-        return f"{self.root}/{table}" + ("" if run is None else f"/run={run}")
+    def path(self, table: str, run: int | None = None, as_of=None) -> str:
+        day = f"/day={_day(as_of)}" if table in DATED and run is not None else ""
+        return f"{self.root}/{table}{day}" + ("" if run is None else f"/run={run}")
 
     def committed(self, before: int) -> DataFrame:
         return state_table(self.spark, self.path("commits"), RUN).filter(F.col("run") < before)
 
-    def read(self, table: str, schema: T.StructType, before: int) -> DataFrame:
-        """Rows of committed earlier runs, ``run`` included; the run filter prunes folders."""
-        rows = state_table(self.spark, self.path(table), _with_run(schema)).filter(F.col("run") < before)
-        return rows.join(self.committed(before), "run", "left_semi")
+    def read(self, table: str, schema: T.StructType, before: int, since=None) -> DataFrame:
+        """Rows of committed earlier runs, ``run`` included; run and day filters prune folders.
 
-    def write(self, df: DataFrame, table: str, run: int) -> None:
-        df.write.mode("overwrite").parquet(self.path(table, run))
+        ``since`` leaves out runs of earlier days, for dated tables.
+        """
+        folders = [T.StructField("day", T.DateType())] if table in DATED else []
+        rows = state_table(self.spark, self.path(table), T.StructType([*schema.fields, *folders, *RUN.fields]))
+        rows = rows.filter(F.col("run") < before)
+        if since is not None and folders:
+            rows = rows.filter(F.col("day") >= F.lit(since).cast("date"))
+        return rows.drop("day").join(self.committed(before), "run", "left_semi")
+
+    def write(self, df: DataFrame, table: str, run: int, as_of=None) -> None:
+        df.write.mode("overwrite").parquet(self.path(table, run, as_of))
+
+    def written(self, table: str, run: int) -> DataFrame:
+        """What this run has written itself, committed or not."""
+        return self.spark.read.parquet(self.path(table, run))
 
     def commit(self, run: int) -> None:
         """Make a run visible. The marker folder itself carries the run id."""
         self.spark.range(1).write.mode("overwrite").parquet(self.path("commits", run))
 
+    def _young(self, table: str, schema: T.StructType, before: int, as_of, column: str) -> DataFrame:
+        first = date.fromisoformat(_day(as_of)) - timedelta(days=S.SENT_DAYS)
+        return S.retained(self.read(table, schema, before, first.isoformat()), column, as_of)
+
     def sent(self, before: int, as_of) -> DataFrame:
         """Retained sent keys, newest entry per key."""
-        rows = S.retained(self.read("sent", schemas.SENT, before), "sent_at", as_of)
+        rows = self._young("sent", schemas.SENT, before, as_of, "sent_at")
         return last_wins(rows, ["article_key"], F.struct("run", "sent_at")).drop("run")
 
     def threads(self, before: int, as_of) -> DataFrame:
         """Retained threads; the first build of a link stays."""
-        rows = S.retained(self.read("threads", schemas.THREAD, before), "fetched_at", as_of)
+        rows = self._young("threads", schemas.THREAD, before, as_of, "fetched_at")
         return last_wins(rows, ["url"], F.struct(-F.col("run"), "fetched_at")).drop("run")
 
 
@@ -73,45 +94,68 @@ def run_daily(
     digest_of: Callable[[DataFrame], DataFrame],
     deliver: Callable[[DataFrame], bool] = lambda published: True,
     max_threads: int = S.MAX_THREADS,
+    signals: DataFrame | None = None,
 ) -> bool:
     """One run over taken-in articles. True when it delivered and committed.
 
     ``digest_of`` turns the new articles into digest rows. Threads are built
     before the dedup, from all articles. Everything offered to the digest is
-    marked as sent, not only what the digest kept.
+    marked as sent, not only what the digest kept. ``signals`` is the sweep of
+    this run, if one was due: its history, threads and sent keys all become
+    visible by the one commit behind the delivery, or not at all.
+
+    The offered rows are written once and read back, so what is marked as sent is
+    what was delivered even if the input changes meanwhile.
     """
     keyed = A.with_article_key(articles)
-    cached = log.threads(run, as_of)
-    new = A.not_sent(keyed, log.sent(run, as_of))
-
+    log.write(A.not_sent(keyed, log.sent(run, as_of)), "offered", run)
+    new = log.written("offered", run)
     log.write(digest_of(new), "digests", run)
-    published = log.spark.read.parquet(log.path("digests", run))
-    if not deliver(published):
+    if signals is not None:
+        _write_sweep(log, signals, run, as_of)
+    if not deliver(log.written("digests", run)):
+        for table in ("offered", "digests", "signals", "fresh", "sweep_runs"):
+            remove(log.spark, log.path(table, run))
         return False
 
     offered = last_wins(
         new.select("article_key", "title", "link", "source", "feed_ord", "feed_pos"),
         ["article_key"], F.struct("feed_ord", "feed_pos"),
     )
-    log.write(offered.select("article_key", "title", "link", "source", moment(as_of).alias("sent_at")), "sent", run)
+    sent = offered.select("article_key", "title", "link", "source", moment(as_of).alias("sent_at"))
+    log.write(sent, "sent", run, as_of)
+    cached = log.threads(run, as_of)
     picked = S.uncached_threads(keyed.withColumn("_run", F.lit(0)), cached, ["_run"], max_threads).drop("_run")
     built = S.build_threads(last_wins(picked, ["link"], F.struct("feed_ord", "feed_pos")), as_of)
-    log.write(built, "threads", run)
+    log.write(built, "threads", run, as_of)
     log.commit(run)
     return True
 
 
-def run_sweep_merge(log: StateLog, signals: DataFrame, run: int, as_of) -> DataFrame:
-    """Append a sweep to the signal log and stamp the run. Returns its fresh signals."""
+def _write_sweep(log: StateLog, signals: DataFrame, run: int, as_of) -> None:
+    """Signals, the fresh ones among them and the run stamp, not yet visible."""
     from ..operators.signals import fresh_signals
 
-    prior = log.read("signals", schemas.SIGNAL, run).drop("run")
-    fresh = fresh_signals(signals, prior)
     log.write(signals.select(*schemas.SIGNAL.fieldNames()), "signals", run)
+    prior = log.read("signals", schemas.SIGNAL, run).drop("run")
+    log.write(fresh_signals(log.written("signals", run), prior), "fresh", run)
     stamp = log.spark.range(1).select(
         F.date_format(moment(as_of), "yyyy-MM-dd").alias("last_run_date"), F.lit(str(run)).alias("last_batch")
     )
     log.write(stamp, "sweep_runs", run)
+
+
+def run_sweep_merge(log: StateLog, signals: DataFrame, run: int, as_of, deliver: Callable[[DataFrame], bool] = lambda fresh: True) -> DataFrame | None:
+    """A sweep on its own: append to the signal log and commit once ``deliver`` took the fresh signals.
+
+    Returns the fresh signals, or None where they were not delivered.
+    """
+    _write_sweep(log, signals, run, as_of)
+    fresh = log.written("fresh", run)
+    if not deliver(fresh):
+        for table in ("signals", "fresh", "sweep_runs"):
+            remove(log.spark, log.path(table, run))
+        return None
     log.commit(run)
     return fresh
 

@@ -142,7 +142,9 @@ def define(name: str, needs: str, sql: str) -> None:
 
 # ---------------------------------------------------------------- sources and sinks
 oracle("src1_feed_items", "articles items", """
-SELECT a.title, a.link, a.source, a.published, a.feed_ord, a.feed_pos, CAST(length(left(i.body, 500)) AS INTEGER) AS n_summary
+SELECT a.title, a.link, a.source, a.published, a.feed_ord,
+  row_number() OVER (PARTITION BY a.source, a.feed_pos // 2000 ORDER BY a.feed_pos) - 1 AS feed_pos,
+  CAST(length(left(i.body, 500)) AS INTEGER) AS n_summary
 FROM articles a JOIN items i ON a.feed_pos = i.feed_pos""")
 oracle("src2_stories", "", """
 SELECT 'Story ' || o_orderkey AS title,
@@ -162,29 +164,38 @@ WHERE rn <= 20 AND title <> ''""")
 # The story rows carry their score in the summary only, which the query leaves out.
 oracle("src4_feed_health", "", """
 SELECT f.source,
-  CASE WHEN f.source IN ('src4', 'src9') THEN 'http_error' WHEN f.source = 'silent' THEN 'malformed_empty'
-       WHEN f.source = 'src6' THEN CASE WHEN count(d.doc_id) = 0 THEN 'malformed_empty' ELSE 'malformed_kept' END
-       WHEN count(d.doc_id) = 0 THEN 'empty' ELSE 'ok' END AS health,
-  CASE WHEN f.source IN ('src4', 'src9') THEN 0 ELSE count(d.doc_id) END AS n_rows
+  CASE WHEN f.source = 'src12' THEN 'not_fetched' WHEN f.source IN ('src4', 'src9') THEN 'http_error'
+       WHEN count(d.doc_id) = 0 THEN 'empty'
+       WHEN f.source <> 'silent' AND CAST(substr(f.source, 4) AS INTEGER) % 4 = 3 THEN 'malformed_kept' ELSE 'ok' END AS health,
+  CASE WHEN f.source IN ('src4', 'src9', 'src12') THEN 0 ELSE count(d.doc_id) END AS n_rows
 FROM feeds f LEFT JOIN documents d ON d.source = f.source GROUP BY f.source""",
        feeds="SELECT unnest([" + ", ".join(f"'{s}'" for s in [*SOURCES, "silent"]) + "]) AS source")
 oracle("src5_state_import", "articles", """
-SELECT article_key, title, link, source, TIMESTAMP '2024-01-25 06:00:00' AS sent_at FROM articles WHERE feed_pos % 10 NOT IN (7, 8)""")
+SELECT kind, CASE kind WHEN 'stamp' THEN '2024-01-27' WHEN 'signal' THEN md5(link) ELSE article_key END AS key,
+  CASE WHEN kind IN ('sent', 'thread') THEN title ELSE '' END AS title,
+  CASE kind WHEN 'sent' THEN TIMESTAMP '2024-01-25 06:00:00' WHEN 'thread' THEN TIMESTAMP '2024-01-26 06:00:00' END AS at
+FROM articles, (SELECT unnest(['sent', 'thread', 'signal', 'stamp']) AS kind) WHERE feed_pos % 10 NOT IN (7, 8)""")
 oracle("src6_payload_entries", "base_entries", """
 SELECT batch, lane, event_id AS payload_seq, CAST(pos AS INTEGER) AS pos, pos = 3 OR shape <> 5 AS is_object
 FROM (SELECT *, unnest(CASE WHEN shape = 5 THEN [0, 1, 2, 3] WHEN shape IN (11, 17, 19, 21) THEN [] ELSE [0, 1] END) AS pos FROM base_entries)""")
+oracle("src8_file_listing", "", "SELECT DISTINCT 'source=' || source AS folder, true AS filled FROM documents")
 oracle("src7_pages", "", "SELECT page_id, url, length(html) AS n_chars FROM pages")
 oracle("snk1_mark_sent", "sent articles", """
 SELECT article_key, title, link, source, TIMESTAMP '2024-01-30 00:00:00' AS sent_at FROM articles
+WHERE feed_pos % 2 = 1
 QUALIFY row_number() OVER (PARTITION BY article_key ORDER BY feed_ord DESC, feed_pos DESC) = 1
 UNION ALL
-SELECT * FROM sent WHERE article_key NOT IN (SELECT article_key FROM articles)""")
-oracle("snk2_commit", "todays", """
-SELECT run, article_key, source, TIMESTAMP '2024-01-30 00:00:00' AS sent_at FROM (
-  SELECT 1::BIGINT AS run, * FROM todays WHERE feed_ord % 2 = 0
+SELECT * FROM sent WHERE article_key NOT IN (SELECT article_key FROM articles WHERE feed_pos % 2 = 1)""")
+oracle("snk2_commit", "todays signals", """
+SELECT DISTINCT run, 'sent' AS kind, article_key AS key, 1::BIGINT AS n FROM (
+  SELECT 1::BIGINT AS run, article_key FROM todays WHERE feed_ord % 2 = 0
   UNION ALL
-  SELECT 3, * FROM todays WHERE article_key NOT IN (SELECT article_key FROM todays WHERE feed_ord % 2 = 0))
-QUALIFY row_number() OVER (PARTITION BY run, article_key ORDER BY feed_ord DESC, feed_pos DESC) = 1""")
+  SELECT 3, article_key FROM todays WHERE article_key NOT IN (SELECT article_key FROM todays WHERE feed_ord % 2 = 0))
+UNION ALL
+SELECT CASE WHEN batch < '2024-01-22' THEN 1 ELSE 3 END, 'signal', id, count(*) FROM signals GROUP BY ALL
+UNION ALL
+SELECT CASE WHEN batch < '2024-01-22' THEN 1 ELSE 3 END, 'fresh', id, count(*) FROM signals
+WHERE batch < '2024-01-22' OR id NOT IN (SELECT id FROM signals WHERE batch < '2024-01-22') GROUP BY ALL""")
 define("rolled", "signals", """
   SELECT * FROM (SELECT *, min(payload_seq) OVER (PARTITION BY id) AS first_seq FROM signals)
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY batch >= '2024-01-22' DESC, payload_seq DESC, pos DESC) = 1""")
@@ -207,8 +218,9 @@ UNION ALL SELECT run, 'no thread articles' FROM stats WHERE n_threads = 0
 UNION ALL SELECT run, 'no threads built' FROM stats WHERE n_threads > 0 AND n_built = 0""", stats="""
   SELECT run, count(*) FILTER (WHERE new) AS n_new, count(*) FILTER (WHERE thread) AS n_threads,
     count(*) FILTER (WHERE new AND thread) AS n_built
-  FROM (SELECT coalesce(strftime(published, '%Y-%m-%d'), 'undated') AS run, source IN ('src3', 'src7') AS thread,
-          article_key NOT IN (SELECT article_key FROM recent_sent) AS new FROM articles)
+  FROM (SELECT strftime(unnest(generate_series(TIMESTAMP '2024-01-25', TIMESTAMP '2024-02-01', INTERVAL 1 DAY)), '%Y-%m-%d') AS run)
+  LEFT JOIN (SELECT strftime(published, '%Y-%m-%d') AS run, source IN ('src3', 'src7') AS thread,
+          article_key NOT IN (SELECT article_key FROM recent_sent) AS new FROM articles) USING (run)
   GROUP BY run""")
 oracle("prj1_article_key", "articles", "SELECT article_key, feed_pos FROM articles")
 oracle("prj2_signal_id", "entries", f"""
@@ -344,19 +356,20 @@ def esc(x: str) -> str:
 
 
 define("digests", "chosen", f"""
-  SELECT lang, '<h1>🗞️ Daily News Digest</h1>' || chr(10) || '<p>Good morning! Here''s your personalized news for 2024-01-30.</p>'
-      || chr(10) || chr(10) || string_agg(part, chr(10) || chr(10) ORDER BY section_ord) AS html,
+  SELECT lang, part_no, CASE WHEN part_no > 0 THEN '' ELSE '<h1>🗞️ Daily News Digest</h1>' || chr(10) || '<p>Good morning! Here''s your personalized news for 2024-01-30.</p>'
+      || chr(10) || chr(10) END || string_agg(part, chr(10) || chr(10) ORDER BY section_ord) AS html,
     CAST(sum(c) AS BIGINT) AS n_articles
   FROM (
-    SELECT lang, section_ord, count(*) AS c,
+    SELECT lang, part_no, section_ord, count(*) AS c,
       '<h2>' || {esc(f'{_heads}[section_ord + 1]')} || '</h2>' || chr(10) || '<ul>' || chr(10) || string_agg(
         '  <li>' || chr(10) || '    <strong><a href="' || {esc('link')} || '">' || {esc('title')} || '</a></strong> (' || {esc('source')}
         || ')<br>' || chr(10) || '    ' || {esc('summary')} || chr(10) || '  </li>', chr(10) ORDER BY {_PRIORITY})
         || chr(10) || '</ul>' AS part
-    FROM chosen GROUP BY lang, section_ord)
-  GROUP BY lang""")
-oracle("int10_digest", "digests", "SELECT lang, html, n_articles FROM digests")
-oracle("snk4_publish", "digests", "SELECT lang, md5(html) AS html_md5, n_articles, '2024-01-30' AS digest_date FROM digests")
+    FROM (SELECT *, CAST((row_number() OVER (PARTITION BY lang ORDER BY section_ord, {_PRIORITY}) - 1) // 200 AS INTEGER) AS part_no FROM chosen)
+    GROUP BY lang, part_no, section_ord)
+  GROUP BY lang, part_no""")
+oracle("int10_digest", "digests", "SELECT lang, part_no, html, n_articles FROM digests")
+oracle("snk4_publish", "digests", "SELECT lang, part_no, md5(html) AS html_md5, n_articles, '2024-01-30' AS digest_date FROM digests")
 
 # ---------------------------------------------------------------- aggregates
 _FEEDS = "SELECT unnest([" + ", ".join(f"'{s}'" for s in [*SOURCES, "silent"]) + "]) AS source"
@@ -485,22 +498,26 @@ _ITEM = (
     + " || '</strong> (' || " + esc("lane") + " || '): ' || " + esc("summary")
     + " || CASE WHEN relevance <> '' THEN ' — <em>' || " + esc("relevance") + " || '</em>' ELSE '' END || ' <a href=\"' || "
     + esc("source_url") + " || '\">' || " + esc("CASE WHEN source_name = '' THEN 'source' ELSE source_name END") + " || '</a></li>'")
-oracle("sig2_section", "ranked failures", f"""
-SELECT c.batch, '<h2>🔎 Weekly Web Sweep</h2>' || chr(10) || list || chr(10) || '<p><em>' || {esc(
+define("marked", "signals", """
+  SELECT *, batch > min(batch) OVER (PARTITION BY id) AS is_repeat FROM signals""")
+define("ranked_fresh", "marked", """
+  SELECT *, CAST(row_number() OVER (PARTITION BY batch ORDER BY rank, topic_label, payload_seq, pos) AS INTEGER) AS item_no
+  FROM marked WHERE NOT is_repeat""")
+oracle("sig2_section", "ranked_fresh failures", f"""
+SELECT c.batch, '<h2>🔎 Weekly Web Sweep</h2>' || chr(10) || coalesce(list || chr(10), '') || '<p><em>' || {esc(
     "'act_now ' || a || ' · notable ' || b || ' · info ' || i || ' · batch ' || left(c.batch, 8) "
     "|| CASE WHEN n_more > 0 THEN ' · +' || n_more || ' more in history' ELSE '' END "
     "|| CASE WHEN n_rep > 0 THEN ' · ' || n_rep || ' repeat(s) from prior weeks suppressed' ELSE '' END "
     "|| CASE WHEN n_err > 0 THEN ' · ' || n_err || ' lane(s) failed' ELSE '' END")} || '</em></p>' AS html, n_more
-FROM (SELECT batch, count(*) FILTER (WHERE severity = 'act_now') AS a, count(*) FILTER (WHERE severity = 'notable') AS b,
-        count(*) FILTER (WHERE severity = 'info') AS i, greatest(count(*) - 14, 0) AS n_more FROM signals GROUP BY batch) c
-JOIN groups g ON g.batch = c.batch
-LEFT JOIN (SELECT batch, count(*) AS n_rep FROM signals WHERE batch = '2024-01-29'
-           AND id IN (SELECT id FROM signals WHERE batch < '2024-01-29') GROUP BY batch) r ON r.batch = c.batch
+FROM (SELECT batch, count(*) FILTER (WHERE severity = 'act_now' AND NOT is_repeat) AS a,
+        count(*) FILTER (WHERE severity = 'notable' AND NOT is_repeat) AS b, count(*) FILTER (WHERE severity = 'info' AND NOT is_repeat) AS i,
+        count(*) FILTER (WHERE is_repeat) AS n_rep, greatest(count(*) FILTER (WHERE NOT is_repeat) - 14, 0) AS n_more FROM marked GROUP BY batch) c
+LEFT JOIN groups g ON g.batch = c.batch
 LEFT JOIN (SELECT batch, count(*) AS n_err FROM failures WHERE n_failed > 0 GROUP BY batch) e ON e.batch = c.batch""",
        islands="""
   SELECT *, sum(s) OVER (PARTITION BY batch ORDER BY item_no) AS island FROM (
     SELECT *, CASE WHEN topic_label IS DISTINCT FROM lag(topic_label) OVER (PARTITION BY batch ORDER BY item_no) THEN 1 ELSE 0 END AS s
-    FROM ranked WHERE item_no <= 14)""",
+    FROM ranked_fresh WHERE item_no <= 14)""",
        groups=f"""
   SELECT batch, string_agg(block, chr(10) ORDER BY island) AS list FROM (
     SELECT batch, island, '<h3>' || {esc('any_value(topic_label)')} || '</h3>' || chr(10) || '<ul>' || chr(10)
@@ -509,23 +526,10 @@ LEFT JOIN (SELECT batch, count(*) AS n_err FROM failures WHERE n_failed > 0 GROU
 oracle("sig3_sweep_due", "", """
 SELECT c_custkey, CASE WHEN c_custkey % 50 = 7 THEN true WHEN c_custkey % 25 = 0 OR c_custkey % 31 = 0 THEN true
   WHEN c_custkey % 12 = 0 THEN false WHEN c_custkey % 3 = 1 THEN true ELSE c_custkey % 12 >= 8 END AS due FROM customer""")
-oracle("txt9_lane_prompts", "base_entries", """
-SELECT key, replace(replace(replace('You run a weekly web-grounded intelligence sweep for a personal news digest. Sweep ONE lane and report structured signals.
-
-We make an example product.
-
-Today''s date: 2024-03-01.
-
-THIS LANE (' || key || '): BRIEF
-
-RULES:
-1. Use web_search; every signal must be grounded in a page you actually found — no memory, no speculation. Prefer developments from the last 7-14 days.
-2. Aim for about TARGET signals. Rank severity honestly — most weeks have zero act_now signals, and a digest that cries wolf gets ignored.
-3. Put concrete figures in metrics, not prose.
-4. When done, call report_sweep_signals exactly once.EXTRA', 'BRIEF', brief), 'TARGET', target), 'EXTRA', extra) AS prompt, n_payloads
-FROM (VALUES ('competitor', 'Moves by competitors.', '5', ''),
-             ('market-pricing', 'Price signals.', '4', chr(10) || chr(10) || 'Name the currency.')) v(key, brief, target, extra)
-JOIN (SELECT lane, count(*) AS n_payloads FROM base_entries GROUP BY lane) ON lane = key""")
+oracle("txt9_lane_prompts", "", """
+SELECT CAST(p_partkey AS VARCHAR) AS key, CASE WHEN p_partkey % 3 <> 0 THEN p_brand ELSE '' END || chr(10) || 'On 2024-03-01, look into '
+  || p_partkey || ': ' || p_type || chr(10) || 'Report about ' || CASE WHEN p_partkey % 5 <> 0 THEN p_size ELSE 5 END || ' findings.'
+  || CASE WHEN p_partkey % 2 = 0 THEN chr(10) || chr(10) || p_name ELSE '' END AS prompt FROM part""")
 
 # ---------------------------------------------------------------- documents
 _TAGS = r"(?is)<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>|<!--.*?-->|<!?/?[a-z][^>]*>"
@@ -634,17 +638,22 @@ SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 THEN 'pin-a' ELSE {pool('edge_male
 # ---------------------------------------------------------------- streaming
 oracle("str1_ingest", "items", "SELECT source, title, link, feed_pos FROM items")
 oracle("str2_recent", "articles", """
-SELECT article_key, source, published, feed_pos FROM articles WHERE published IS NULL OR published >= TIMESTAMP '2024-01-29 00:00:00'""")
-oracle("str3_exact_dedup", "articles", "SELECT DISTINCT article_key, title, link FROM articles")
+SELECT article_key, source, published, feed_pos, feed_pos % 3 AS run FROM articles
+WHERE published IS NULL OR published >= TIMESTAMP '2024-01-29 00:00:00'""")
+oracle("str3_exact_dedup", "articles", "SELECT article_key, min(feed_pos % 3) AS run FROM articles GROUP BY article_key")
 oracle("str4_bounded_dedup", "", f"SELECT DISTINCT {key('event_type', 'CAST(user_id AS VARCHAR)')} AS article_key FROM events")
 oracle("str5_thread_state", "articles", """
-SELECT DISTINCT link AS url, title, source AS subreddit FROM articles WHERE source IN ('src3', 'src7')""")
+SELECT link AS url, title, source AS subreddit, feed_pos % 3 AS run FROM articles WHERE source IN ('src3', 'src7')
+QUALIFY row_number() OVER (PARTITION BY link ORDER BY feed_pos % 3, feed_ord DESC, feed_pos DESC) = 1""")
 oracle("str6_signal_state", "signals", """
 SELECT id, batch, date, lane, severity FROM (
-  SELECT * FROM signals QUALIFY row_number() OVER (PARTITION BY id ORDER BY payload_seq DESC, pos DESC) = 1)
+  SELECT * FROM signals QUALIFY row_number() OVER (PARTITION BY id ORDER BY
+    CASE WHEN batch < '2024-01-15' THEN 0 WHEN batch < '2024-01-29' THEN 1 ELSE 2 END DESC, payload_seq DESC, pos DESC) = 1)
 WHERE date >= '2024-01-16'""")
 oracle("str7_silent_sources", "", """
-SELECT day, source FROM (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events), (SELECT unnest(['click', 'view', 'silent']) AS source)
+SELECT day, source FROM (
+  SELECT strftime(unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)), '%Y-%m-%d') AS day FROM events),
+  (SELECT unnest(['click', 'view', 'silent']) AS source)
 EXCEPT SELECT strftime(ts, '%Y-%m-%d'), event_type FROM events""")
 oracle("str7_daily_counts", "", """
 SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS source, count(*) AS n_rows FROM events

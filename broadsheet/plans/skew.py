@@ -1,53 +1,25 @@
-"""Membership joins that stay balanced when a few keys hold most rows.
+"""Membership joins against keys of a table.
 
-The adaptive skew join covers two plain shuffled inputs. It cannot act when the
-key side is itself an aggregate, so whole-table joins split the hot keys off:
-at most ``HOT_KEYS`` of them, found by an exact top-k over counts. That limit is
-the proven size of everything broadcast here. All other keys take the ordinary
-shuffled join, and each of them holds less than 1/HOT_KEYS of the rows.
+No hint is given: the key side grows, so its side is chosen by its size. Both
+sides are meant to be plain shuffled inputs (state read from files), which the
+adaptive skew join splits on the left where one key holds many rows. A semi or
+anti join needs no distinct keys on the right.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
-
-
-def hot_keys(left: DataFrame, key: str) -> DataFrame:
-    """The most frequent keys; counting combines before the shuffle."""
-    counts = left.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    return counts.orderBy(F.desc("_n"), key).limit(HOT_KEYS).select(key)
-
 
-def member_join(left: DataFrame, right: DataFrame, key: str, how: str, split_hot: bool = False) -> DataFrame:
+def member_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     """``left_semi`` or ``left_anti`` of ``left`` against the keys of ``right``."""
     if how not in ("left_semi", "left_anti"):
         raise ValueError("how must be left_semi or left_anti")
-    return _split(left, right.select(key), key, split_hot, lambda rows, keys: rows.join(keys, key, how))
+    return left.join(right.select(key), key, how)
 
 
-def mark_members(left: DataFrame, right: DataFrame, key: str, out: str, split_hot: bool = False) -> DataFrame:
+def mark_members(left: DataFrame, right: DataFrame, key: str, out: str) -> DataFrame:
     """All rows of ``left`` with a flag: is the key in ``right``. One join answers both ways."""
-    def flag(rows: DataFrame, keys: DataFrame) -> DataFrame:
-        joined = rows.join(keys.distinct().withColumn(out, F.lit(True)), key, "left")
-        return joined.withColumn(out, F.coalesce(out, F.lit(False)))
-
-    return _split(left, right.select(key), key, split_hot, flag)
-
-
-def _split(
-    left: DataFrame, keys: DataFrame, key: str, split_hot: bool, join: Callable[[DataFrame, DataFrame], DataFrame]
-) -> DataFrame:
-    if not split_hot:
-        return join(left, keys)
-    hot = hot_keys(left, key)
-    marked = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    hot_members = keys.join(F.broadcast(hot), key, "left_semi").distinct().limit(HOT_KEYS)
-    few = marked.filter(F.col("_hot")).drop("_hot")
-    rest = marked.filter(F.col("_hot").isNull()).drop("_hot")
-    few, rest = join(few, F.broadcast(hot_members)), join(rest, keys.distinct())
-    return few.unionByName(rest)
+    joined = left.join(right.select(key).distinct().withColumn(out, F.lit(True)), key, "left")
+    return joined.withColumn(out, F.coalesce(out, F.lit(False)))

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Scratch folders handed out, for ``clear_scratch``.
+_WRITTEN: list[str] = []
+
+
 def get_session(app: str = "broadsheet", master: str | None = None, **conf: str) -> SparkSession:
     """A UTC session with the adaptive settings the operators are planned for.
 
@@ -52,4 +56,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark can write to."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written under the scratch folder so far."""
+    while _WRITTEN:
+        remove(spark, _WRITTEN.pop())

@@ -3,72 +3,78 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions import variants as V
 from ..functions.times import from_epoch
 from ..operators.articles import STORY_FEED_ORD, STORY_SOURCE
+from ..plans.ordered import once
 
-_RSS = schemas.shape("title link description pubDate _broken", feed_pos=schemas.LONG)
-_ATOM = schemas.shape("title summary published updated _broken", link=schemas.shape("_href"), feed_pos=schemas.LONG)
+# Names keep their prefix, so that <media:title> or <atom:link> never stands for the plain element.
+_LINK = T.ArrayType(schemas.shape("_VALUE _href _rel"))
+_ENTRY = schemas.shape(
+    "title description summary content content:encoded pubDate published updated dc:date", link=_LINK)
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
 
 
-def _xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) -> DataFrame:
-    """Landed XML with the file each row came from; what cannot be parsed gives no rows."""
-    rows = (
-        spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_broken").option("ignoreNamespace", "true")
-        .option("recursiveFileLookup", "true").schema(schema).load(path)
-    )
-    return rows.withColumn("landed", F.col("_metadata.file_path")).filter(F.col("_broken").isNull()).drop("_broken")
-
+def snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Feed snapshots as served, one row per file: ``landed``, ``body``, ``malformed``.
 
-def _entries(spark: SparkSession, path: str, feed_tag: str, tag: str, entry: T.StructType, numbered: bool) -> DataFrame:
-    if numbered:
-        return _xml(spark, path, tag, entry)
-    inner = T.StructType([f for f in entry.fields if f.name not in ("_broken", "feed_pos")])
-    feed = schemas.shape("_broken", **{tag: T.ArrayType(inner)})
-    rows = _xml(spark, path, feed_tag, feed).select("landed", F.posexplode(tag).alias("pos", "e"))
-    return rows.select("landed", "e.*", F.col("pos").cast("bigint").alias("feed_pos"))
+    A snapshot is one response of one feed and small, so a file is read whole.
+    """
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    broken = F.from_xml("value", schemas.shape("_broken"), _PERMISSIVE)["_broken"].isNotNull()
+    return files.select(F.col("_metadata.file_path").alias("landed"), F.col("value").alias("body"), broken.alias("malformed"))
 
 
-def rss_items(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
-    """RSS items with their position in the feed.
+def feed_entries(snapshots: DataFrame) -> DataFrame:
+    """Raw items of RSS, RDF and Atom snapshots with their position in the file.
 
-    A snapshot as served is read feed by feed, the position being the order in
-    the file. ``numbered`` reads large landed files whose items carry
-    ``feed_pos`` item by item, which splits them.
+    Items are cut out of the text before they are parsed, so a malformed snapshot
+    gives the items it holds in full. An item that is broken inside gives none.
     """
-    items = _entries(spark, path, "channel", "item", _RSS, numbered)
-    return items.select(
-        "title", "link", F.lit(None).cast("string").alias("summary"), "description",
-        F.col("pubDate").alias("published"), F.lit(None).cast("string").alias("updated"), "feed_pos", "landed",
-    )
-
-
-def atom_items(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
-    """Atom entries in the same shape as RSS items."""
-    items = _entries(spark, path, "feed", "entry", _ATOM, numbered)
-    return items.select(
-        "title", F.col("link._href").alias("link"), "summary", F.lit(None).cast("string").alias("description"),
-        "published", "updated", "feed_pos", "landed",
+    cut = F.regexp_extract_all("body", F.lit(r"(?s)<(item|entry)(?=[\s>]).*?</\1\s*>"), F.lit(0))
+    rows = snapshots.select("landed", F.posexplode(cut).alias("feed_pos", "_xml"))
+    shape = T.StructType([*_ENTRY.fields, *schemas.shape("_broken").fields])
+    rows = once(rows, "_e", F.from_xml("_xml", shape, _PERMISSIVE)).filter(F.col("_e._broken").isNull())
+
+    target = lambda x: F.coalesce(F.nullif(F.btrim(x["_VALUE"]), F.lit("")), x["_href"])
+    # Of several links the first that leads to the page itself.
+    own = F.filter("_e.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    return rows.select(
+        "_e.title", target(F.get(own, F.lit(0))).alias("link"),
+        "_e.summary", F.coalesce("_e.description", F.when(F.col("_e.summary").isNull(), F.coalesce("_e.content", F.col("_e.`content:encoded`")))).alias("description"),
+        F.coalesce("_e.pubDate", "_e.published", F.col("_e.`dc:date`")).alias("published"), "_e.updated",
+        F.col("feed_pos").cast("bigint").alias("feed_pos"), "landed",
     )
 
 
-def of_feeds(items: DataFrame, feeds: DataFrame) -> DataFrame:
-    """Name the feed of each item by the folder ``source=<name>`` it landed in.
+def feed_name(landed: Column) -> Column:
+    """The feed of a file, from the folder ``source=<name>`` it landed in.
 
     Folder names are escaped when written and again when shown as a path.
     """
-    folder = F.regexp_extract("landed", r"/source=([^/]+)/", 1)
+    folder = F.regexp_extract(landed, r"/source=([^/]+)/", 1)
     for _ in range(2):
         folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
-    named = items.withColumn("source", folder).drop("landed")
+    return folder
+
+
+def of_feeds(items: DataFrame, feeds: DataFrame) -> DataFrame:
+    """Name the feed of each item and give its place in the registry."""
+    named = items.withColumn("source", feed_name(F.col("landed"))).drop("landed")
     return named.join(feeds.select("source", "feed_ord"), "source")
 
 
+def fetch_log(snapshots: DataFrame, statuses: DataFrame) -> DataFrame:
+    """``source, status, malformed`` per fetched feed: HTTP status as logged, form as scanned."""
+    form = snapshots.groupBy(feed_name(F.col("landed")).alias("source")).agg(F.bool_or("malformed").alias("malformed"))
+    return statuses.join(form, "source", "left").select("source", "status", F.coalesce("malformed", F.lit(False)).alias("malformed"))
+
+
 def stories(spark: SparkSession, ids_path: str, items_path: str, n: int) -> DataFrame:
     """Top-n story ids (``run, pos, id``) joined to their items."""
     ids = spark.read.schema(schemas.STORY_RANK).json(ids_path)
@@ -93,43 +99,81 @@ def story_articles(ids: DataFrame, items: DataFrame, n: int) -> DataFrame:
 
 
 def state_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A state table; one that is missing or unreadable is empty."""
+    """A state table; one that was never written is empty.
+
+    A file that cannot be read fails the job: taking it for an empty history would
+    send everything again.
+    """
     try:
-        found = spark.read.schema(schema).parquet(path)
-        found.limit(1).collect()
-        return found
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-    except Exception as error:  # a corrupt footer surfaces as a job failure
-        if "CANNOT_READ" in str(error) or "FAILED_READ_FILE" in str(error):
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
 
 
+def _document_entries(documents: DataFrame, column: str, name: str, entry: str) -> DataFrame:
+    """Key and object of every entry of one map of JSON state documents.
+
+    A corrupt document counts as empty, and so does an entry that is no object.
+    """
+    entries = F.try_variant_get(F.try_parse_json(column), f"$.{name}", "map<string, variant>")
+    rows = documents.select(F.explode(entries).alias("key", "_v"))
+    return rows.filter(V.is_object(F.col("_v"))).select("key", F.try_variant_get("_v", "$", entry).alias("_e"))
+
+
 def state_documents(documents: DataFrame, column: str = "document") -> DataFrame:
-    """Sent rows out of JSON state documents; a corrupt document counts as empty."""
-    parsed = documents.select(F.try_parse_json(column).alias("_v"))
-    entry = "struct<title: string, link: string, source: string, sent_at: string>"
-    sent = F.try_variant_get("_v", "$.sent_articles", f"map<string, {entry}>")
-    rows = parsed.select(F.explode(sent).alias("article_key", "_e"))
+    """Sent rows out of JSON state documents."""
+    rows = _document_entries(documents, column, "sent_articles", "struct<title: string, link: string, source: string, sent_at: string>")
     return rows.select(
-        "article_key", "_e.title", "_e.link", "_e.source",
+        F.col("key").alias("article_key"), "_e.title", "_e.link", "_e.source",
         F.col("_e.sent_at").try_cast("timestamp_ntz").alias("sent_at"),
     )
 
 
+def thread_documents(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Thread cache rows out of JSON state documents."""
+    rows = _document_entries(
+        documents, column, "reddit_cache",
+        "struct<title: string, selftext: string, author: string, score: int, num_comments: int, subreddit: string, "
+        "created_utc: double, top_comments: array<string>, fetched_at: string>")
+    return rows.select(
+        F.col("key").alias("url"), "_e.title", "_e.selftext", "_e.author", "_e.score", "_e.num_comments", "_e.subreddit",
+        "_e.created_utc", "_e.top_comments", F.col("_e.fetched_at").try_cast("timestamp_ntz").alias("fetched_at"),
+    )
+
+
+def signal_documents(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Signal history rows out of JSON state documents; ``seq`` is the place in the list."""
+    signals = F.try_variant_get(F.try_parse_json(column), "$.signals", "array<variant>")
+    rows = documents.select(F.posexplode(signals).alias("pos", "_v")).filter(V.is_object(F.col("_v")))
+    names = [n for n in schemas.SIGNAL.fieldNames() if n not in ("seq", "metrics")]
+    return rows.select(
+        *[F.coalesce(F.try_variant_get("_v", f"$.{n}", "string"), F.lit("")).alias(n) for n in names],
+        F.coalesce(F.to_json(F.try_variant_get("_v", "$.metrics", "variant")), F.lit("{}")).alias("metrics"),
+        F.struct(F.lit(0).cast("bigint").alias("payload_seq"), F.col("pos").alias("pos")).alias("seq"),
+    ).select(*schemas.SIGNAL.fieldNames())
+
+
+def run_stamps(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Day of the last sweep out of JSON state documents."""
+    day = F.try_variant_get(F.try_parse_json(column), "$.last_run_date", "string")
+    return documents.select(day.alias("last_run_date")).filter(F.col("last_run_date").isNotNull())
+
+
 def pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
 def file_listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Names, times and sizes under a folder. File contents are never read."""
+    """Names, folders, times and sizes under a folder. File contents are never read."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true").load(path)
     )
     return files.select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
+        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"),
         F.convert_timezone(
             F.current_timezone(), F.lit("UTC"), F.col("modificationTime").cast("timestamp_ntz")
         ).alias("modified"),

@@ -55,7 +55,7 @@ if __name__ == "__main__":
 
     sf_dir = sys.argv[1]
     wanted = sys.argv[2:]
-    spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
+    spark = get_session(master="local[2]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     bad = 0

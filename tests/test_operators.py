@@ -12,6 +12,7 @@ from broadsheet.functions.text import content_key
 from broadsheet.operators import articles as A
 from broadsheet.operators import catalogs as C
 from broadsheet.operators import curation as U
+from broadsheet.operators import digest as D
 from broadsheet.operators import scripts as P
 from broadsheet.operators import signals as G
 from broadsheet.operators import state as S
@@ -51,28 +52,19 @@ def test_field_defaults(spark):
     assert (b["summary"], b["published"]) == ("", None)
 
 
-@pytest.mark.parametrize("split_hot", [False, True])
-def test_anti_and_semi_cover_the_input_and_keep_duplicates(spark, split_hot):
+def test_anti_and_semi_cover_the_input_and_keep_duplicates(spark):
     rng = random.Random(1)
     rows = [(f"t{0 if rng.random() < .4 else rng.randint(0, 9)}", "l", "s", None, i) for i in range(200)]
     df = articles(spark, rows)
     sent = df.filter(F.col("title").isin("t0", "t3", "t4")).select("article_key").distinct()
-    new, old = A.not_sent(df, sent, split_hot), A.already_sent(df, sent, split_hot)
+    new, old = A.not_sent(df, sent), A.already_sent(df, sent)
     assert sorted(r["feed_pos"] for r in new.collect() + old.collect()) == list(range(200))
     assert {r["title"] for r in old.collect()} <= {"t0", "t3", "t4"}
     assert not {r["title"] for r in new.collect()} & {"t0", "t3", "t4"}
-    marked = skew.mark_members(df, sent, "article_key", "hit", split_hot)
+    marked = skew.mark_members(df, sent, "article_key", "hit")
     assert sorted(r["feed_pos"] for r in marked.filter("hit").collect()) == sorted(r["feed_pos"] for r in old.collect())
 
 
-def test_hot_split_with_more_keys_than_the_limit(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_KEYS", 2)
-    df = spark.createDataFrame([(str(k), i) for k in range(6) for i in range(k + 1)], "key STRING, i INT")
-    right = spark.createDataFrame([("5",), ("5",), ("1",), ("x",)], "key STRING")
-    got = sorted((r["key"], r["i"]) for r in skew.member_join(df, right, "key", "left_anti", True).collect())
-    assert got == sorted((str(k), i) for k in (0, 2, 3, 4) for i in range(k + 1))
-
-
 def test_mark_sent_last_wins_over_batch_and_history(spark):
     batch = articles(spark, [("T", "l", "s1", None, 1), (" t", "L ", "s2", None, 2), ("n", "l", "s1", None, 3)])
     key = batch.first()["article_key"]
@@ -129,7 +121,7 @@ def test_normalize_signals(spark):
     assert [(r["lane"], r["subject"], r["signal_type"], r["severity"], r["metrics"], r["observed_at"]) for r in got] == [
         ("a", "s", "t", "info", "{}", "last week!"), ("a", "U", "observation", "act_now", '{"k":1.5}', ""), ("b", "S", "t", "act_now", "{}", "")]
     assert [r["topic_label"] for r in got] == ["Label", "Label", "Web Sweep"] and got[1]["entity"] == ""
-    funnel = {r["lane"]: r.asDict() for r in G.funnel(payloads(spark, rows), G.normalize_signals(payloads(spark, rows), lanes(spark))).collect()}
+    funnel = {r["lane"]: r.asDict() for r in G.funnel(payloads(spark, rows)).collect()}
     assert (funnel["a"]["n_raw"], funnel["a"]["n_kept"], funnel["a"]["n_failed"]) == (10, 2, 2)
 
 
@@ -325,26 +317,71 @@ def test_story_scan(spark, tmp_path):
 
 
 def test_feed_scans(spark, tmp_path):
-    rss, atom = tmp_path / "rss" / "source=NASA", tmp_path / "atom" / "source=The%20Verge"
-    rss.mkdir(parents=True), atom.mkdir(parents=True)
-    (rss / "f.xml").write_text("<rss><channel><title>c</title><item><title><![CDATA[A & B]]></title><link>l1</link><description>d</description>"
-                               "<pubDate>Mon, 29 Jan 2024 10:00:00 GMT</pubDate></item><item><description>e</description></item></channel></rss>")
-    (rss / "empty.xml").write_text("<rss><channel><title>none</title></channel></rss>")
-    (atom / "f.xml").write_text('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>T</title><link href="l2"/><summary></summary><updated>2024-01-29T12:00:00+02:00</updated></entry></feed>')
-    (rss / "broken.xml").write_text("<rss><channel><item><title>x</item>")
-    feeds = feed_table(spark)
-    rows = scans.of_feeds(scans.rss_items(spark, str(tmp_path / "rss")), feeds).unionByName(scans.of_feeds(scans.atom_items(spark, str(tmp_path / "atom")), feeds))
-    got = sorted((r["source"], r["title"], r["link"], r["published"]) for r in A.items_to_articles(rows).collect() if r["published"])
-    assert got == [("NASA", "A & B", "l1", dt.datetime(2024, 1, 29, 10)), ("The Verge", "T", "l2", dt.datetime(2024, 1, 29, 10))]
-    assert [(r["title"], r["link"], r["feed_pos"]) for r in A.items_to_articles(rows).collect() if not r["published"]] == [("No title", "", 1)]
-
-
-def test_missing_or_corrupt_state_is_empty(spark, tmp_path):
+    nasa, verge, nature = (tmp_path / f"source={n}" for n in ("NASA", "The%20Verge", "Nature%20News"))
+    for d in (nasa, verge, nature):
+        d.mkdir(parents=True)
+    (nasa / "f.xml").write_text(
+        '<rss xmlns:media="m" xmlns:atom="a"><channel><title>c</title><item><title><![CDATA[A & B]]></title><media:title>photo</media:title><link>l1</link>'
+        '<atom:link href="self"/><description>d</description><media:description>x</media:description>'
+        "<pubDate>Mon, 29 Jan 2024 10:00:00 +0000 (UTC)</pubDate></item><item><description>e</description></item></channel></rss>")
+    (nasa / "empty.xml").write_text("<rss><channel><title>none</title></channel></rss>")
+    (verge / "f.xml").write_text(
+        '<feed xmlns="http://www.w3.org/2005/Atom"><entry><title type="html">T</title><link rel="enclosure" href="file"/><link rel="alternate" href="l2"/>'
+        '<content type="html">&lt;p&gt;body&lt;/p&gt;</content><updated>2024-01-29T12:00:00+02:00</updated></entry></feed>')
+    (nature / "f.xml").write_text('<rdf:RDF xmlns:rdf="r"><channel/><item rdf:about="u"><title>N</title><link>l3</link><dc:date>2024-01-29T10:00:00Z</dc:date></item></rdf:RDF>')
+    (nature / "cut.xml").write_text("<rss><channel><item><title>kept</title><link>l4</link></item><item><title>lost</ti")
+    landed = scans.snapshots(spark, str(tmp_path))
+    rows = scans.of_feeds(scans.feed_entries(landed), feed_table(spark))
+    got = sorted((r["source"], r["title"], r["link"], r["summary"], r["published"] is not None) for r in A.items_to_articles(rows).collect())
+    assert got == [
+        ("NASA", "A & B", "l1", "d", True), ("NASA", "No title", "", "e", False), ("Nature News", "N", "l3", "", True),
+        ("Nature News", "kept", "l4", "", False), ("The Verge", "T", "l2", "<p>body</p>", True)]
+    statuses = spark.createDataFrame([("NASA", 200), ("Nature News", 200), ("The Verge", 500)], "source STRING, status INT")
+    health = {r["source"]: (r["health"], r["n_rows"]) for r in A.feed_health(feed_table(spark), scans.fetch_log(landed, statuses), rows).collect()}
+    assert (health["NASA"], health["Nature News"], health["The Verge"], health["Reuters"]) == (("ok", 2), ("malformed_kept", 2), ("http_error", 0), ("not_fetched", 0))
+
+
+def test_dates_with_comments_and_zone_names(spark):
+    texts = ["Mon, 29 Jan 2024 10:00:00 +0000 (UTC)", "Mon, 29 Jan 2024 11:00:00 CET", "Mon, 29 Jan 2024 12:00:00 CEST"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING").select(A.published_at(F.col("t"), F.lit(None).cast("string")).alias("d")).collect()
+    assert {r["d"] for r in rows} == {dt.datetime(2024, 1, 29, 10)}
+
+
+def test_missing_state_is_empty_and_unreadable_state_fails(spark, tmp_path):
     assert scans.state_table(spark, str(tmp_path / "none"), schemas.SENT).count() == 0
-    (tmp_path / "bad.parquet").write_text("not parquet at all, just text")
-    assert scans.state_table(spark, str(tmp_path / "bad.parquet"), schemas.SENT).count() == 0
-    docs = spark.createDataFrame([("{bad",), ('{"sent_articles":{"k":{"title":"t","link":"l","source":"s","sent_at":"2024-01-29T00:00:00+00:00"}}}',), ("{}",)], "document STRING")
+    good = spark.createDataFrame([("k", "t", "l", "s", dt.datetime(2024, 1, 29))], schemas.SENT)
+    good.write.parquet(str(tmp_path / "sent" / "run=2"))
+    (tmp_path / "sent" / "run=1").mkdir()
+    (tmp_path / "sent" / "run=1" / "part-0.parquet").write_text("not parquet at all, just text")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|CANNOT_READ|not a Parquet"):
+        scans.state_table(spark, str(tmp_path / "sent"), schemas.SENT).collect()
+
+
+def test_state_documents(spark):
+    document = ('{"sent_articles":{"k":{"title":"t","link":"l","source":"s","sent_at":"2024-01-29T00:00:00+00:00"},"odd":3},'
+                '"reddit_cache":{"u":{"title":"t","score":4}},"signals":[{"id":"i","severity":"info"},"x"],"last_run_date":"2024-01-27"}')
+    docs = spark.createDataFrame([("{bad",), (document,), ("{}",)], "document STRING")
     assert [(r["article_key"], r["title"]) for r in scans.state_documents(docs).collect()] == [("k", "t")]
+    assert [(r["url"], r["score"]) for r in scans.thread_documents(docs).collect()] == [("u", 4)]
+    assert [(r["id"], r["severity"], r["lane"]) for r in scans.signal_documents(docs).collect()] == [("i", "info", "")]
+    assert [r["last_run_date"] for r in scans.run_stamps(docs).collect()] == ["2024-01-27"]
+
+
+def test_runs_without_rows_alert(spark):
+    runs = spark.createDataFrame([("a",), ("b",)], "run STRING")
+    counts = spark.createDataFrame([("a", 1, 1, 1, 1)], "run STRING, n_new INT, n_threads INT, n_to_build INT, n_built INT")
+    got = sorted((r["run"], r["alert"]) for r in R.alerts(R.run_stats(runs, counts)).collect())
+    assert got == [("b", "no new articles"), ("b", "no thread articles")]
+
+
+def test_long_digests_come_in_parts(spark):
+    rows = spark.range(20_000).select(
+        F.lit("d").alias("lang"), F.concat(F.lit("t"), F.col("id")).alias("title"), F.lit("l").alias("link"), F.lit("s").alias("source"), F.lit("").alias("summary"),
+        F.lit(0).alias("section_ord"), F.lit(True).alias("must_watch"), F.lit(0).alias("best_tier"), F.lit(1).cast("bigint").alias("n_hits"),
+        F.lit(0).alias("feed_ord"), F.col("id").alias("feed_pos"), F.col("id").cast("string").alias("article_key"), F.lit(None).cast("timestamp_ntz").alias("published"))
+    got = D.render(rows, ["lang"], F.lit("today")).selectExpr("part_no", "n_articles", "length(html) AS n", "html LIKE '<h1>%' AS first").collect()
+    assert sorted(r["part_no"] for r in got) == list(range(100))
+    assert {r["n_articles"] for r in got} == {200} and [r["part_no"] for r in got if r["first"]] == [0]
 
 
 def test_file_listing(spark, tmp_path):

@@ -57,3 +57,13 @@ def test_scans_are_pruned(spark):
     plan = queries()["err1_classify"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,error)]" in plan
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
+
+
+def test_uncached_threads_need_no_window(spark):
+    plan = queries()["jn3_uncached_threads"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("FileScan") <= 4
+
+
+def test_funnel_reads_and_parses_payloads_once(spark):
+    plan = queries()["agg3_sweep_funnel"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.lower().count("parse_json") == 1

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet import schemas
 from broadsheet.operators import articles as A
 from broadsheet.operators import state as S
-from broadsheet.plans.daily import StateLog, run_daily
+from broadsheet.plans.daily import StateLog, run_daily, run_sweep_merge
 from broadsheet.streaming import jobs
 
 DAYS = [f"2024-01-{d:02d} 06:00:00" for d in range(10, 22)]
@@ -39,7 +39,7 @@ def test_log_equals_upserts_applied_day_by_day(spark, tmp_path):
         assert sorted(r["feed_pos"] for r in got) == sorted(r["feed_pos"] for r in new)
         sent.update({r["article_key"]: now for r in new})
         offered = A.with_article_key(df).join(spark.createDataFrame([(r["feed_pos"],) for r in new] or [(-1,)], "feed_pos BIGINT"), "feed_pos", "left_semi")
-        log.write(S.mark_sent(spark.createDataFrame([], schemas.SENT), offered, day), "sent", run)
+        log.write(S.mark_sent(spark.createDataFrame([], schemas.SENT), offered, day), "sent", run, day)
         log.commit(run)
 
 
@@ -65,7 +65,7 @@ def test_stream_of_drops_equals_batch_runs(spark, tmp_path):
         run_daily(batch, df, run, day, count_by_source)
         df.coalesce(1).write.mode("append").parquet(str(landing))
     source = jobs.landed(spark, str(landing), schemas.ARTICLE, files_per_batch=1)
-    jobs.daily_stream(source, stream, lambda i: DAYS[i], count_by_source)
+    jobs.daily_stream(source, stream, str(tmp_path / "cp"), lambda i: DAYS[i], count_by_source)
     for log in (batch, stream):
         assert log.committed(99).count() == 3
     want = sorted(map(str, batch.sent(99, DAYS[3]).collect()))
@@ -77,10 +77,63 @@ def test_bounded_dedup_and_daily_counts(spark, tmp_path):
     rows = [("a", dt.datetime(2024, 1, 1, 1), "s"), ("a", dt.datetime(2024, 1, 1, 2), "s"), ("b", dt.datetime(2024, 1, 4), "s")]
     df = spark.createDataFrame(rows, "article_key STRING, ts TIMESTAMP, source STRING")
     df.write.parquet(str(tmp_path / "in"))
-    jobs.dedup_within(jobs.landed(spark, str(tmp_path / "in"), df.schema), str(tmp_path / "out"), "ts")
+    jobs.dedup_within(jobs.landed(spark, str(tmp_path / "in"), df.schema), str(tmp_path / "out"), str(tmp_path / "cp1"), "ts")
     assert sorted(r["article_key"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
-    jobs.daily_counts(jobs.landed(spark, str(tmp_path / "in"), df.schema), str(tmp_path / "counts"), "ts")
+    jobs.daily_counts(jobs.landed(spark, str(tmp_path / "in"), df.schema), str(tmp_path / "counts"), str(tmp_path / "cp2"), "ts")
     counts = spark.read.parquet(str(tmp_path / "counts"))
     assert [(str(r["day"])[:10], r["n_rows"]) for r in counts.collect()] == [("2024-01-01", 2)]
     days = counts.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "source", "n_rows")
     assert [tuple(r) for r in jobs.silent_sources(days, ["s", "quiet"]).select("day", "source").collect()] == [("2024-01-01", "quiet")]
+
+
+def test_two_ticks_neither_lose_nor_repeat(spark, tmp_path):
+    landing, out, log = str(tmp_path / "in"), str(tmp_path / "out"), StateLog(spark, str(tmp_path / "log"))
+    rows = [[("a", "1"), ("b", "2")], [("c", "3"), ("a", "1")], [("d", "4")]]
+    seen = []
+    for tick, part in enumerate(rows):
+        df = spark.createDataFrame([(t, link, "", "s", None, 0, i) for i, (t, link) in enumerate(part)], schemas.ARTICLE)
+        df.coalesce(1).write.mode("append").parquet(landing)
+        jobs.ingest(jobs.landed(spark, landing, schemas.ARTICLE), out, str(tmp_path / "cp-ingest"))
+        jobs.daily_stream(jobs.landed(spark, landing, schemas.ARTICLE), log, str(tmp_path / "cp-daily"), lambda i: DAYS[i], count_by_source)
+        seen.append(sorted(r["title"] for r in spark.read.parquet(log.path("offered", tick)).collect()))
+    assert sorted(r["title"] for r in spark.read.parquet(out).collect()) == ["a", "a", "b", "c", "d"]
+    assert seen == [["a", "b"], ["c"], ["d"]]
+    assert log.committed(99).count() == 3
+
+
+def test_undelivered_run_leaves_no_folder_and_sweep_waits_for_delivery(spark, tmp_path):
+    log, df = StateLog(spark, str(tmp_path / "log")), next(drops(spark))
+    signals = spark.createDataFrame([tuple(f"x{i}" for i in range(len(schemas.SIGNAL) - 1)) + ((1, 0),)], schemas.SIGNAL)
+    assert not run_daily(log, df, 1, DAYS[0], count_by_source, deliver=lambda published: False, signals=signals)
+    assert [p for p in (tmp_path / "log").rglob("*.parquet")] == []
+    assert run_daily(log, df, 2, DAYS[0], count_by_source, signals=signals)
+    assert log.read("signals", schemas.SIGNAL, 3).count() == log.read("fresh", schemas.SIGNAL, 3).count() == 1
+    assert run_sweep_merge(log, signals, 3, DAYS[1], deliver=lambda fresh: False) is None
+    assert log.read("signals", schemas.SIGNAL, 9).count() == 1
+
+
+def test_old_state_folders_are_not_read(spark, tmp_path):
+    log = StateLog(spark, str(tmp_path / "log"))
+    for run, day in enumerate(DAYS):
+        run_daily(log, next(drops(spark, run)), run, day, count_by_source)
+    plan = log.sent(99, DAYS[-1])._jdf.queryExecution().executedPlan().toString()
+    assert "(day#" in plan[plan.index("PartitionFilters"):]
+    read = {f.split("/day=")[1][:10] for f in log.sent(99, DAYS[-1]).inputFiles() if "/day=" in f}
+    assert read and log.sent(99, DAYS[-1]).count() > 0
+
+
+def test_days_without_any_row_are_reported(spark):
+    counts = spark.createDataFrame([("2024-01-01", "s", 1), ("2024-01-03", "s", 1)], "day STRING, source STRING, n_rows BIGINT")
+    got = sorted(tuple(r) for r in jobs.silent_sources(counts, ["s", "q"]).select("day", "source").collect())
+    assert got == [("2024-01-01", "q"), ("2024-01-02", "q"), ("2024-01-02", "s"), ("2024-01-03", "q")]
+
+
+def test_a_key_comes_back_after_the_horizon(spark, tmp_path):
+    got = []
+    for day in (1, 2, 20, 40, 41):
+        row = [("a", dt.datetime(2024, 1, 1) + dt.timedelta(days=day))]
+        spark.createDataFrame(row, "article_key STRING, ts TIMESTAMP").write.mode("append").parquet(str(tmp_path / "in"))
+        source = jobs.landed(spark, str(tmp_path / "in"), spark.createDataFrame(row, "article_key STRING, ts TIMESTAMP").schema)
+        jobs.dedup_within(source, str(tmp_path / "out"), str(tmp_path / "cp"), "ts")
+        got.append(spark.read.parquet(str(tmp_path / "out")).count())
+    assert got[0] == got[1] == 1 and got[-1] >= 2
