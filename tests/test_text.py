@@ -134,9 +134,9 @@ def test_reply_blocks(spark):
 
 
 def test_lead_list_with_a_nested_list_is_read_to_its_own_end(spark):
-    html = ("<h2>Must-Watch today</h2><ul><li><a href='a'>One</a><ul><li><a href='b'>Two</a></li></ul></li>"
+    html = ("<h2>Top Priority</h2><ul><li><a href='a'>One</a><ul><li><a href='b'>Two</a></li></ul></li>"
             "<li><strong>Three</strong></li></ul><ul><li><a href='c'>Other list</a></li></ul>")
-    df = spark.createDataFrame([(1, html), (2, "<h2>Must-Watch</h2><ul><li><a href='x'>Open</a>")], "id INT, html STRING")
+    df = spark.createDataFrame([(1, html), (2, "<h2>Priority</h2><ul><li><a href='x'>Open</a>")], "id INT, html STRING")
     got = {}
     for r in sorted(D.topics(df, "id").collect()):
         got.setdefault(r["id"], []).append(r["topic"])
