@@ -41,7 +41,7 @@ LEXICON = 20_000
 #: Segments rarer than this by chance in a clean text count as toxic passages.
 CHANCE = 0.05
 #: Cost of a token that is not clearly toxic.
-DRIFT = 0.3
+DRIFT = 0.1
 #: Evidence beyond this adds nothing.
 MOST = 60.0
 
@@ -75,8 +75,14 @@ class Model:
         """Maximal segments: first token, last token + 1, score."""
         if not text:
             return []
-        w = np.fromiter(map(self.weight, text.lower().split()), float)
-        return maximal_segments(np.flatnonzero(w), w[w != 0], self.drift)
+        chunks = text.lower().split()
+        w = np.fromiter(map(self.weight, chunks), float)
+        # Log-odds count texts, not uses: a token that is repeated says nothing more.
+        first: dict[str, int] = {}
+        for p in np.flatnonzero(w).tolist():
+            first.setdefault(token(chunks[p]), p)
+        places = np.array(sorted(first.values()), int)
+        return maximal_segments(places, w[places], self.drift)
 
     def evidence(self, length: int, scores: Iterable[float]) -> float:
         """Sum over significant segments of how much rarer than chance they are."""
