@@ -27,10 +27,13 @@ def running_totals(
     values: Mapping[str, Column],
     ties: Sequence[str] = (),
     chunk: int = CHUNK,
+    thin: DataFrame | None = None,
 ) -> DataFrame:
     """Add inclusive running sums of ``values`` per group in ``order``.
 
     ``order`` is an integer column; ``ties`` order rows that share its value.
+    ``thin`` holds the same rows with the columns named here alone; where ``df``
+    carries more, the sums of whole chunks are taken from it.
     """
     base = df.withColumn("_chunk", _chunk(order, chunk))
     inner = (
@@ -42,7 +45,8 @@ def running_totals(
         Window.partitionBy(*group).orderBy("_chunk")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    totals = base.groupBy(*group, "_chunk").agg(*[F.sum(v).alias(f"_t_{n}") for n, v in values.items()])
+    summed = base if thin is None else thin.withColumn("_chunk", _chunk(order, chunk))
+    totals = summed.groupBy(*group, "_chunk").agg(*[F.sum(v).alias(f"_t_{n}") for n, v in values.items()])
     offsets = totals.select(
         *group, "_chunk",
         *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in values],
