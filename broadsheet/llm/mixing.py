@@ -97,19 +97,18 @@ def mix(docs: DataFrame, keep_row: bool = False, **targets) -> DataFrame:
     The positions are those of the first and the second copy, null where none is
     taken. ``keep_row`` adds the whole input row as the struct ``row``.
     """
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep_row else []
-    rows = docs.select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), *row
-    )
-    rows = settle(rows, "mix-sizes")
-    per = source_targets(rows.select("source", "size"), **targets)
-    known = per.withColumnRenamed("source", "_source")
-    placed = (
-        rows.withColumn("_digest", _digest(F.col("doc_id")))
-        .join(known, F.col("source").eqNullSafe(F.col("_source")))
-        .drop("_source", "source")
-    )
-    summed = running_totals(placed, ["source_no"], "_digest", {"_end": F.col("size")}, ["doc_id", "size"], CHUNK)
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")
+    thin = settle(docs.select("doc_id", "source", size), "mix-sizes")
+    known = source_targets(thin.select("source", "size"), **targets).withColumnRenamed("source", "_source")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        joined = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
+        return joined.withColumn("_digest", _digest(F.col("doc_id")))
+
+    # Whole rows are dealt out once, by source and chunk; all sums come from the thin table.
+    rows = placed(docs.select("doc_id", "source", size, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")) if keep_row else thin)
+    summed = running_totals(
+        rows, ["source_no"], "_digest", {"_end": F.col("size")}, ["doc_id", "size"], CHUNK, placed(thin) if keep_row else None)
     limit, size = F.floor(F.col("target")).cast("bigint"), F.col("size")
     start, none = F.col("_end") - size, F.lit(0).cast("bigint")
     second = start + F.col("source_size")
