@@ -34,6 +34,8 @@ DIMENSIONS = 8
 SAMPLE = 600
 WINDOWS_PER_TEXT = 4
 UNKNOWN = "und"
+#: Languages that a network tells apart at most, the most frequent ones.
+LANGUAGES = 4_096
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -147,12 +149,13 @@ class Folded:
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Network | None:
     """Train on at most ``sample`` texts per language, those with the least hash of their key."""
     labelled = docs.filter(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    counts = labelled.groupBy(label).count()
+    counts = docs.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     # Each language's rows below a hash bound chosen to give a little more than the sample.
     draw = F.pmod(F.xxhash64(F.lit("lang"), F.col(key)), F.lit(1 << 30))
     chosen = (
         labelled.select(F.col(label).alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
-        .join(counts.withColumnRenamed(label, "lang"), "lang")
+        # At most LANGUAGES names and counts: the bound of what is broadcast.
+        .join(F.broadcast(counts), "lang")
         .filter(F.col("draw") < F.lit(1.25 * sample * (1 << 30)) / F.col("count"))
     )
 
