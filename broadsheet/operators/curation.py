@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..plans.graph import connected
 from ..plans.ordered import first_rows, once
+from ..session import settle
 
 MUST_WATCH = 0
 DIGEST_CAP = 30
@@ -287,3 +289,45 @@ def opportunities(articles: DataFrame, text: Column) -> DataFrame:
         "amount": F.when(funding, F.regexp_extract(text, AMOUNT, 0)).otherwise(""),
         "stage": F.when(funding, strip(F.regexp_extract(text, STAGE, 0))).otherwise(""),
     }).filter(found)
+
+
+# MinHash over the words of a story: maps of a word's digest, in bands that must agree.
+STORY_PRIME = (1 << 31) - 1
+STORY_BANDS = 8
+STORY_ROWS = 3
+STORY_PERCENT = 60
+#: Multiplier and shift of every map: powers of two fixed numbers.
+STORY_MAPS = [(pow(48271, i + 1, STORY_PRIME), pow(69621, i + 1, STORY_PRIME)) for i in range(STORY_BANDS * STORY_ROWS)]
+
+
+def story_bands(story_words: Column) -> Column:
+    """Band keys of a set of words: the least images of its digests under each map."""
+    digests = F.transform(story_words, lambda w: F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("bigint"))
+
+    def least_image(a: int, b: int) -> Column:
+        return F.array_min(F.transform(digests, lambda h: (h * a + b) % STORY_PRIME))
+
+    least = [least_image(a, b) for a, b in STORY_MAPS]
+    bands = [least[i:i + STORY_ROWS] for i in range(0, len(least), STORY_ROWS)]
+    return F.array(*[F.concat_ws(":", F.lit(str(n)), *[x.cast("string") for x in band]) for n, band in enumerate(bands)])
+
+
+def near_stories(articles: DataFrame, row_id: str = "row_id", percent: int = STORY_PERCENT) -> DataFrame:
+    """``row_id, story_id``: articles that tell the same story get the smallest row id among them.
+
+    Articles that share a band meet the smallest row of the band, never each other, so a
+    band of any size gives as many pairs as it has rows. A pair counts if the words of
+    title and summary agree by ``percent``; links then run on over whole groups.
+    Articles without a word are a story of their own.
+    """
+    text = article_text(F.col("title"), F.col("summary"))
+    rows = settle(articles.select(F.col(row_id).alias("row_id"), F.array_distinct(words(text)).alias("w")), "story-words")
+    bands = rows.filter(F.size("w") > 0).select("row_id", F.explode(story_bands(F.col("w"))).alias("band"))
+    leads = bands.groupBy("band").agg(F.min("row_id").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    pairs = bands.join(leads, "band").filter("row_id <> a").select("a", F.col("row_id").alias("b")).distinct()
+    side = lambda c: rows.select(F.col("row_id").alias(c), F.col("w").alias(f"w_{c}"))
+    common = F.size(F.array_intersect("w_a", "w_b"))
+    links = pairs.join(side("a"), "a").join(side("b"), "b").filter(
+        common * 100 >= (F.size("w_a") + F.size("w_b") - common) * percent)
+    groups = connected(settle(links.select("a", "b"), "story-links")).withColumnRenamed("node", "row_id")
+    return rows.select("row_id").join(groups, "row_id", "left").select("row_id", F.coalesce("component", "row_id").alias("story_id"))

@@ -755,6 +755,12 @@ def int5_best_per_story(t: Tables) -> DataFrame:
     return U.best_per_story(rated, quality="quality").select("story_key", "feed_pos", "title", "best_tier")
 
 
+@query
+def int5_near_stories(t: Tables) -> DataFrame:
+    """Articles and the story they tell, near copies of title and summary together."""
+    return U.near_stories(t.articles().withColumn("row_id", F.col("feed_pos")))
+
+
 def _chosen(t: Tables) -> DataFrame:
     """Selection per language edition."""
     langs = t.documents.select(F.col("doc_id").alias("feed_pos"), "lang")
