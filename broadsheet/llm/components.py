@@ -1,39 +1,16 @@
-"""Connected components by minimum labels, in rounds over tables in shared storage."""
+"""Connected components: of tables by the library's rounds, inside a task in numpy."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import numpy as np
 
-from broadsheet.llm.frames import settle
+from broadsheet.plans.graph import connected
 
+__all__ = ["connected", "forest"]
 
-def connected(links: DataFrame) -> DataFrame:
-    """node, component (its smallest reachable node) for every node of ``links`` (a, b).
-
-    Each round takes the least label among the neighbours and then the label of that
-    label, so a chain halves in length. All labels fall, so their sum tells the end.
-    """
-    both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct()
-    both = settle(both, "links")
-    labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")), "labels")
-    total = None
-    while (now := labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]) != total:
-        total = now
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        )
-        low = labels.join(near, "node").select("node", F.least("label", "near").alias("low"))
-        ahead = labels.select(F.col("node").alias("low"), F.col("label").alias("ahead"))
-        labels = settle(low.join(ahead, "low").select("node", F.least("low", "ahead").alias("label")), "labels")
-    return labels.select("node", F.col("label").alias("component"))
-
-
-def forest(n: int, a, b):
-    """Least place reachable for each of ``n`` places over links ``a[i]`` - ``b[i]``, in numpy."""
-    import numpy as np
 
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least place reachable for each of ``n`` places over links ``a[i]`` - ``b[i]``."""
     label = np.arange(n)
     while True:
         low = label.copy()

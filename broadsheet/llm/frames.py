@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from broadsheet.session import scratch_path
+from broadsheet.session import settle
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+__all__ = ["map_batches", "map_stream", "settle", "ship", "table"]
+
 _SHIPPED: set[str] = set()
 
 
@@ -35,17 +37,6 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared scratch folder and read it back.
-
-    Costly rows are then made once, and losing an executor later costs a read.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Run ``make`` over Arrow batches; it returns one column per field of ``schema``."""
     ship(df.sparkSession)
