@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,7 +71,28 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+@contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete on leaving what was written to scratch inside, but for settled tables that are kept.
+
+    Gives the function that keeps one. Nothing lazy may leave that reads the others.
+    """
+    mark, kept = len(_WRITTEN), set()
+
+    def keep(settled: DataFrame) -> DataFrame:
+        kept.add(settled._scratch_path)
+        return settled
+
+    yield keep
+    for path in _WRITTEN[mark:]:
+        if path not in kept:
+            remove(spark, path)
+    _WRITTEN[mark:] = sorted(kept)
 
 
 def remove(spark: SparkSession, path: str) -> None:
