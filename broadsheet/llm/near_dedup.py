@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm.components import connected, forest
 from broadsheet.llm.frames import map_batches, settle, ship
+from broadsheet.session import passing_scratch
 
 WORDS = 5
 #: Bands of ROWS minima: at similarity 0.85 a pair shares none in fewer than one of a million cases.
@@ -322,9 +323,10 @@ def grouped(docs: DataFrame, percent: int) -> DataFrame:
 
 def deduplicate(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; links from ``percent`` % similarity."""
-    component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return grouped(docs, percent).select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    with passing_scratch(docs.sparkSession) as keep:
+        component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        return keep(settle(grouped(docs, percent).select(
+            "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept")), "near-dups"))
 
 
 def representatives(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -333,9 +335,10 @@ def representatives(docs: DataFrame, percent: int = 85) -> DataFrame:
     Of rows that repeat id and text one stays. Rows without an id stand back behind
     those with one.
     """
-    rows = grouped(docs, percent).filter("set_id IS NOT NULL")
     place = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)).alias("_near_id"), F.col("digest").alias("_near_digest"))
-    kept = settle(rows.groupBy("group").agg(F.min(place).alias("p")).select("p._near_id", "p._near_digest"), "kept")
+    with passing_scratch(docs.sparkSession) as keep:
+        rows = grouped(docs, percent).filter("set_id IS NOT NULL")
+        kept = keep(settle(rows.groupBy("group").agg(F.min(place).alias("p")).select("p._near_id", "p._near_digest"), "kept"))
     keyed = docs.withColumns({"_near_id": F.coalesce("doc_id", F.lit(0)), "_near_digest": F.xxhash64(F.col("text").cast("binary"))})
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # Already dealt and sorted by the two columns, so dropping repeats costs no shuffle.
