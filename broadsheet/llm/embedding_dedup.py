@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm.components import connected, forest
 from broadsheet.llm.frames import map_batches, settle, ship
+from broadsheet.session import passing_scratch
 
 #: Vectors that codebooks and margin are fitted on, words per codebook, and the target.
 SAMPLE = 8_192
@@ -153,6 +154,11 @@ def _block(rows: pa.Table, cosine: float) -> dict:
 
 def deduplicate(vectors: DataFrame, cosine: float = 0.93, words: int = WORDS, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
+    with passing_scratch(vectors.sparkSession) as keep:
+        return keep(settle(_linked(vectors, cosine, words, sample, recall), "near-vectors"))
+
+
+def _linked(vectors: DataFrame, cosine: float, words: int, sample: int, recall: float) -> DataFrame:
     spark = vectors.sparkSession
     ship(spark)
     rows = vectors.select("vec_id", "label", "embedding")
