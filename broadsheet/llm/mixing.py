@@ -34,6 +34,8 @@ WEIGHTS = (3, 1, 2)
 TILTS = (-0.5, 0.0, 0.5)
 #: 60 bits of the digest, in 4,096 chunks per source.
 CHUNK = 1 << 48
+#: Sources up to which their table is broadcast, some hundred bytes each.
+FEW_SOURCES = 10_000
 
 
 def _cycle(values: Sequence, i: Column) -> Column:
@@ -99,10 +101,12 @@ def mix(docs: DataFrame, keep_row: bool = False, **targets) -> DataFrame:
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")
     thin = settle(docs.select("doc_id", "source", size), "mix-sizes")
-    known = source_targets(thin.select("source", "size"), **targets).withColumnRenamed("source", "_source")
+    known = settle(source_targets(thin.select("source", "size"), **targets).withColumnRenamed("source", "_source"), "mix-targets")
+    # Few sources go to every task; with more, rows meet their source by a shuffle.
+    few = known.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
 
     def placed(rows: DataFrame) -> DataFrame:
-        joined = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
+        joined = rows.join(F.broadcast(known) if few else known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "source")
         return joined.withColumn("_digest", _digest(F.col("doc_id")))
 
     # Whole rows are dealt out once, by source and chunk; all sums come from the thin table.
