@@ -21,6 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 __all__ = ["map_batches", "map_stream", "settle", "ship", "table"]
 
+#: Rows that Python works on at a time.
+SLICE = 500
+
 _SHIPPED: set[str] = set()
 
 
@@ -37,15 +40,22 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to a few rows, so that what Python makes of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """Run ``make`` over Arrow batches; it returns one column per field of ``schema``."""
     ship(df.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = make(batch)
+        for part in slices(batches):
+            if part.num_rows:
+                out = make(part)
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)

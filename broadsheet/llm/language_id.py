@@ -24,7 +24,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.frames import map_batches, map_stream
+from broadsheet.llm.frames import map_batches, map_stream, slices
 
 WINDOW = 256
 WIDTHS = (2, 4, 6)
@@ -203,7 +203,7 @@ def known(docs: DataFrame, net: Network | None) -> DataFrame:
     lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             langs, _ = _predict(shared, batch.column("text").to_pylist())
             yield batch.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
 

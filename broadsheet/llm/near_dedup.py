@@ -58,7 +58,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         out = self[word] = xxhash.xxh64_intdigest(word)
         return out

@@ -66,7 +66,7 @@ class Model:
         """Weight of a white-space separated chunk, remembered."""
         got = self._cache.get(chunk)
         if got is None:
-            if len(self._cache) > 300_000:
+            if len(self._cache) > 200_000:
                 self._cache.clear()
             got = self._cache[chunk] = self.weights.get(token(chunk), 0.0)
         return got

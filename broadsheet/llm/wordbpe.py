@@ -24,7 +24,7 @@ UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0İƀ-\U0010ffff]|<\\|")
 # composed, and at most one mark after them.
 PLAIN = re.compile("([a-zß-öø-ÿœ]+)([.,;:!?]?)")
 # Distinct chunks kept by a worker; beyond that the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 class WordEncoder(dict):
