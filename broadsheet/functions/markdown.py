@@ -13,12 +13,19 @@ from pyspark.sql import functions as F
 from .text import WS, strip
 
 
+# The patterns of the constructs and what they become.
+BOLD = (r"(?d)\*\*(.+?)\*\*", "<strong>$1</strong>")
+LINK = (r"\[([^\]]+)\]\(([^)]+)\)", '<a href="$2">$1</a>')
+ITALIC = (r"(?<![:/])\*([^*]+)\*(?![/])", "<em>$1</em>")
+RULE = (r"(?md)^---+$", "<hr>")
+
+
 def _bold(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?d)\*\*(.+?)\*\*", "<strong>$1</strong>")
+    return F.regexp_replace(c, *BOLD)
 
 
 def _links(c: Column) -> Column:
-    return F.regexp_replace(c, r"\[([^\]]+)\]\(([^)]+)\)", '<a href="$2">$1</a>')
+    return F.regexp_replace(c, *LINK)
 
 
 def unfence(c: Column) -> Column:
@@ -32,8 +39,8 @@ def inline_markup(c: Column) -> Column:
     for level in (3, 2, 1):
         c = F.regexp_replace(c, rf"(?md)^{'#' * level} (.+)$", f"<h{level}>$1</h{level}>")
     c = _bold(c)
-    c = F.regexp_replace(c, r"(?<![:/])\*([^*]+)\*(?![/])", "<em>$1</em>")
-    return F.regexp_replace(_links(c), r"(?md)^---+$", "<hr>")
+    c = F.regexp_replace(c, *ITALIC)
+    return F.regexp_replace(_links(c), *RULE)
 
 
 def line_classes(lines: Column) -> Column:
