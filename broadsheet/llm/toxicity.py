@@ -75,14 +75,9 @@ class Model:
         """Maximal segments: first token, last token + 1, score."""
         if not text:
             return []
-        chunks = text.lower().split()
-        w = np.fromiter(map(self.weight, chunks), float)
-        # Log-odds count texts, not uses: a token that is repeated says nothing more.
-        first: dict[str, int] = {}
-        for p in np.flatnonzero(w).tolist():
-            first.setdefault(token(chunks[p]), p)
-        places = np.array(sorted(first.values()), int)
-        return maximal_segments(places, w[places], self.drift)
+        w = np.fromiter(map(self.weight, text.lower().split()), float)
+        # Every use counts where it stands: what came earlier in a text takes nothing from a later passage.
+        return maximal_segments(np.flatnonzero(w), w[w != 0], self.drift)
 
     def evidence(self, length: int, scores: Iterable[float]) -> float:
         """Sum over significant segments of how much rarer than chance they are."""
