@@ -8,8 +8,11 @@ candidate give each a calibrated chance, and those above their kind's threshold
 that touch no base span are added, the likeliest first.
 
 There are no labels for this, so the trees learn from the corpus itself: base
-spans with their decisive mark taken away (the plus, the at sign) are positive
-rows, candidates that look alike but stand for something else are negative ones.
+spans as the base patterns would not know them (without the plus or the at sign, cards
+with other separators, an IPv6 address in the place of an IPv4 one) and full IPv6
+addresses are positive rows, candidates that look alike but stand for something else
+are negative ones. Candidates whose format speaks for the kind are no negative rows:
+nothing says that they are not what they seem.
 Their number is bounded; thresholds are set on rows held out from boosting.
 
 Null and empty texts have no spans. Without enough rows to learn from only base
@@ -48,6 +51,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 DIGIT = re.compile("[0-9]")
+AT = re.compile("at", re.I)
 
 # Generators beyond the base, by kind.
 GENERATORS = (
@@ -65,6 +69,12 @@ CONTEXT = (
 )
 BEFORE = 24
 
+# Formats that speak for a kind.
+WRITTEN = re.compile(r".*(?:\(at\)|\[at\]|\{at\}|@).*|.* at .*(?: dot |\(dot\)|\[dot\]).*", re.I | re.S)
+IPV6 = re.compile(r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}")
+CARD_GROUPS = {16: (4, 4, 4, 4), 15: (4, 6, 5), 14: (4, 6, 4), 19: (4, 4, 4, 4, 3)}
+DIALLED = re.compile(r"\([0-9]{2,4}\)[ ./()-]{0,2}[0-9]+(?:[ ./-][0-9]+)+|[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}")
+
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -110,7 +120,7 @@ def candidates(text: str) -> list[Span]:
     digits = bool(DIGIT.search(text))
     out = set()
     for kind, pattern in GENERATORS:
-        if kind == 0 and not ("at" in text or "AT" in text or "At" in text):
+        if kind == 0 and not ("@" in text or AT.search(text)):
             continue
         if kind == 0 or digits or ":" in text:
             out.update((m.start(), kind, m.end()) for m in pattern.finditer(text))
@@ -139,13 +149,35 @@ def _describe(text: str, start: int, kind: int, end: int) -> list[float]:
 
 
 def _masked(text: str, start: int, kind: int, end: int) -> tuple[str, str] | None:
-    """A base span as it would look without its decisive mark, and what stands before it then."""
+    """A base span as the base patterns would not know it, and what stands before it then."""
     span = text[start:end]
     if kind == 0:
         return span.replace("@", " at ").replace(".", " dot "), text[max(0, start - BEFORE):start]
     if kind == 3:
         return re.sub(r"^\+[0-9]+ ?", "", span) or None, text[max(0, start - BEFORE):start]
-    return None
+    if kind == 2:
+        d, at = _digits(span), 0
+        groups = []
+        for n in CARD_GROUPS.get(len(d), (4,) * -(-len(d) // 4)):
+            groups.append(d[at:at + n])
+            at += n
+        return "./"[int(d[-2]) % 2].join(groups), text[max(0, start - BEFORE):start]
+    # The same place with an address of the other version, its groups drawn from the span.
+    drawn = hashlib.sha256(span.encode()).hexdigest()
+    return ":".join(drawn[i:i + 4].lstrip("0") or "0" for i in range(0, 32, 4)), text[max(0, start - BEFORE):start]
+
+
+def well_formed(span: str, kind: int) -> bool:
+    """Whether the format alone speaks for the kind."""
+    if kind == 0:
+        return bool(WRITTEN.fullmatch(span))
+    if kind == 1:
+        return bool(IPV6.fullmatch(span))
+    digits = _digits(span)
+    if kind == 2:
+        marks = {c for c in span if not c.isdigit()}
+        return len(marks) == 1 and tuple(map(len, re.findall("[0-9]+", span))) == CARD_GROUPS.get(len(digits)) and luhn(digits)
+    return 9 <= len(digits) <= 15 and bool(DIALLED.fullmatch(span))
 
 
 def training_rows(text: str) -> list[tuple[int, list[float]]]:
@@ -154,9 +186,15 @@ def training_rows(text: str) -> list[tuple[int, list[float]]]:
     for start, kind, end in base:
         if (m := _masked(text, start, kind, end)) and m[0]:
             out.append((1, features(m[0], kind, m[1], text[end:end + 4])))
+            # It is of one kind alone, whatever other generators propose for it or for parts of it.
+            shown, low = m[1] + m[0] + text[end:end + BEFORE], len(m[1])
+            out += [(0, _describe(shown, b, k, e)) for b, k, e in candidates(shown) if k != kind and low <= b and e <= low + len(m[0])]
     for start, kind, end in candidates(text):
         if all(end <= a or b <= start for a, _, b in base):
-            out.append((0, _describe(text, start, kind, end)))
+            if not well_formed(text[start:end], kind):
+                out.append((0, _describe(text, start, kind, end)))
+            elif kind == 1:
+                out.append((1, _describe(text, start, kind, end)))
     return out
 
 
