@@ -6,12 +6,16 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Scratch folders handed out, for ``clear_scratch``.
+# Scratch folders handed out, for ``clear_scratch``, and those of the innermost ``passing_scratch`` of a thread.
 _WRITTEN: list[str] = []
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+# Scratch folders of applications whose session names none.
+_OWN_ROOT: dict[str, str] = {}
 
 
 def get_session(app: str = "broadsheet", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,15 +55,17 @@ def scratch_root(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="broadsheet-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_ROOT:
+        _OWN_ROOT[application] = tempfile.mkdtemp(prefix="broadsheet-")
+    return _OWN_ROOT[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    passing = _PASSING.get()
+    (_WRITTEN if passing is None else passing).append(path)
     return path
 
 
@@ -78,21 +84,27 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def passing_scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Delete on leaving what was written to scratch inside, but for settled tables that are kept.
+    """Delete on leaving, by an error too, what this thread wrote to scratch inside, but for settled tables that are kept.
 
     Gives the function that keeps one. Nothing lazy may leave that reads the others.
+    What other threads write meanwhile is theirs.
     """
-    mark, kept = len(_WRITTEN), set()
+    outer, kept = _PASSING.get(), set()
+    token = _PASSING.set([])
 
     def keep(settled: DataFrame) -> DataFrame:
         kept.add(settled._scratch_path)
         return settled
 
-    yield keep
-    for path in _WRITTEN[mark:]:
-        if path not in kept:
-            remove(spark, path)
-    _WRITTEN[mark:] = sorted(kept)
+    try:
+        yield keep
+    finally:
+        written = _PASSING.get() or []
+        _PASSING.reset(token)
+        for path in written:
+            if path not in kept:
+                remove(spark, path)
+        (_WRITTEN if outer is None else outer).extend(sorted(kept))
 
 
 def remove(spark: SparkSession, path: str) -> None:
