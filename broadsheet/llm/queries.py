@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from broadsheet.llm import embedding_dedup, language_id, licenses, mixing, near_dedup, packing, pii, token_counts, topk_search, toxicity
+from broadsheet.llm import centroids, embedding_dedup, language_id, licenses, manifest, mixing, near_dedup, packing, pii, token_counts, topk_search, toxicity
 from broadsheet.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,101 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.fit(docs))
+
+
+@query
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def _cluster_sql(rounds: int = centroids.ROUNDS) -> str:
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+  SELECT rid, c, d FROM (
+    SELECT rid, c, list_sum(list_transform(list_zip(v.q, m.q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d,
+      row_number() OVER (PARTITION BY rid ORDER BY d, c) AS near
+    FROM v CROSS JOIN c{k} m) WHERE near = 1)""")
+        if k < rounds:
+            steps.append(f"""c{k + 1} AS MATERIALIZED (
+  SELECT m.c, coalesce(n.q, m.q) AS q FROM c{k} m LEFT JOIN (
+    SELECT c, list(floor(s::DOUBLE / n)::BIGINT ORDER BY i) AS q FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT a.c, unnest(v.q) AS x, generate_subscripts(v.q, 1) AS i FROM a{k} a JOIN v USING (rid)) GROUP BY c, i) GROUP BY c) n USING (c))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * {centroids.SCALE})::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = {centroids.DIMENSIONS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT c, q FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, q) - 1 AS c, q FROM v) WHERE c < {centroids.CLUSTERS}),
+{", ".join(steps)},
+per AS (SELECT c, sum(d)::BIGINT AS s FROM a{rounds} GROUP BY c)
+SELECT v.vec_id, a.c::INT AS cluster, a.d AS distance, per.s AS cluster_inertia, (SELECT sum(s)::BIGINT FROM per) AS inertia,
+  sha256(array_to_string(m.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (rid) JOIN c{rounds} m ON a.c = m.c JOIN per ON a.c = per.c
+"""
+
+
+ORACLES["op12_centroid_clusters"] = _cluster_sql()
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(table(spark, sf_dir, "documents"))
+
+
+def _merkle_sql(levels: int = 7) -> str:
+    """Trees of up to 16 ** levels leaves, level by level; a tree that has come to one node passes through."""
+    part = lambda x: f"coalesce(strlen({x}) || ':' || {x}, '-')"
+    leaf = lambda text: f"sha256({' || '.join(part(x) for x in ('doc_id::VARCHAR', 'source', 'lang', 'n_chars::VARCHAR', text))})"
+
+    def grown(name: str) -> list[str]:
+        out = []
+        for k in range(levels):
+            out.append(f"""{name}r{k} AS MATERIALIZED (
+  SELECT tree, n // 16 AS block, any_value(total) AS total, list(node ORDER BY n) AS run FROM {name}n{k} GROUP BY tree, n // 16),
+{name}n{k + 1} AS (
+  SELECT tree, block AS n, (total + 15) // 16 AS total, CASE WHEN total > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS node FROM {name}r{k})""")
+        return out
+
+    def climbed(name: str, rows: str) -> list[str]:
+        out = []
+        for k in range(levels):
+            left, right = "array_to_string(run[1:n % 16], '')", "array_to_string(run[n % 16 + 2:], '')"
+            out.append(f"""{rows}{k + 1} AS (
+  SELECT a.* REPLACE (n // 16 AS n, CASE WHEN total > 1 THEN sha256({left} || node || {right}) ELSE node END AS node,
+    proof || CASE WHEN total > 1 THEN {left} || {right} ELSE '' END AS proof)
+  FROM {rows}{k} a JOIN {name}r{k} b ON a.tree = b.tree AND a.n // 16 = b.block)""")
+        return out
+
+    return f"""
+WITH bits AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT] || list_transform(range(8), lambda x: 0::BIGINT),
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+chosen AS (
+  SELECT *, coalesce(xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 5 = 0, false) AS changed FROM documents CROSS JOIN bits),
+leaves AS (
+  SELECT doc_id, source, {part('source')} AS tree, {leaf('text')} AS leaf,
+    CASE WHEN changed THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other FROM chosen),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS n, count(*) OVER (PARTITION BY tree) AS total FROM leaves),
+sn0 AS (SELECT tree, n, total, leaf AS node FROM placed),
+{", ".join(grown("s"))},
+tops AS MATERIALIZED (
+  SELECT '' AS tree, f.tree AS of, f.node, row_number() OVER (ORDER BY l.source NULLS FIRST) - 1 AS n, count(*) OVER () AS total
+  FROM sn{levels} f JOIN (SELECT DISTINCT tree, source FROM leaves) l USING (tree)),
+tn0 AS (SELECT tree, n, total, node FROM tops),
+{", ".join(grown("t"))},
+low0 AS (SELECT doc_id, leaf, tree, n, coalesce(other, leaf) AS node, '' AS proof FROM placed),
+{", ".join(climbed("s", "low"))},
+high0 AS (SELECT low.doc_id, low.leaf, tops.node AS subroot, tops.tree, tops.n, low.node, low.proof FROM low{levels} low JOIN tops ON low.tree = tops.of),
+{", ".join(climbed("t", "high"))}
+SELECT doc_id, leaf, subroot, (SELECT node FROM tn{levels}) AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+  node = (SELECT node FROM tn{levels}) AS verified
+FROM high{levels}
+"""
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql()
