@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from broadsheet.llm import centroids, embedding_dedup, language_id, licenses, manifest, mixing, near_dedup, packing, pii, token_counts, topk_search, toxicity
+from broadsheet.llm import centroids, embedding_dedup, language_id, licenses, manifest, mixing, near_dedup, packing, pii, suffix_tree, token_counts, topk_search, toxicity
 from broadsheet.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,6 +198,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+@query
+def op11_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.evaluate(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.report(table(spark, sf_dir, "embeddings"))
