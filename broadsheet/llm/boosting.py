@@ -93,10 +93,17 @@ def calibrate(forest: Forest, x: np.ndarray, y: np.ndarray) -> Forest:
 
 
 def threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """Least probability from which on the rows reach ``precision``; above 1 if none does."""
+    """A probability from which on the rows reach ``precision``; above 1 if none does.
+
+    It lies halfway to the next row that would break it, for rows not seen yet.
+    """
     order = np.argsort(-p, kind="stable")
     right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
     # Only at the last of equal probabilities is the cut a real one.
     last = np.append(p[order][1:] != p[order][:-1], True)
     good = np.flatnonzero((right >= precision) & last)
-    return float(p[order][good[-1]]) if len(good) else 1.1
+    if not len(good):
+        return 1.1
+    at = good[-1]
+    below = p[order][at + 1] if at + 1 < len(p) else 0.0
+    return float((p[order][at] + below) / 2)

@@ -34,6 +34,12 @@ DIMENSIONS = 8
 SAMPLE = 600
 WINDOWS_PER_TEXT = 4
 UNKNOWN = "und"
+# What noise is drawn from.
+NOISE_ALPHABETS = (
+    b"0123456789abcdef", b"abcdefghijklmnopqrstuvwxyz", b"abcdefghijklmnopqrstuvwxyz0123456789+/=", b"qwxzjkvy", b"0123456789.,:;-", b"(){}[]<>;=&|!+*/abcdefxyz_.",
+)
+#: Chance of noise from which on a stage rejects a text.
+NOISE = 0.9
 #: Languages that a network tells apart at most, the most frequent ones.
 LANGUAGES = 4_096
 
@@ -146,8 +152,28 @@ class Folded:
         return self.net.softmax(np.concatenate(tops, 1))
 
 
-def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Network | None:
-    """Train on at most ``sample`` texts per language, those with the least hash of their key."""
+def noise(windows_: list[bytes], seed: int = 11) -> list[bytes]:
+    """As many windows without a language: real ones with their bytes shuffled, and words of drawn letters or digits."""
+    r = np.random.default_rng(seed)
+    alphabets = [np.frombuffer(a, np.uint8) for a in NOISE_ALPHABETS]
+    out = []
+    for i, w in enumerate(windows_):
+        x = np.frombuffer(w, np.uint8)
+        n = max(1, int((x != 0).sum()))
+        if i % 2:
+            x = r.permutation(x[:n])
+        else:
+            x = r.choice(alphabets[i // 2 % len(alphabets)], n)
+            x[r.random(n) < r.choice([0.0, 0.1, 0.2])] = 32
+        out.append(x.astype(np.uint8).tobytes().ljust(len(w), b"\0"))
+    return out
+
+
+def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", sample: int = SAMPLE, reject: bool = False) -> Network | None:
+    """Train on at most ``sample`` texts per language, those with the least hash of their key.
+
+    With ``reject`` the network has one more class, "und", learned from made noise.
+    """
     labelled = docs.filter(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
     counts = docs.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     # Each language's rows below a hash bound chosen to give a little more than the sample.
@@ -177,6 +203,9 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "do
             kept[lang].append(data)
     if not kept:
         return None
+    if reject:
+        every = sorted(d for data in kept.values() for d in data)
+        kept[UNKNOWN] = noise([every[i] for i in np.linspace(0, len(every) - 1, min(len(every), 2 * sample * WINDOWS_PER_TEXT)).astype(int)])
     languages = sorted(kept)
     x = np.stack([np.frombuffer(d, np.uint8) for lang in languages for d in kept[lang]])
     y = np.repeat(np.arange(len(languages)), [len(kept[lang]) for lang in languages])
@@ -197,15 +226,21 @@ def identify(docs: DataFrame, net: Network | None, *extra: Column) -> DataFrame:
     return map_batches(rows, run, schema)
 
 
-def known(docs: DataFrame, net: Network | None) -> DataFrame:
-    """The rows of ``docs`` whose language is not "und", with their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+def known(docs: DataFrame, net: Network | None, limit: float = NOISE) -> DataFrame:
+    """The rows of ``docs`` with a letter that the network does not hold for noise, with their columns.
+
+    A text goes if its chance of "und" is at least ``limit``; only a network that was fitted
+    to reject has that class. Without a network every text with a letter stays.
+    """
     lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
+    if net is None or UNKNOWN not in net.languages:
+        return lettered
+    shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
         for batch in slices(batches):
-            langs, _ = _predict(shared, batch.column("text").to_pylist())
-            yield batch.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
+            langs, scores = _predict(shared, batch.column("text").to_pylist())
+            yield batch.filter(pa.array([x != UNKNOWN or s < limit for x, s in zip(langs, scores)], pa.bool_()))
 
     return map_stream(lettered, run, docs.schema)
 

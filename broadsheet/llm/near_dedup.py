@@ -42,6 +42,8 @@ WORDS = 5
 #: Bands of ROWS minima: at similarity 0.85 a pair shares none in fewer than one of a million cases.
 BANDS = 25
 ROWS = 5
+#: Minima of a band for thresholds below 85 %: 32 bands, at 0.8 missed by one pair in ten millions.
+LOW_ROWS = 4
 MINIMA = 128
 BITS = 4
 #: Standard errors below the threshold at which an estimate still counts.
@@ -101,9 +103,14 @@ def signature(m: np.ndarray) -> bytes:
     return (low << (np.arange(8 // BITS, dtype=np.uint8) * BITS)).sum(1, dtype=np.uint8).tobytes()
 
 
-def band_keys(m: np.ndarray) -> list[int]:
-    raw = m[: BANDS * ROWS].reshape(BANDS, ROWS)
-    return [xxhash.xxh64_intdigest(raw[b].tobytes(), seed=b) - (1 << 63) for b in range(BANDS)]
+def band_keys(m: np.ndarray, rows: int = ROWS) -> list[int]:
+    bands = len(m) // rows
+    raw = m[: bands * rows].reshape(bands, rows)
+    return [xxhash.xxh64_intdigest(raw[b].tobytes(), seed=b) - (1 << 63) for b in range(bands)]
+
+
+def band_rows(percent: int) -> int:
+    return ROWS if percent >= 85 else LOW_ROWS
 
 
 def least_equal(similarity: float) -> int:
@@ -156,7 +163,7 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(data).alias("digest"), data.alias("data"))
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     """Per row: size and 128-bit digest of the set, its signature and its band keys."""
     schema = "doc_id bigint, digest bigint, n_shingles bigint, set_id binary, sig array<bigint>, bands array<bigint>"
 
@@ -168,7 +175,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             out["set_id"].append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             m = minima(s) if len(s) else None
             out["sig"].append(np.frombuffer(signature(m), np.int64) if len(s) else None)
-            out["bands"].append(band_keys(m) if len(s) else None)
+            out["bands"].append(band_keys(m, rows) if len(s) else None)
         return out | {c: batch.column(c) for c in HANDLE}
 
     return map_batches(_documents(docs), make, schema)
@@ -271,7 +278,7 @@ def grouped(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, digest, n_shingles, set_id, group, component_id per row; null where there is no set or id."""
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    sketched = settle(sketch(docs), "sketches")
+    sketched = settle(sketch(docs, band_rows(percent)), "sketches")
     # One node per distinct set, with one row to find its text again by.
     place = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)).alias("w_id"), F.col("digest").alias("w_digest"))
     sets = settle(

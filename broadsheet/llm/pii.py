@@ -48,16 +48,21 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+#: The same matches as IP, tried at the start of each run of digits alone.
+IP_FROM_START = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+WRITTEN_DOT = re.compile(r"\(dot\)|\[dot\]| dot ", re.I)
 NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 DIGIT = re.compile("[0-9]")
 AT = re.compile("at", re.I)
 
-# Generators beyond the base, by kind.
+# Generators beyond the base, by kind. Addresses are grown from what stands for their at sign.
+AT_SIGN = re.compile(r" ?(?:\(at\)|\[at\]|\{at\}|@) ?|(?<= )at ", re.I)
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+")
+DOTTED = re.compile(r"[A-Za-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|(?<= )dot(?= )|\.) ?[A-Za-z0-9-]++)++", re.I)
 GENERATORS = (
-    (0, re.compile(r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]|\{at\}|(?<= )at(?= )|@) ?[A-Za-z0-9-]+(?: ?(?:\(dot\)|\[dot\]|(?<= )dot(?= )|\.) ?[A-Za-z0-9-]+)+", re.I)),
     (1, re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")),
-    (1, re.compile(r"(?<![0-9.])[0-9]+(?:\.[0-9]+){2,5}(?![0-9])")),
+    (1, re.compile(r"(?<![0-9.])[0-9]++(?:\.[0-9]++){2,5}")),
     (2, re.compile(r"(?<![0-9])[0-9]{3,}(?:[ ./-]?[0-9]+){0,5}(?![0-9])")),
     (3, re.compile(r"(?<![0-9+])\(?[0-9]{1,4}\)?(?:[ ./()-]{1,2}[0-9]{2,5}){1,4}(?![0-9])")),
 )
@@ -73,6 +78,10 @@ BEFORE = 24
 WRITTEN = re.compile(r".*(?:\(at\)|\[at\]|\{at\}|@).*|.* at .*(?: dot |\(dot\)|\[dot\]).*", re.I | re.S)
 IPV6 = re.compile(r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}")
 CARD_GROUPS = {16: (4, 4, 4, 4), 15: (4, 6, 5), 14: (4, 6, 4), 19: (4, 4, 4, 4, 3)}
+WRITTEN_AS = (
+    (" at ", " dot "), ("(at)", "."), (" (at) ", "."), (" (at) ", " (dot) "), ("[at]", "."), (" [at] ", " [dot] "), ("{at}", "."), (" @ ", "."), ("@ ", "."),
+    (" @", "."), ("(at)", "(dot)"), (" at ", " [dot] "),
+)
 DIALLED = re.compile(r"\([0-9]{2,4}\)[ ./()-]{0,2}[0-9]+(?:[ ./-][0-9]+)+|[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}")
 
 
@@ -103,7 +112,7 @@ def base_spans(text: str) -> list[Span]:
             out.append((start, 0, done))
         at = text.find("@", max(at + 1, done))
     if DIGIT.search(text):
-        for m in IP.finditer(text):
+        for m in IP_FROM_START.finditer(text):
             if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
                 out.append((m.start(), 1, m.end()))
         for m in CARD.finditer(text):
@@ -115,15 +124,31 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+def addresses(text: str) -> list[Span]:
+    """Addresses around everything that may stand for an at sign, in one pass."""
+    out, low = [], 0
+    for m in AT_SIGN.finditer(text):
+        # Separators are no local characters, so no place is walked over twice.
+        before = text[low:m.start()].removesuffix(" ")
+        end = low + len(before)
+        local = LOCAL.match(before[::-1])
+        start = end - local.end()
+        right = DOTTED.match(text, m.end())
+        # A plain "at" before a name with plain dots is mostly prose.
+        if start < end and right and (m[0][-3:].lower() != "at " or WRITTEN_DOT.search(right[0])):
+            out.append((start, 0, right.end()))
+        low = m.end()
+    return out
+
+
 def candidates(text: str) -> list[Span]:
-    """All proposals of the generators; they may overlap each other."""
-    digits = bool(DIGIT.search(text))
-    out = set()
-    for kind, pattern in GENERATORS:
-        if kind == 0 and not ("@" in text or AT.search(text)):
-            continue
-        if kind == 0 or digits or ":" in text:
-            out.update((m.start(), kind, m.end()) for m in pattern.finditer(text))
+    """All proposals of the generators; they may overlap each other. A card has the digits and the check digit of one."""
+    out = set(addresses(text)) if "@" in text or AT.search(text) else set()
+    if DIGIT.search(text) or ":" in text:
+        for kind, pattern in GENERATORS:
+            for m in pattern.finditer(text):
+                if kind != 2 or 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):
+                    out.add((m.start(), kind, m.end()))
     return sorted(out)
 
 
@@ -148,11 +173,19 @@ def _describe(text: str, start: int, kind: int, end: int) -> list[float]:
     return features(text[start:end], kind, text[max(0, start - BEFORE):start], text[end:end + 4])
 
 
+def sha256_of(text: str) -> bytes:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
+
+
 def _masked(text: str, start: int, kind: int, end: int) -> tuple[str, str] | None:
     """A base span as the base patterns would not know it, and what stands before it then."""
     span = text[start:end]
     if kind == 0:
-        return span.replace("@", " at ").replace(".", " dot "), text[max(0, start - BEFORE):start]
+        # One of the ways to write it that the generator knows, by a digest of the span.
+        style = sha256_of(span)[0]
+        at, dot = WRITTEN_AS[style % len(WRITTEN_AS)]
+        local, domain = span.split("@")
+        return local + at + domain.replace(".", dot), text[max(0, start - BEFORE):start]
     if kind == 3:
         return re.sub(r"^\+[0-9]+ ?", "", span) or None, text[max(0, start - BEFORE):start]
     if kind == 2:
@@ -163,7 +196,7 @@ def _masked(text: str, start: int, kind: int, end: int) -> tuple[str, str] | Non
             at += n
         return "./"[int(d[-2]) % 2].join(groups), text[max(0, start - BEFORE):start]
     # The same place with an address of the other version, its groups drawn from the span.
-    drawn = hashlib.sha256(span.encode()).hexdigest()
+    drawn = sha256_of(span).hex()
     return ":".join(drawn[i:i + 4].lstrip("0") or "0" for i in range(0, 32, 4)), text[max(0, start - BEFORE):start]
 
 

@@ -1,6 +1,8 @@
 """What the trees add, by kind."""
 
 import random
+import time
+from collections import Counter
 
 import pytest
 
@@ -58,3 +60,48 @@ def test_real_hidden_spans_do_not_raise_the_threshold():
 
 def test_at_sign_is_enough_for_candidates():
     assert [(k, "joe @ mine.org"[a:b]) for a, k, b in pii.candidates("joe @ mine.org")] == [(0, "joe @ mine.org")]
+
+
+@pytest.mark.parametrize("text", [
+    "at " + "a" * 1_000_000, "a" * 1_000_000 + "@", "1" * 1_000_000, "at " * 300_000, "@" * 500_000, "1.1." * 250_000, "." * 1_000_000 + "@x.y",
+    "a" * 500_000 + " at " + "b" * 500_000 + " dot", "+1 " * 300_000, "1 " * 500_000])
+def test_long_unbroken_texts_take_linear_time(text):
+    def seconds(t):
+        start = time.process_time()
+        pii.candidates(t)
+        pii.base_spans(t)
+        return time.process_time() - start
+
+    assert seconds(text) < 12 * seconds(text[:len(text) // 4]) + 0.5
+
+
+def test_forms_of_addresses():
+    found = lambda t: [t[a:b] for a, k, b in pii.candidates(t) if k == 0]
+    for t in ("joe at example dot com", "anna.b at firma dot de", "bob (at) corp.org", "bob@ corp.org", "joe @ mine.org", "x[at]y[dot]de", "a{AT}b.c"):
+        assert found(t) == [t] and found(f"é {t}, x") == [t]
+    assert found("we meet at noon. Then go") == [] and found("look at www.example.com") == []
+
+
+def test_kinds_are_not_mixed_up(detector):
+    assert added(detector, "call 212-555-1234 now") <= {("phone", "212-555-1234")}
+    assert all(kind != "card" for kind, _ in added(detector, "order 212 555 12345 ref 4539.5787.6362.1487"))
+    assert added(detector, "joe at example dot com") == {("email", "joe at example dot com")}
+    assert ("email", "bob (at) corp.org") in added(detector, "write to bob (at) corp.org today")
+
+
+def test_precision_and_recall_of_rewritten_spans(detector):
+    """Base spans of other texts, written as the base patterns do not know them."""
+    hits, wanted, wrong = Counter(), Counter(), Counter()
+    for text in corpus(random.Random(99), 0):
+        for span in pii.base_spans(text):
+            masked, before = pii._masked(text, *span)
+            shown = before + masked + text[span[2]:span[2] + pii.BEFORE]
+            wanted[pii.KINDS[span[1]]] += 1
+            for a, k, b in detector.added(shown, pii.base_spans(shown)):
+                if k == span[1] and a <= len(before) and b >= len(before) + len(masked):
+                    hits[pii.KINDS[k]] += 1
+                elif a < len(before) + len(masked) and b > len(before):
+                    wrong[pii.KINDS[k]] += 1
+    for kind in pii.KINDS:
+        assert hits[kind] >= 0.9 * wanted[kind], (kind, hits, wanted)
+        assert hits[kind] >= 0.95 * (hits[kind] + wrong[kind]), (kind, hits, wrong)
