@@ -18,13 +18,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the network can tell; texts without a letter go."""
-    return language_id.known(docs, language_id.fit(docs))
+    """Documents in a language; what the network holds for noise and texts without a letter go."""
+    return language_id.known(docs, language_id.fit(docs, reject=True))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    return near_dedup.representatives(docs, 85)
+    return near_dedup.representatives(docs, 80)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
