@@ -82,8 +82,15 @@ def alerts(runs: DataFrame) -> DataFrame:
     return runs.select("run", F.explode(found).alias("alert"))
 
 
+def calendar(counts: DataFrame, after: int = 0) -> DataFrame:
+    """Every day from the first to ``after`` days behind the last ``run`` that is a day."""
+    day = F.try_to_date("run", "yyyy-MM-dd")
+    span = counts.agg(F.min(day).alias("a"), F.date_add(F.max(day), after).alias("b")).filter("a IS NOT NULL")
+    return span.select(F.explode(F.sequence("a", "b")).alias("d")).select(F.date_format("d", "yyyy-MM-dd").alias("run"))
+
+
 def run_stats(runs: DataFrame, counts: DataFrame) -> DataFrame:
-    """Counts of every run, zeros for a run that has left no rows at all."""
+    """Counts of every run: of those in ``counts``, and zeros for others that have left no rows at all."""
     names = ("n_new", "n_threads", "n_to_build", "n_built")
-    joined = runs.select("run").join(counts, "run", "left")
+    joined = runs.select("run").join(counts, "run", "full")
     return joined.select("run", *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in names])

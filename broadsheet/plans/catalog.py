@@ -153,8 +153,8 @@ def src5_state_import(t: Tables) -> DataFrame:
         F.when(F.col("feed_pos") % 10 == 7, "{broken")
         .when(F.col("feed_pos") % 10 == 8, '{"last_cleanup":null}')
         .otherwise(F.concat(
-            F.lit('{"sent_articles":{'), quoted, F.lit(":"), entry, F.lit(',"none":7},"reddit_cache":{'), quoted, F.lit(":"), entry,
-            F.lit('},"signals":['), entry, F.lit(',3],"last_run_date":"2024-01-27"}')))
+            F.lit('{"sent_articles":{'), quoted, F.lit(":"), entry, F.lit(',"none":7},"reddit_thread_details":{'), quoted, F.lit(":"), entry,
+            F.lit('},"web_sweep":['), entry, F.lit(',3],"web_sweep_meta":{"last_run_date":"2024-01-27","last_batch":"b"}}')))
         .alias("document"))
     sent, threads = scans.state_documents(rows), scans.thread_documents(rows)
     return (
@@ -293,9 +293,9 @@ def _run_stats(t: Tables) -> DataFrame:
 
 @query
 def flt7_alerts(t: Tables) -> DataFrame:
-    """Alerts of every day of the calendar, a day without any article included."""
-    days = t.spark.sql("SELECT date_format(d, 'yyyy-MM-dd') AS run FROM (SELECT explode(sequence(DATE '2024-01-25', DATE '2024-02-01')) AS d)")
-    return R.alerts(R.run_stats(days, _run_stats(t)))
+    """Alerts of every day from the first to the one after the last, of days without any article and of undated articles too."""
+    counts = _stored(t, _run_stats(t), "run-stats")
+    return R.alerts(R.run_stats(R.calendar(counts, after=1), counts))
 
 
 @query

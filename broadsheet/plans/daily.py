@@ -1,89 +1,27 @@
 """The daily job: state, intake, threads, dedup, curation, publication, commit.
 
-State is a log: every run appends what it learned under ``run=<id>`` and a
-commit marker is written last, after delivery. A run reads only runs committed
-before it, so a run that failed anywhere shows in no later one, and a run that is
-repeated overwrites its own folders with the same rows. Tables whose rows live
-for some days carry the day of the run as an outer folder, which prunes reads.
+State is a log of runs (``plans/statelog.py``): a run reads what was committed before
+it, appends what it learned and writes its commit marker last, after delivery. A run
+that failed anywhere shows in no later one, and one that is repeated overwrites its
+own folders with the same rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.times import moment
 from ..operators import articles as A
 from ..operators import state as S
 from ..session import remove
-from ..sources.scans import state_table
 from .ordered import last_wins
+from .statelog import StateLog, appeared, first_day
 
-RUN = T.StructType([T.StructField("run", T.LongType())])
-#: Tables read by age: their folders start with the day of the run.
-DATED = ("sent", "threads")
-
-
-def _day(as_of: str | date) -> str:
-    return as_of.isoformat()[:10] if isinstance(as_of, date) else str(as_of)[:10]
-
-
-@dataclass(frozen=True)
-class StateLog:
-    """State tables of a job under one folder."""
-
-    spark: SparkSession
-    root: str
-
-    def path(self, table: str, run: int | None = None, as_of=None) -> str:
-        day = f"/day={_day(as_of)}" if table in DATED and run is not None else ""
-        return f"{self.root}/{table}{day}" + ("" if run is None else f"/run={run}")
-
-    def committed(self, before: int) -> DataFrame:
-        return state_table(self.spark, self.path("commits"), RUN).filter(F.col("run") < before)
-
-    def read(self, table: str, schema: T.StructType, before: int, since=None) -> DataFrame:
-        """Rows of committed earlier runs, ``run`` included; run and day filters prune folders.
-
-        ``since`` leaves out runs of earlier days, for dated tables.
-        """
-        folders = [T.StructField("day", T.DateType())] if table in DATED else []
-        rows = state_table(self.spark, self.path(table), T.StructType([*schema.fields, *folders, *RUN.fields]))
-        rows = rows.filter(F.col("run") < before)
-        if since is not None and folders:
-            rows = rows.filter(F.col("day") >= F.lit(since).cast("date"))
-        return rows.drop("day").join(self.committed(before), "run", "left_semi")
-
-    def write(self, df: DataFrame, table: str, run: int, as_of=None) -> None:
-        df.write.mode("overwrite").parquet(self.path(table, run, as_of))
-
-    def written(self, table: str, run: int) -> DataFrame:
-        """What this run has written itself, committed or not."""
-        return self.spark.read.parquet(self.path(table, run))
-
-    def commit(self, run: int) -> None:
-        """Make a run visible. The marker folder itself carries the run id."""
-        self.spark.range(1).write.mode("overwrite").parquet(self.path("commits", run))
-
-    def _young(self, table: str, schema: T.StructType, before: int, as_of, column: str) -> DataFrame:
-        first = date.fromisoformat(_day(as_of)) - timedelta(days=S.SENT_DAYS)
-        return S.retained(self.read(table, schema, before, first.isoformat()), column, as_of)
-
-    def sent(self, before: int, as_of) -> DataFrame:
-        """Retained sent keys, newest entry per key."""
-        rows = self._young("sent", schemas.SENT, before, as_of, "sent_at")
-        return last_wins(rows, ["article_key"], F.struct("run", "sent_at")).drop("run")
-
-    def threads(self, before: int, as_of) -> DataFrame:
-        """Retained threads; the first build of a link stays."""
-        rows = self._young("threads", schemas.THREAD, before, as_of, "fetched_at")
-        return last_wins(rows, ["url"], F.struct(-F.col("run"), "fetched_at")).drop("run")
+__all__ = ["StateLog", "run_daily", "run_sweep_merge", "signal_history"]
 
 
 def run_daily(
@@ -115,7 +53,7 @@ def run_daily(
         _write_sweep(log, signals, run, as_of)
     if not deliver(log.written("digests", run)):
         for table in ("offered", "digests", "signals", "fresh", "sweep_runs"):
-            remove(log.spark, log.path(table, run))
+            remove(log.spark, log.path(table, run, as_of))
         return False
 
     offered = last_wins(
@@ -136,9 +74,9 @@ def _write_sweep(log: StateLog, signals: DataFrame, run: int, as_of) -> None:
     """Signals, the fresh ones among them and the run stamp, not yet visible."""
     from ..operators.signals import fresh_signals
 
-    log.write(signals.select(*schemas.SIGNAL.fieldNames()), "signals", run)
-    prior = log.read("signals", schemas.SIGNAL, run).drop("run")
-    log.write(fresh_signals(log.written("signals", run), prior), "fresh", run)
+    log.write(signals.select(*schemas.SIGNAL.fieldNames()), "signals", run, as_of)
+    prior = log.read("signals", schemas.SIGNAL, run, first_day(as_of, S.SIGNAL_DAYS)).drop("run", "day")
+    log.write(fresh_signals(log.written("signals", run, as_of), prior), "fresh", run)
     stamp = log.spark.range(1).select(
         F.date_format(moment(as_of), "yyyy-MM-dd").alias("last_run_date"), F.lit(str(run)).alias("last_batch")
     )
@@ -154,15 +92,15 @@ def run_sweep_merge(log: StateLog, signals: DataFrame, run: int, as_of, deliver:
     fresh = log.written("fresh", run)
     if not deliver(fresh):
         for table in ("signals", "fresh", "sweep_runs"):
-            remove(log.spark, log.path(table, run))
+            remove(log.spark, log.path(table, run, as_of))
         return None
     log.commit(run)
     return fresh
 
 
 def signal_history(log: StateLog, before: int, as_of, days: int = S.SIGNAL_DAYS) -> DataFrame:
-    """The rolling history as the merge defines it, read out of the log."""
-    rows = log.read("signals", schemas.SIGNAL, before).filter(F.coalesce("id", F.lit("")) != "")
-    merged = last_wins(rows, ["id"], F.struct("run", "seq"), first_seen="first_seen").drop("run")
+    """The rolling history as the merge defines it, read out of the log; sweeps before its first day are not read."""
+    rows = log.read("signals", schemas.SIGNAL, before, first_day(as_of, days)).filter(F.coalesce("id", F.lit("")) != "")
+    merged = last_wins(rows, ["id"], appeared(), first_seen="first_seen").drop("run", "day")
     cutoff = F.date_format(moment(as_of) - F.expr(f"INTERVAL '{int(days)}' DAY"), "yyyy-MM-dd")
     return merged.filter(F.coalesce("date", F.lit("")) >= cutoff)

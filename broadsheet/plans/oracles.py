@@ -215,13 +215,13 @@ SELECT lane, count(*) AS n_payloads FROM base_entries WHERE lane <> 'market-pric
 oracle("flt7_alerts", "articles recent_sent", """
 SELECT run, 'no new articles' AS alert FROM stats WHERE n_new = 0
 UNION ALL SELECT run, 'no thread articles' FROM stats WHERE n_threads = 0
-UNION ALL SELECT run, 'no threads built' FROM stats WHERE n_threads > 0 AND n_built = 0""", stats="""
+UNION ALL SELECT run, 'no threads built' FROM stats WHERE n_threads > 0 AND n_built = 0""", runs="""
+  SELECT coalesce(strftime(published, '%Y-%m-%d'), 'undated') AS run, source IN ('src3', 'src7') AS thread,
+    article_key NOT IN (SELECT article_key FROM recent_sent) AS new FROM articles""", stats="""
   SELECT run, count(*) FILTER (WHERE new) AS n_new, count(*) FILTER (WHERE thread) AS n_threads,
     count(*) FILTER (WHERE new AND thread) AS n_built
-  FROM (SELECT strftime(unnest(generate_series(TIMESTAMP '2024-01-25', TIMESTAMP '2024-02-01', INTERVAL 1 DAY)), '%Y-%m-%d') AS run)
-  LEFT JOIN (SELECT strftime(published, '%Y-%m-%d') AS run, source IN ('src3', 'src7') AS thread,
-          article_key NOT IN (SELECT article_key FROM recent_sent) AS new FROM articles) USING (run)
-  GROUP BY run""")
+  FROM (SELECT strftime(unnest(generate_series(min(published)::DATE::TIMESTAMP, max(published)::DATE::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY)), '%Y-%m-%d') AS run FROM articles)
+  FULL JOIN runs USING (run) GROUP BY run""")
 oracle("prj1_article_key", "articles", "SELECT article_key, feed_pos FROM articles")
 oracle("prj2_signal_id", "entries", f"""
 SELECT payload_seq, CAST(pos AS INTEGER) AS pos, {key('subject', 'source_url')} AS id FROM entries

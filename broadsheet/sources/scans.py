@@ -134,7 +134,7 @@ def state_documents(documents: DataFrame, column: str = "document") -> DataFrame
 def thread_documents(documents: DataFrame, column: str = "document") -> DataFrame:
     """Thread cache rows out of JSON state documents."""
     rows = _document_entries(
-        documents, column, "reddit_cache",
+        documents, column, "reddit_thread_details",
         "struct<title: string, selftext: string, author: string, score: int, num_comments: int, subreddit: string, "
         "created_utc: double, top_comments: array<string>, fetched_at: string>")
     return rows.select(
@@ -145,7 +145,7 @@ def thread_documents(documents: DataFrame, column: str = "document") -> DataFram
 
 def signal_documents(documents: DataFrame, column: str = "document") -> DataFrame:
     """Signal history rows out of JSON state documents; ``seq`` is the place in the list."""
-    signals = F.try_variant_get(F.try_parse_json(column), "$.signals", "array<variant>")
+    signals = F.try_variant_get(F.try_parse_json(column), "$.web_sweep", "array<variant>")
     rows = documents.select(F.posexplode(signals).alias("pos", "_v")).filter(V.is_object(F.col("_v")))
     names = [n for n in schemas.SIGNAL.fieldNames() if n not in ("seq", "metrics")]
     return rows.select(
@@ -157,7 +157,7 @@ def signal_documents(documents: DataFrame, column: str = "document") -> DataFram
 
 def run_stamps(documents: DataFrame, column: str = "document") -> DataFrame:
     """Day of the last sweep out of JSON state documents."""
-    day = F.try_variant_get(F.try_parse_json(column), "$.last_run_date", "string")
+    day = F.try_variant_get(F.try_parse_json(column), "$.web_sweep_meta.last_run_date", "string")
     return documents.select(day.alias("last_run_date")).filter(F.col("last_run_date").isNotNull())
 
 

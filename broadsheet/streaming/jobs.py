@@ -54,10 +54,15 @@ def ingest_recent(stream: DataFrame, out: str, checkpoint: str, as_of) -> None:
 
 def daily_stream(
     stream: DataFrame, log: StateLog, checkpoint: str, as_of: Callable[[int], str], digest_of: Callable[[DataFrame], DataFrame],
+    deliver: Callable[[DataFrame], bool] = lambda published: True, sweep_of: Callable[[int], DataFrame | None] = lambda batch_id: None,
 ) -> None:
-    """Every batch is a daily run: dedup against the log, publish, then commit."""
+    """Every batch is a daily run: dedup against the log, publish, then commit.
+
+    ``sweep_of`` gives the signals of the sweep that is due with a batch, if one is;
+    they become visible by the same commit, behind the same delivery.
+    """
     def batch(df: DataFrame, batch_id: int) -> None:
-        run_daily(log, df, batch_id, as_of(batch_id), digest_of)
+        run_daily(log, df, batch_id, as_of(batch_id), digest_of, deliver, signals=sweep_of(batch_id))
 
     _run(stream, checkpoint, lambda w: w.foreachBatch(batch))
 
@@ -72,7 +77,9 @@ def dedup_within(stream: DataFrame, out: str, checkpoint: str, event_time: str,
 
 
 def sweep_stream(stream: DataFrame, log: StateLog, checkpoint: str, as_of) -> None:
-    """Every batch is a sweep: flag fresh signals against the log, then merge."""
+    """Every batch is a sweep: flag fresh signals against the log, then merge. Runs are those of the job "sweep"."""
+    log = log.of_job("sweep")
+
     def batch(df: DataFrame, batch_id: int) -> None:
         run_sweep_merge(log, df, batch_id, as_of)
 
@@ -106,8 +113,10 @@ def threads_stream(stream: DataFrame, log: StateLog, checkpoint: str, as_of: Cal
     """Insert-if-absent per link with a lifetime: every batch adds the links the log does not hold.
 
     Of new duplicates the last in feed order is kept; a link comes back once its
-    entry has outlived the retention.
+    entry has outlived the retention. Runs are those of the job "threads".
     """
+    log = log.of_job("threads")
+
     def batch(df: DataFrame, batch_id: int) -> None:
         now = as_of(batch_id)
         known = log.threads(batch_id, now).select(F.col("url").alias("link"))

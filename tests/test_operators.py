@@ -359,7 +359,7 @@ def test_missing_state_is_empty_and_unreadable_state_fails(spark, tmp_path):
 
 def test_state_documents(spark):
     document = ('{"sent_articles":{"k":{"title":"t","link":"l","source":"s","sent_at":"2024-01-29T00:00:00+00:00"},"odd":3},'
-                '"reddit_cache":{"u":{"title":"t","score":4}},"signals":[{"id":"i","severity":"info"},"x"],"last_run_date":"2024-01-27"}')
+                '"reddit_thread_details":{"u":{"title":"t","score":4}},"web_sweep":[{"id":"i","severity":"info"},"x"],"web_sweep_meta":{"last_run_date":"2024-01-27"}}')
     docs = spark.createDataFrame([("{bad",), (document,), ("{}",)], "document STRING")
     assert [(r["article_key"], r["title"]) for r in scans.state_documents(docs).collect()] == [("k", "t")]
     assert [(r["url"], r["score"]) for r in scans.thread_documents(docs).collect()] == [("u", 4)]

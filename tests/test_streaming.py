@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet import schemas
 from broadsheet.operators import articles as A
 from broadsheet.operators import state as S
-from broadsheet.plans.daily import StateLog, run_daily, run_sweep_merge
+from broadsheet.plans.daily import StateLog, run_daily, run_sweep_merge, signal_history
 from broadsheet.streaming import jobs
 
 DAYS = [f"2024-01-{d:02d} 06:00:00" for d in range(10, 22)]
@@ -137,3 +137,77 @@ def test_a_key_comes_back_after_the_horizon(spark, tmp_path):
         jobs.dedup_within(source, str(tmp_path / "out"), str(tmp_path / "cp"), "ts")
         got.append(spark.read.parquet(str(tmp_path / "out")).count())
     assert got[0] == got[1] == 1 and got[-1] >= 2
+
+
+def _signal(i, date="2024-01-10", summary=""):
+    names = schemas.SIGNAL.fieldNames()
+    return tuple({"id": f"i{i}", "date": date, "summary": summary, "seq": (1, i)}.get(n, "x") for n in names)
+
+
+def _signals(spark, *rows):
+    return spark.createDataFrame(list(rows), schemas.SIGNAL)
+
+
+def test_jobs_on_one_root_do_not_see_each_others_failed_runs(spark, tmp_path):
+    root, df = str(tmp_path / "log"), next(drops(spark))
+    daily, sweep = StateLog(spark, root), StateLog(spark, root, "sweep")
+    sent = A.with_article_key(df).selectExpr("article_key", "title", "link", "source", "TIMESTAMP_NTZ '2024-01-10 06:00:00' AS sent_at")
+    daily.write(sent, "sent", 5, DAYS[0])  # dies before its commit
+    assert run_sweep_merge(sweep, _signals(spark, _signal(1)), 5, DAYS[0]) is not None
+    assert daily.sent(9, DAYS[1]).count() == 0
+    assert daily.read("signals", schemas.SIGNAL, 5).count() == 1  # committed by the other job
+    # Threads of equal run ids lie beside each other.
+    source = str(tmp_path / "in")
+    df.coalesce(1).write.parquet(source)
+    jobs.threads_stream(jobs.landed(spark, source, schemas.ARTICLE), daily, str(tmp_path / "cp"), lambda i: DAYS[i])
+    known = daily.threads(9, DAYS[0]).count()
+    assert known > 0 and run_daily(daily, df, 0, DAYS[0], count_by_source)
+    assert daily.threads(9, DAYS[0]).count() == known and daily.of_job("threads").committed(9).count() == 3
+
+
+def _state(log, as_of):
+    history = signal_history(log, 99, as_of).drop("first_seen")
+    return [sorted(map(str, df.collect())) for df in (log.sent(99, as_of), log.threads(99, as_of), history)]
+
+
+def test_snapshots_keep_rows_and_readers_and_bound_files(spark, tmp_path):
+    log, plain = StateLog(spark, str(tmp_path / "log")), StateLog(spark, str(tmp_path / "plain"))
+    days = DAYS[:6]
+    for run, (day, df) in enumerate(zip(days, drops(spark, 7))):
+        for x in (log, plain):
+            run_daily(x, df, run, day, count_by_source, signals=_signals(spark, _signal(run % 4, day[:10], day), _signal(100 + run, day[:10])))
+        if run % 2:
+            reader = log.read("sent", schemas.SENT, 99)
+            rows = sorted(map(str, reader.collect()))
+            assert log.compact(day) is not None
+            # A reader that began before the snapshot reads on.
+            assert sorted(map(str, reader.collect())) == rows
+    assert _state(log, days[-1]) == _state(plain, days[-1])
+    order = lambda x: [r["id"] for r in signal_history(x, 99, days[-1]).orderBy("first_seen").collect()]
+    assert order(log) == order(plain)
+    # Old runs, markers and snapshots are gone: what the last snapshot but one covers is read by nobody.
+    assert len(list((tmp_path / "log" / "commits").rglob("run=*"))) == 3
+    assert len(list((tmp_path / "log" / "snapshots").glob("id=*"))) == 2
+    assert len(log.sent(99, days[-1]).inputFiles()) < len(plain.sent(99, days[-1]).inputFiles())
+
+
+def test_a_snapshot_without_a_pointer_changes_nothing(spark, tmp_path):
+    log = StateLog(spark, str(tmp_path / "log"))
+    for run, (day, df) in enumerate(zip(DAYS[:3], drops(spark, 8))):
+        run_daily(log, df, run, day, count_by_source)
+    want = _state(log, DAYS[3])
+    # Died before its pointer: the half-written snapshot is overwritten by the next try.
+    log.read("sent", schemas.SENT, 99).limit(1).write.parquet(log._snapshot(1, "sent"))
+    assert _state(log, DAYS[3]) == want
+    assert log.compact(DAYS[3]) == 1 and _state(log, DAYS[3]) == want
+    assert log.compact(DAYS[3]) is None
+
+
+def test_a_stream_takes_the_sweep_behind_the_same_delivery(spark, tmp_path):
+    log, source = StateLog(spark, str(tmp_path / "log")), str(tmp_path / "in")
+    for df in list(drops(spark))[:2]:
+        df.coalesce(1).write.mode("append").parquet(source)
+    stream = jobs.landed(spark, source, schemas.ARTICLE, files_per_batch=1)
+    jobs.daily_stream(stream, log, str(tmp_path / "cp"), lambda i: DAYS[i], count_by_source,
+                      deliver=lambda published: published.count() >= 0, sweep_of=lambda i: _signals(spark, _signal(i)) if i == 1 else None)
+    assert [r["run"] for r in log.read("signals", schemas.SIGNAL, 9).collect()] == [1]
