@@ -29,14 +29,14 @@ NON_TEXT = (
 )
 
 # Characters behind the code points 128-159, which pages use with their Windows meaning.
-_WINDOWS = "".join(bytes([i]).decode("cp1252", errors="replace") for i in range(128, 160))
+WINDOWS = "".join(bytes([i]).decode("cp1252", errors="replace") for i in range(128, 160))
 
 # Names met most often lead the table, because a literal map is scanned in order.
 _COMMON = ["amp", "quot", "lt", "gt", "nbsp", "apos", "copy", "middot", "mdash", "ndash",
            "hellip", "rsquo", "lsquo", "rdquo", "ldquo", "reg", "trade", "euro", "bull"]
 
 
-def _entity_table() -> Column:
+def entity_table() -> Column:
     table = {"apos": "'", **{name: chr(cp) for name, cp in name2codepoint.items()}}
     ordered = _COMMON + sorted(name for name in table if name not in _COMMON)
     return F.str_to_map(
@@ -49,7 +49,7 @@ def _code_point(cp: Column) -> Column:
     usable = cp.between(1, 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
     exact = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
     return (
-        F.when(cp.between(128, 159), F.substr(F.lit(_WINDOWS), (cp - 127).cast("int"), F.lit(1)))
+        F.when(cp.between(128, 159), F.substr(F.lit(WINDOWS), (cp - 127).cast("int"), F.lit(1)))
         .when(usable, exact)
         .otherwise(F.lit("�"))
     )
@@ -71,7 +71,7 @@ def unescape(c: Column) -> Column:
             F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("bigint"),
         ).otherwise(F.substr(name, F.lit(2)).try_cast("bigint"))
         found = F.when(F.left(name, F.lit(1)) == "#", _code_point(number)).otherwise(
-            F.try_element_at(_entity_table(), name)
+            F.try_element_at(entity_table(), name)
         )
         return F.when(
             (name != "") & found.isNotNull(),

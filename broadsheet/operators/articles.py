@@ -79,8 +79,11 @@ def accepted_items(items: DataFrame, fetches: DataFrame) -> DataFrame:
     return items.join(answered, "source", "left_semi")
 
 
-def feed_health(feeds: DataFrame, fetches: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per registered feed with its status and accepted row count; feeds never fetched included."""
+def feed_health(feeds: DataFrame, fetches: DataFrame, items: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """One row per registered feed with its status and accepted row count; feeds never fetched included.
+
+    ``errors`` (source, state) adds how many items were lost and how many were recovered.
+    """
     counts = rows_per_source(feeds, accepted_items(items, fetches))
     n = F.col("n_rows")
     status = (
@@ -91,7 +94,13 @@ def feed_health(feeds: DataFrame, fetches: DataFrame, items: DataFrame) -> DataF
         .when(n == 0, "empty")
         .otherwise("ok")
     )
-    return counts.join(fetches, "source", "left").select("source", status.alias("health"), "n_rows")
+    joined = counts.join(fetches, "source", "left")
+    extra = []
+    if errors is not None:
+        states = errors.groupBy("source").agg(*[F.count_if(F.col("state") == s).alias(f"n_{s}") for s in ("lost", "recovered")])
+        joined = joined.join(states, "source", "left")
+        extra = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_lost", "n_recovered")]
+    return joined.select("source", status.alias("health"), "n_rows", *extra)
 
 
 def union_sources(feed_articles: DataFrame, story_articles: DataFrame) -> DataFrame:

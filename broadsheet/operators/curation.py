@@ -291,43 +291,61 @@ def opportunities(articles: DataFrame, text: Column) -> DataFrame:
     }).filter(found)
 
 
-# MinHash over the words of a story: maps of a word's digest, in bands that must agree.
-STORY_PRIME = (1 << 31) - 1
-STORY_BANDS = 8
-STORY_ROWS = 3
+# Share of words that two articles of one story have in common.
 STORY_PERCENT = 60
-#: Multiplier and shift of every map: powers of two fixed numbers.
-STORY_MAPS = [(pow(48271, i + 1, STORY_PRIME), pow(69621, i + 1, STORY_PRIME)) for i in range(STORY_BANDS * STORY_ROWS)]
-
-
-def story_bands(story_words: Column) -> Column:
-    """Band keys of a set of words: the least images of its digests under each map."""
-    digests = F.transform(story_words, lambda w: F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("bigint"))
-
-    def least_image(a: int, b: int) -> Column:
-        return F.array_min(F.transform(digests, lambda h: (h * a + b) % STORY_PRIME))
-
-    least = [least_image(a, b) for a, b in STORY_MAPS]
-    bands = [least[i:i + STORY_ROWS] for i in range(0, len(least), STORY_ROWS)]
-    return F.array(*[F.concat_ws(":", F.lit(str(n)), *[x.cast("string") for x in band]) for n, band in enumerate(bands)])
 
 
 def near_stories(articles: DataFrame, row_id: str = "row_id", percent: int = STORY_PERCENT) -> DataFrame:
     """``row_id, story_id``: articles that tell the same story get the smallest row id among them.
 
-    Articles that share a band meet the smallest row of the band, never each other, so a
-    band of any size gives as many pairs as it has rows. A pair counts if the words of
-    title and summary agree by ``percent``; links then run on over whole groups.
-    Articles without a word are a story of their own.
+    Two articles are linked if the words of title and summary agree by ``percent``; links
+    run on over whole groups. None is lost: with words ordered from the rarest, two sets
+    that agree so far share a word among the first ``n - ceil(n * percent / 100) + 1`` of
+    each, and the places of a shared word bound what may follow it.
+
+    Equal sets count once. Sets that share such a word first meet the smallest of them,
+    which joins groups of close copies without their pairs; after that only pairs across
+    components that are still apart are compared. Articles without a word are a story of
+    their own.
     """
     text = article_text(F.col("title"), F.col("summary"))
-    rows = settle(articles.select(F.col(row_id).alias("row_id"), F.array_distinct(words(text)).alias("w")), "story-words")
-    bands = rows.filter(F.size("w") > 0).select("row_id", F.explode(story_bands(F.col("w"))).alias("band"))
-    leads = bands.groupBy("band").agg(F.min("row_id").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    pairs = bands.join(leads, "band").filter("row_id <> a").select("a", F.col("row_id").alias("b")).distinct()
-    side = lambda c: rows.select(F.col("row_id").alias(c), F.col("w").alias(f"w_{c}"))
+    rows = settle(articles.select(F.col(row_id).alias("row_id"), F.array_sort(F.array_distinct(words(text))).alias("w")), "story-words")
+    sets = settle(rows.filter(F.size("w") > 0).groupBy("w").agg(F.min("row_id").alias("id")).withColumn("n", F.size("w")), "story-sets")
+    entries = settle(_rare_words(sets, percent), "story-prefixes")
+    leads = entries.groupBy("word").agg(F.min("id").alias("a"), F.count("*").alias("k")).filter("k > 1").drop("k")
+    stars = entries.join(leads, "word").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
+    first = settle(_linked(stars, sets, percent), "story-links")
+    groups = connected(first)
+
+    placed = entries.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    apart = placed.groupBy("word").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("word")
+    still = settle(placed.join(apart, "word", "left_semi"), "story-apart")
+    side = lambda c: still.select("word", *[F.col(x).alias(f"{x}_{c}") for x in ("id", "n", "place", "comp")])
+    after = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    likely = (
+        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+        # Places of their first common word: what comes before is not shared.
+        & (after * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent))
+    across = side("a").join(side("b"), "word").filter((F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & likely)
+    second = settle(_linked(across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), sets, percent), "story-links")
+    groups = connected(first.unionByName(second))
+    named = sets.select("w", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").select("w", F.coalesce("component", "id").alias("story_id"))
+    return rows.join(named, "w", "left").select("row_id", F.coalesce("story_id", "row_id").alias("story_id"))
+
+
+def _rare_words(sets: DataFrame, percent: int) -> DataFrame:
+    """id, n, place, word: of each set the rarest words, one of which a set that agrees by ``percent`` must share."""
+    each = sets.select("id", "n", F.explode("w").alias("word"))
+    counts = each.groupBy("word").agg(F.count("*").alias("k"))
+    ordered = each.join(counts, "word").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("k", "word"))).alias("o"))
+    length = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    return ordered.select("id", "n", F.posexplode(F.slice("o", F.lit(1), length)).alias("place", "e")).select(
+        "id", "n", (F.col("place") + 1).alias("place"), "e.word")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of sets that agree by ``percent``."""
+    side = lambda c: sets.select(F.col("id").alias(c), F.col("w").alias(f"w_{c}"), F.col("n").alias(f"n_{c}"))
     common = F.size(F.array_intersect("w_a", "w_b"))
-    links = pairs.join(side("a"), "a").join(side("b"), "b").filter(
-        common * 100 >= (F.size("w_a") + F.size("w_b") - common) * percent)
-    groups = connected(settle(links.select("a", "b"), "story-links")).withColumnRenamed("node", "row_id")
-    return rows.select("row_id").join(groups, "row_id", "left").select("row_id", F.coalesce("component", "row_id").alias("story_id"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.filter(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * percent).select("a", "b")

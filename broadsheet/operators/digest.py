@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import html_escape
+from ..plans.ordered import numbered
 from .curation import SECTIONS, Section, priority_order
 from .signals import fill
 
@@ -56,17 +57,17 @@ def render(
     """HTML of each digest in numbered parts: sections in fixed order, best articles first.
 
     Must-watch articles are exempt from the digest's cap, so a digest may be long:
-    a part holds at most ``size`` articles and the parts together hold all.
+    a part holds at most ``size`` articles and the parts together hold all. Articles
+    are numbered by ranges of their order, so no digest is ever in one task.
     """
     link = F.concat(
         F.lit('  <li>\n    <strong><a href="'), html_escape(F.col("link")), F.lit('">'),
         html_escape(F.col("title")), F.lit("</a></strong> ("), html_escape(F.col("source")),
         F.lit(")<br>\n    "), html_escape(F.col("summary")), F.lit("\n  </li>"),
     )
-    w = Window.partitionBy(*digest).orderBy("section_ord", *priority_order())
-    numbered = chosen.withColumn("_n", F.row_number().over(w))
-    numbered = numbered.withColumn("part_no", F.floor((F.col("_n") - 1) / size).cast("int"))
-    items = numbered.groupBy(*digest, "part_no", "section_ord").agg(
+    placed = numbered(chosen, digest, [F.asc("section_ord"), *priority_order()], "_n")
+    placed = placed.withColumn("part_no", F.floor((F.col("_n") - 1) / size).cast("int"))
+    items = placed.groupBy(*digest, "part_no", "section_ord").agg(
         _joined(F.col("_n"), link, "\n").alias("items"), F.count("*").alias("_c")
     )
     headings = F.array(*[F.lit(s.heading) for s in sections])

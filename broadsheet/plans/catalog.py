@@ -60,8 +60,10 @@ SNAPSHOT = 2_000
 def _snapshots(t: Tables) -> DataFrame:
     """Land the items as feeds serve them and scan them.
 
-    By source in turn: RSS with siblings under other prefixes, Atom with content and
-    an enclosure, RDF, and RSS that breaks off inside one more item.
+    By source in turn: RSS with siblings under other prefixes, bare ampersands and names XML
+    does not know, Atom under a prefix with content and an enclosure, RDF with
+    CDATA that holds an end tag, and RSS with an unclosed element in every item that
+    breaks off inside one more item.
     """
     items = t.feed_items()
     style = F.col("feed_ord") % 4
@@ -69,19 +71,22 @@ def _snapshots(t: Tables) -> DataFrame:
     when = F.when(F.col("published") != "soon", F.col("published")).otherwise(F.col("updated"))
     date = lambda name: F.coalesce(_tagged_text(name, when), F.lit(""))
     link = F.col("link")
+    odd = F.when(style == 3, "<guid><b>open</guid>").otherwise("<guid>AT&T &nbsp;&unknown; a & b</guid>")
     rss = F.concat(
-        F.lit("<item>"), _tagged_text("title", title), _tagged_text("link", link), F.lit('<atom:link href="https://self" rel="self"/>'),
+        F.lit("<item>"), odd, _tagged_text("title", title), _tagged_text("link", link), F.lit('<atom:link href="https://self" rel="self"/>'),
         _tagged_text("description", body), F.lit("<media:title>photo</media:title><media:description>none</media:description>"), date("pubDate"), F.lit("</item>"))
     atom = F.concat(
-        F.lit('<entry xml:lang="en">'), _tagged_text("title", title, ' type="html"'), F.lit('<link rel="enclosure" href="https://file"/><link rel="alternate" href="'),
-        html_escape(link), F.lit('"/>'), _tagged_text("content", body, ' type="html"'), date("updated"), F.lit("</entry>"))
-    rdf = F.concat(F.lit('<item rdf:about="x">'), _tagged_text("title", title), _tagged_text("link", link), _tagged_text("description", body), date("dc:date"), F.lit("</item>"))
+        F.lit('<a:entry xml:lang="en">'), _tagged_text("a:title", title, ' type="html"'), F.lit('<a:link rel="enclosure" href="https://file"/><a:link rel="alternate" href="'),
+        html_escape(link), F.lit('"/>'), _tagged_text("a:content", body, ' type="html"'), date("a:updated"), F.lit("</a:entry>"))
+    rdf = F.concat(
+        F.lit('<item rdf:about="x"><!-- </item> -->'), _tagged_text("title", title), _tagged_text("link", link), F.lit("<description><![CDATA["),
+        F.replace(body, F.lit("]]>"), F.lit("]]]]><![CDATA[>")), F.lit("]]></description><note><![CDATA[</item> & <item>]]></note>"), date("dc:date"), F.lit("</item>"))
     xml = F.when(style == 1, atom).when(style == 2, rdf).otherwise(rss)
     ordered = F.array_sort(F.collect_list(F.struct("feed_pos", xml.alias("x"))))
     files = items.groupBy("source", "feed_ord", F.floor(F.col("feed_pos") / SNAPSHOT).alias("part")).agg(
         F.array_join(F.transform(ordered, lambda x: x["x"]), "\n").alias("x"))
-    start = F.when(style == 1, "<feed>").when(style == 2, "<rdf:RDF><channel><title>c</title></channel>").otherwise("<rss><channel><title>c</title>")
-    end = F.when(style == 1, "</feed>").when(style == 2, "</rdf:RDF>").when(style == 3, "<item><title>cut off</tit").otherwise("</channel></rss>")
+    start = F.when(style == 1, '<a:feed xmlns:a="http://www.w3.org/2005/Atom">').when(style == 2, "<rdf:RDF><channel><title>c</title></channel>").otherwise("<rss><channel><title>c</title>")
+    end = F.when(style == 1, "</a:feed>").when(style == 2, "</rdf:RDF>").when(style == 3, "<item><title>cut off</tit").otherwise("</channel></rss>")
     path = scratch_path(t.spark, "feeds")
     files.select("source", F.concat(start, "x", end).alias("value")).write.option("maxRecordsPerFile", 1).partitionBy("source").text(path)
     return scans.snapshots(t.spark, path)
@@ -139,7 +144,8 @@ def src4_feed_health(t: Tables) -> DataFrame:
     status = t.feeds().filter("source <> 'src12'").select(
         "source", F.when(F.col("source") == "src4", 503).when(F.col("source") == "src9", 404).otherwise(200).alias("status"))
     items = scans.of_feeds(scans.feed_entries(landed), t.feeds())
-    return A.feed_health(t.feeds(), scans.fetch_log(landed, status), items)
+    errors = scans.of_feeds(scans.feed_errors(landed), t.feeds())
+    return A.feed_health(t.feeds(), scans.fetch_log(landed, status), items, errors)
 
 
 @query

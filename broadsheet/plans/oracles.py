@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions.text import WHITESPACE
 from .bindings import COMPANIES, LANES, RULES, SKIP, SOURCES, STRICT
-from ..operators.curation import SECTIONS, STORY_MAPS, STORY_PERCENT, STORY_PRIME, STORY_ROWS
+from ..operators.curation import SECTIONS, STORY_PERCENT
 from ..operators.scripts import VOICE_POOLS
 
 ORACLES: dict[str, str] = {}
@@ -166,8 +166,10 @@ oracle("src4_feed_health", "", """
 SELECT f.source,
   CASE WHEN f.source = 'src12' THEN 'not_fetched' WHEN f.source IN ('src4', 'src9') THEN 'http_error'
        WHEN count(d.doc_id) = 0 THEN 'empty'
-       WHEN f.source <> 'silent' AND CAST(substr(f.source, 4) AS INTEGER) % 4 = 3 THEN 'malformed_kept' ELSE 'ok' END AS health,
-  CASE WHEN f.source IN ('src4', 'src9', 'src12') THEN 0 ELSE count(d.doc_id) END AS n_rows
+       WHEN f.source <> 'silent' AND TRY_CAST(substr(f.source, 4) AS INTEGER) % 4 IN (0, 3) THEN 'malformed_kept' ELSE 'ok' END AS health,
+  CASE WHEN f.source IN ('src4', 'src9', 'src12') THEN 0 ELSE count(d.doc_id) END AS n_rows,
+  CASE WHEN f.source <> 'silent' AND TRY_CAST(substr(f.source, 4) AS INTEGER) % 4 = 3 THEN count(DISTINCT d.doc_id // 2000) ELSE 0 END AS n_lost,
+  CASE WHEN f.source <> 'silent' AND TRY_CAST(substr(f.source, 4) AS INTEGER) % 4 = 3 THEN count(d.doc_id) ELSE 0 END AS n_recovered
 FROM feeds f LEFT JOIN documents d ON d.source = f.source GROUP BY f.source""",
        feeds="SELECT unnest([" + ", ".join(f"'{s}'" for s in [*SOURCES, "silent"]) + "]) AS source")
 oracle("src5_state_import", "articles", """
@@ -368,19 +370,13 @@ define("digests", "chosen", f"""
     FROM (SELECT *, CAST((row_number() OVER (PARTITION BY lang ORDER BY section_ord, {_PRIORITY}) - 1) // 200 AS INTEGER) AS part_no FROM chosen)
     GROUP BY lang, part_no, section_ord)
   GROUP BY lang, part_no""")
-_LEAST = [f"list_min(list_transform(d, lambda h: (h * {a} + {b}) % {STORY_PRIME}))" for a, b in STORY_MAPS]
-_BANDS = "[" + ", ".join(
-    f"'{n}:' || " + " || ':' || ".join(_LEAST[n * STORY_ROWS:(n + 1) * STORY_ROWS]) for n in range(len(_LEAST) // STORY_ROWS)) + "]"
 oracle("int5_near_stories", "articles", f"""
 SELECT s.row_id, coalesce(low.story_id, s.row_id) AS story_id FROM sets s LEFT JOIN low ON low.node = s.row_id""", sets="""
   SELECT feed_pos AS row_id, list_distinct(list_filter(string_split_regex(lower(title || chr(10) || summary), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) AS w FROM articles""",
-       bands=f"""
-  SELECT row_id, unnest({_BANDS}) AS band FROM (
-    SELECT row_id, list_transform(w, lambda x: ('0x' || substr(md5(x), 1, 7))::BIGINT) AS d FROM sets WHERE len(w) > 0)""",
-       leads="SELECT band, min(row_id) AS a FROM bands GROUP BY band",
-       tried="SELECT DISTINCT a, row_id AS b FROM bands JOIN leads USING (band) WHERE row_id <> a",
        links=f"""
-  SELECT a, b FROM (SELECT a, b, len(list_intersect(x.w, y.w)) AS c, len(x.w) + len(y.w) AS n FROM tried JOIN sets x ON x.row_id = a JOIN sets y ON y.row_id = b)
+  SELECT a, b FROM (
+    SELECT x.row_id AS a, y.row_id AS b, len(list_intersect(x.w, y.w)) AS c, len(x.w) + len(y.w) AS n
+    FROM sets x JOIN sets y ON x.row_id < y.row_id AND least(len(x.w), len(y.w)) * 100 >= greatest(len(x.w), len(y.w)) * {STORY_PERCENT} AND len(x.w) > 0)
   WHERE c * 100 >= (n - c) * {STORY_PERCENT}""",
        two_way="SELECT a, b FROM links UNION SELECT b, a FROM links",
        reach="SELECT a AS node, a AS seen FROM two_way UNION SELECT r.node, l.b FROM reach r JOIN two_way l ON r.seen = l.a",

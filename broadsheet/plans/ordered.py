@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 CHUNK = 1 << 16
 
 
@@ -58,6 +60,27 @@ def running_totals(
     )
 
 
+def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Add each row's number, from 1, per group in an order of any columns.
+
+    Rows are dealt out by ranges of group and order and written once; counts per range
+    give each its first number, so a group of any size is spread over tasks.
+    """
+    keys = [*[F.col(g).asc_nulls_first() for g in group], *order]
+    laid = settle(
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        .select("*", F.monotonically_increasing_id().alias("_at"), F.spark_partition_id().alias("_range")), "laid")
+    spans = laid.groupBy(*group, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    same = F.col("l._range") == F.col("s._range")
+    for g in group:
+        same = same & F.col(f"l.{g}").eqNullSafe(F.col(f"s.{g}"))
+    joined = laid.alias("l").join(spans.alias("s"), same)
+    number = F.col("l._at") - F.col("s._first") + F.col("s._before") + 1
+    return joined.select(*[F.col(f"l.`{c}`") for c in df.columns], number.alias(name))
+
+
 def previous_value(
     df: DataFrame, group: Sequence[str], order: str, value: str, out: str, chunk: int = CHUNK
 ) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import variants as V
+from ..functions.html import WINDOWS, entity_table, unescape
+from ..functions.text import html_escape
 from ..functions.times import from_epoch
 from ..operators.articles import STORY_FEED_ORD, STORY_SOURCE
 from ..plans.ordered import once
@@ -20,27 +22,88 @@ _ENTRY = schemas.shape(
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
 
 
+#: Charsets of one byte per character that are read as Windows-1252, their common superset.
+_ONE_BYTE = ("iso-8859-1", "iso8859-1", "latin-1", "latin1", "windows-1252", "cp1252", "us-ascii", "ascii", "iso-8859-15")
+_CDATA = r"(?s)<!\[CDATA\[(.*?)\]\]>"
+_FIELDS = ("title", "description", "summary", "content", "content:encoded", "pubDate", "published", "updated", "dc:date")
+
+
+def decoded(content: Column) -> Column:
+    """Text of a file by its declared charset, else as UTF-8 if it is that, else as Windows-1252."""
+    bytes_ = F.decode(content, "ISO-8859-1")
+    declared = F.lower(F.regexp_extract(F.left(bytes_, F.lit(200)), r"""^\s*<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._-]+)""", 1))
+    one_byte = F.translate(bytes_, "".join(map(chr, range(128, 160))), WINDOWS)
+    text = content.cast("string")
+    return F.when(declared.isin(*_ONE_BYTE) | ~F.is_valid_utf8(text), one_byte).otherwise(F.ltrim(text, F.lit("\ufeff")))
+
+
+def plain_markup(body: Column) -> Column:
+    """Markup that an XML parser takes: CDATA as escaped text, no comments, names of characters resolved, bare ampersands escaped."""
+    pieces = F.zip_with(F.split(body, _CDATA), F.regexp_extract_all(body, F.lit(_CDATA), F.lit(1)), lambda x, c: F.concat(x, F.coalesce(html_escape(c), F.lit(""))))
+    flat = F.regexp_replace(F.when(F.contains(body, F.lit("<![CDATA[")), F.array_join(pieces, "")).otherwise(body), r"(?s)<!--.*?-->", "")
+
+    def reference(after: Column) -> Column:
+        name = F.regexp_extract(after, r"^([A-Za-z][A-Za-z0-9]*);", 1)
+        known = F.try_element_at(entity_table(), name)
+        return (
+            F.when(after.rlike(r"^(?:amp|lt|gt|quot|apos|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});"), F.concat(F.lit("&"), after))
+            .when(known.isNotNull(), F.concat(known, F.substr(after, F.length(name) + 2)))
+            .otherwise(F.concat(F.lit("&amp;"), after)))
+
+    parts = F.split(flat, "&")
+    resolved = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), reference), ""))
+    text = F.when(F.contains(flat, F.lit("&")), resolved).otherwise(flat)
+    # A feed whose root has a prefix uses it for its own elements.
+    prefix = F.regexp_extract(text, r"<([A-Za-z_][\w.-]*):feed[\s>]", 1)
+    return F.when(prefix != "", F.regexp_replace(text, F.concat(F.lit(r"(</?)\Q"), prefix, F.lit(r"\E:")), F.lit("$1"))).otherwise(text)
+
+
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Feed snapshots as served, one row per file: ``landed``, ``body``, ``malformed``.
 
     A snapshot is one response of one feed and small, so a file is read whole.
     """
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    broken = F.from_xml("value", schemas.shape("_broken"), _PERMISSIVE)["_broken"].isNotNull()
-    return files.select(F.col("_metadata.file_path").alias("landed"), F.col("value").alias("body"), broken.alias("malformed"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    read = files.select(F.col("_metadata.file_path").alias("landed"), decoded(F.col("content")).alias("body"))
+    broken = F.from_xml("body", schemas.shape("_broken"), _PERMISSIVE)["_broken"].isNotNull()
+    return read.select("landed", "body", broken.alias("malformed"))
+
+
+def _items(snapshots: DataFrame) -> DataFrame:
+    """Every item of the snapshots with its fields ``_e`` and its ``state``: whole, recovered or lost.
+
+    The text is cut before each start of an item, so a broken item ends where the next
+    begins. One that does not parse gives the elements that are closed.
+    """
+    cut = F.filter(F.split(plain_markup(F.col("body")), r"(?=<(?:item|entry)[\s>])"), lambda x: x.rlike(r"^<(?:item|entry)[\s>]"))
+    rows = snapshots.select("landed", F.posexplode(cut).alias("feed_pos", "_piece"))
+    # The expression is written twice in the plan otherwise.
+    rows = once(rows, "_xml", F.regexp_extract("_piece", r"(?s)^<(item|entry)(?=[\s>]).*?</\1\s*>", 0))
+    shape = T.StructType([*_ENTRY.fields, *schemas.shape("_broken").fields])
+    rows = once(rows, "_p", F.from_xml(F.nullif("_xml", F.lit("")), shape, _PERMISSIVE))
+    closed = lambda name: F.nullif(F.btrim(unescape(F.regexp_extract("_piece", rf"(?s)<{name}(?:\s[^>]*)?>(.*?)</{name}\s*>", 1))), F.lit(""))
+    href = F.nullif(F.regexp_extract("_piece", r"""<link(?![^>]*rel\s*=\s*["'](?!alternate))[^>]*href\s*=\s*["']([^"']*)""", 1), F.lit(""))
+    link = F.struct(closed("link").alias("_VALUE"), unescape(href).alias("_href"), F.lit(None).cast("string").alias("_rel"))
+    whole = F.col("_p").isNotNull() & F.col("_p._broken").isNull()
+    salvaged = F.struct(*[closed(n).alias(n) for n in _FIELDS], F.array(link).alias("link"), F.lit(None).cast("string").alias("_broken"))
+    rows = once(rows, "_e", F.when(whole, F.col("_p")).otherwise(salvaged))
+    some = F.coalesce(F.col("_e.title"), F.get("_e.link", F.lit(0))["_VALUE"], F.get("_e.link", F.lit(0))["_href"]).isNotNull()
+    return rows.withColumn("state", F.when(F.col("_p").isNotNull() & F.col("_p._broken").isNull(), "whole").when(some, "recovered").otherwise("lost"))
+
+
+def feed_errors(snapshots: DataFrame) -> DataFrame:
+    """Items that did not parse, with what became of them: ``landed, feed_pos, state, xml``."""
+    return _items(snapshots).filter("state <> 'whole'").select("landed", F.col("feed_pos").cast("bigint").alias("feed_pos"), "state", F.col("_piece").alias("xml"))
 
 
 def feed_entries(snapshots: DataFrame) -> DataFrame:
     """Raw items of RSS, RDF and Atom snapshots with their position in the file.
 
     Items are cut out of the text before they are parsed, so a malformed snapshot
-    gives the items it holds in full. An item that is broken inside gives none.
+    gives the items it holds. Of an item that is broken inside the closed elements
+    count; only one without a title and a link gives no row (``feed_errors`` has it).
     """
-    cut = F.regexp_extract_all("body", F.lit(r"(?s)<(item|entry)(?=[\s>]).*?</\1\s*>"), F.lit(0))
-    rows = snapshots.select("landed", F.posexplode(cut).alias("feed_pos", "_xml"))
-    shape = T.StructType([*_ENTRY.fields, *schemas.shape("_broken").fields])
-    rows = once(rows, "_e", F.from_xml("_xml", shape, _PERMISSIVE)).filter(F.col("_e._broken").isNull())
-
+    rows = _items(snapshots).filter("state <> 'lost'")
     target = lambda x: F.coalesce(F.nullif(F.btrim(x["_VALUE"]), F.lit("")), x["_href"])
     # Of several links the first that leads to the page itself.
     own = F.filter("_e.link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")

@@ -341,6 +341,37 @@ def test_feed_scans(spark, tmp_path):
     assert (health["NASA"], health["Nature News"], health["The Verge"], health["Reuters"]) == (("ok", 2), ("malformed_kept", 2), ("http_error", 0), ("not_fetched", 0))
 
 
+def test_feeds_as_they_come(spark, tmp_path):
+    """What XML does not allow costs no item, and what is lost is counted."""
+    folder = tmp_path / "source=NASA"
+    folder.mkdir()
+    item = lambda title, more="": f"<item><title>{title}</title><link>l</link>{more}</item>"
+    files = {
+        "references": "<rss><channel>" + item("a&nbsp;b") + item("AT&T &amp; Q&A; &#233;") + item("c &eacute;") + "</channel></rss>",
+        "cdata": "<rss><channel>" + item("<![CDATA[code </item> tail &nbsp; <b>]]>") + item("next") + "<!-- <item><title>no</title></item> --></channel></rss>",
+        "prefix": '<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:entry><a:title>P</a:title><a:link href="l"/></a:entry></a:feed>',
+        "inside": "<rss><channel>" + item("open", "<p><b>x</p>") + "<item><title>no end</title><link>l</link><desc" + item("after") + "<item><b>nothing</item>" + item("last") + "<item><titl",
+    }
+    for name, text in files.items():
+        (folder / f"{name}.xml").write_text(text, encoding="utf-8")
+    (folder / "latin.xml").write_bytes(b'<?xml version="1.0" encoding="ISO-8859-1"?><rss><channel>' + item("caf\u00e9 \x93").encode("latin-1") + b"</channel></rss>")
+    (folder / "undeclared.xml").write_bytes(b"<rss><channel>" + item("na\u00efve").encode("latin-1") + b"</channel></rss>")
+    (folder / "bom.xml").write_bytes(b"\xef\xbb\xbf" + ("<rss><channel>" + item("漢") + "</channel></rss>").encode())
+    landed = scans.snapshots(spark, str(tmp_path))
+    got = {}
+    for r in scans.feed_entries(landed).orderBy("feed_pos").collect():
+        assert r["link"] == "l"
+        got.setdefault(r["landed"].rsplit("/", 1)[1][:-4], []).append(r["title"])
+    assert got == {
+        "references": ["a\xa0b", "AT&T & Q&A; é", "c é"], "cdata": ["code </item> tail &nbsp; <b>", "next"], "prefix": ["P"],
+        "inside": ["open", "no end", "after", "last"], "latin": ["café “"], "undeclared": ["naïve"], "bom": ["漢"]}
+    errors = sorted((r["landed"].rsplit("/", 1)[1][:-4], r["feed_pos"], r["state"]) for r in scans.feed_errors(landed).collect())
+    assert errors == [("inside", 0, "recovered"), ("inside", 1, "recovered"), ("inside", 3, "lost"), ("inside", 5, "lost")]
+    health = A.feed_health(feed_table(spark), scans.fetch_log(landed, spark.createDataFrame([("NASA", 200)], "source STRING, status INT")),
+                           scans.of_feeds(scans.feed_entries(landed), feed_table(spark)), scans.of_feeds(scans.feed_errors(landed), feed_table(spark)))
+    assert tuple(health.filter("source = 'NASA'").first())[1:] == ("malformed_kept", 13, 2, 2)
+
+
 def test_dates_with_comments_and_zone_names(spark):
     texts = ["Mon, 29 Jan 2024 10:00:00 +0000 (UTC)", "Mon, 29 Jan 2024 11:00:00 CET", "Mon, 29 Jan 2024 12:00:00 CEST"]
     rows = spark.createDataFrame([(t,) for t in texts], "t STRING").select(A.published_at(F.col("t"), F.lit(None).cast("string")).alias("d")).collect()

@@ -141,3 +141,25 @@ def test_lead_list_with_a_nested_list_is_read_to_its_own_end(spark):
     for r in sorted(D.topics(df, "id").collect()):
         got.setdefault(r["id"], []).append(r["topic"])
     assert got == {1: ["One", "Two", "Three"], 2: ["Open"]}
+
+
+def test_numbers_by_ranges(spark):
+    from broadsheet.plans.ordered import numbered
+    rows = [(g, (i * 37) % 1000 // 7, i) for g in ("a", None, "b") for i in range({"a": 900, "b": 5}.get(g, 300))]
+    df = spark.createDataFrame(rows, "g STRING, x INT, i INT").repartition(7)
+    got = {(r["g"], r["i"]): r["n"] for r in numbered(df, ["g"], [F.desc("x"), F.asc("i")], "n").collect()}
+    want = {}
+    for g in ("a", None, "b"):
+        for n, (_, _, i) in enumerate(sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2])), 1):
+            want[g, i] = n
+    assert got == want
+
+
+def test_no_window_holds_a_whole_digest(spark):
+    from broadsheet.operators import digest as D
+    row = spark.range(50).selectExpr(
+        "'d' AS lang", "'t' AS title", "'l' AS link", "'s' AS source", "'' AS summary", "0 AS section_ord", "true AS must_watch", "0 AS best_tier", "1L AS n_hits",
+        "0 AS feed_ord", "id AS feed_pos", "string(id) AS article_key", "CAST(NULL AS TIMESTAMP_NTZ) AS published")
+    plan = D.render(row, ["lang"], F.lit("x"))._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_range" in w and "section_ord" not in w for w in windows)
