@@ -357,6 +357,14 @@ def jn5_nearest_bucket(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", C.timeout_for(F.when(F.col("p_size") == 33, F.col("p_name")).otherwise(name)).alias("timeout"))
 
 
+@query
+def jn5_nearest_row(t: Tables) -> DataFrame:
+    """The order whose total is closest to the price of each line item: a bucket table that grows with the data."""
+    price = F.when(F.col("l_linenumber") != 7, F.col("l_extendedprice"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", price.alias("price"))
+    return C.nearest_in(lines, "price", t.orders, "o_totalprice", "o_orderkey", F.lit(-1).cast("bigint"), "near_orderkey")
+
+
 @query
 def jn6_lookups(t: Tables) -> DataFrame:
     raw = F.when(F.col("event_type") == "error", "act_now").when(F.col("event_type") == "purchase", "notable").otherwise(F.col("event_type"))

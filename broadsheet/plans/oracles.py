@@ -244,6 +244,11 @@ SELECT id, lane, subject, CASE WHEN id IN (SELECT id FROM signals WHERE batch <
 FROM signals WHERE batch = '2024-01-29'""")
 oracle("jn5_nearest_bucket", "", """
 SELECT p_partkey, CAST(CASE WHEN p_size = 33 THEN 600 WHEN p_size <= 11 THEN 600 WHEN p_size <= 22 THEN 900 ELSE 1200 END AS INTEGER) AS timeout FROM part""")
+oracle("jn5_nearest_row", "", """
+SELECT l.l_orderkey, l.l_linenumber, l.price, coalesce(CASE WHEN b.at IS NULL OR a.at - l.price < l.price - b.at THEN a.k ELSE b.k END, -1) AS near_orderkey
+FROM lines l ASOF LEFT JOIN marks b ON l.price >= b.at ASOF LEFT JOIN marks a ON l.price <= a.at""",
+       lines="SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 THEN l_extendedprice END AS price FROM lineitem",
+       marks="SELECT o_totalprice AS at, min(o_orderkey) AS k FROM orders GROUP BY 1")
 oracle("jn6_lookups", "", """
 SELECT event_id, CAST(CASE event_type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1 ELSE 2 END AS INTEGER) AS rank,
   CASE event_type WHEN 'error' THEN '🔴' WHEN 'purchase' THEN '🟡' ELSE '▫️' END AS badge,

@@ -101,6 +101,35 @@ def previous_value(
     return joined.select(*df.columns, F.coalesce(out, "_carried").alias(out))
 
 
+def surrounding(asked: DataFrame, marks: DataFrame) -> DataFrame:
+    """The nearest marks around each ``at`` of ``asked``: ``at``, ``before`` and ``after``, each a struct (at, mark) or null.
+
+    A mark at the very place is both. ``marks`` has ``at`` and ``mark``, which must not be null; the
+    smallest of a place counts. The sorted union is dealt out by ranges and written
+    once. Inside a range the last mark is carried on and back by running windows; one
+    row per range carries it across, so no task holds more than a range.
+    """
+    places = asked.select("at", F.lit(None).cast(marks.schema["mark"].dataType).alias("mark"), F.lit(True).alias("asked")).unionByName(
+        marks.select("at", "mark", F.lit(False).alias("asked")))
+    single = places.groupBy("at").agg(F.min("mark").alias("mark"), F.bool_or("asked").alias("asked"))
+    point = F.when(F.col("mark").isNotNull(), F.struct("at", "mark"))
+    laid = settle(
+        single.repartitionByRange("at").select("at", "asked", point.alias("point"), F.spark_partition_id().alias("_range")), "places")
+    ends = laid.groupBy("_range").agg(F.min("point").alias("_first"), F.max("point").alias("_last"))
+    # One row per range.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        "_range", F.last("_last", ignorenulls=True).over(earlier).alias("_on"), F.last("_first", ignorenulls=True).over(later).alias("_back"))
+    # Running frames only: a frame that ends with its range would be walked anew for every row.
+    up = Window.partitionBy("_range").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy("_range").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = laid.select(
+        "at", "asked", "_range", F.last("point", ignorenulls=True).over(up).alias("before"), F.last("point", ignorenulls=True).over(down).alias("after"))
+    return local.filter("asked").join(carried, "_range").select(
+        "at", F.coalesce("before", "_on").alias("before"), F.coalesce("after", "_back").alias("after"))
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a costly column that is computed once per row.
 
