@@ -23,7 +23,7 @@ from ..operators import state as S
 from ..operators import triage as R
 from ..session import scratch_path
 from ..sources import scans
-from ..streaming import jobs
+from ..streaming import jobs, keyed
 from .bindings import (
     AS_OF, COMPANIES, LAST_BATCH, PER_SOURCE, RULES, SKIP, SOURCES, STRICT, SWEEP_AS_OF, Tables,
 )
@@ -882,6 +882,28 @@ def str6_signal_state(t: Tables) -> DataFrame:
     return signal_history(log, 2**31, SWEEP_AS_OF).select("id", "batch", "date", "lane", "severity")
 
 
+@query
+def str5_keyed_threads(t: Tables) -> DataFrame:
+    """Every link lands in up to three drops, three and eight days after the first: let in, refused, back after seven days."""
+    landing = F.filter(F.array(*[F.lit(i) for i in range(DROPS)]), lambda i: F.pmod(F.bit_count("feed_pos") + i * (F.col("feed_pos") % 5), F.lit(3)) != 1)
+    days = F.get(F.array(F.lit(0), F.lit(3), F.lit(8)), F.col("drop"))
+    rows = t.articles().withColumn("drop", F.explode(landing))
+    rows = rows.withColumn("seen_at", F.timestamp_add("DAY", days, F.lit(AS_OF).cast("timestamp")))
+    out = scratch_path(t.spark, "keyed-threads")
+    _ticks(t, rows, F.col("drop"), "keyed", lambda stream, checkpoint: keyed.keyed_threads(stream, out, checkpoint, "seen_at"))
+    return t.spark.read.schema(schemas.THREAD).parquet(out).select("url", "title", "subreddit", F.date_format("fetched_at", "yyyy-MM-dd").alias("day"))
+
+
+@query
+def str6_keyed_signals(t: Tables) -> DataFrame:
+    """Every signal and sweep that reported it: was it reported within 45 days before."""
+    out = scratch_path(t.spark, "keyed-signals")
+    drop = F.when(F.col("batch") < "2024-01-15", 0).when(F.col("batch") < LAST_BATCH, 1).otherwise(2)
+    rows = _signal_table(t).withColumn("swept_at", F.col("batch").cast("timestamp"))
+    _ticks(t, rows, drop, "keyed-weeks", lambda stream, checkpoint: keyed.keyed_signals(stream, out, checkpoint, "swept_at"))
+    return t.spark.read.parquet(out).select("id", "batch", "lane", "severity", "is_repeat")
+
+
 @query
 def str7_daily_counts(t: Tables) -> DataFrame:
     """Rows per day and source of closed days."""

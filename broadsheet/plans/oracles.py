@@ -669,6 +669,19 @@ SELECT id, batch, date, lane, severity FROM (
   SELECT * FROM signals QUALIFY row_number() OVER (PARTITION BY id ORDER BY
     CASE WHEN batch < '2024-01-15' THEN 0 WHEN batch < '2024-01-29' THEN 1 ELSE 2 END DESC, payload_seq DESC, pos DESC) = 1)
 WHERE date >= '2024-01-16'""")
+oracle("str5_keyed_threads", "", """
+SELECT link AS url, title, source AS subreddit, strftime(DATE '2024-01-30' + CAST(d AS INTEGER), '%Y-%m-%d') AS day
+FROM landed JOIN stays USING (link, d) QUALIFY row_number() OVER (PARTITION BY link, d ORDER BY feed_ord DESC, feed_pos DESC) = 1""",
+       items=CTE["items"], articles=CTE["articles"],
+       landed="""
+  SELECT * FROM (SELECT *, i, [0, 3, 8][i + 1] AS d FROM articles, (SELECT unnest([0, 1, 2]) AS i) WHERE source IN ('src3', 'src7'))
+  WHERE (bit_count(feed_pos) + i * (feed_pos % 5)) % 3 <> 1""",
+       first_stays="SELECT link, min(d) AS d FROM landed GROUP BY link",
+       later_stays="SELECT link, min(l.d) AS d FROM landed l JOIN first_stays f USING (link) WHERE l.d - f.d >= 7 GROUP BY link",
+       stays="SELECT * FROM first_stays UNION ALL SELECT * FROM later_stays")
+oracle("str6_keyed_signals", "signals", """
+SELECT id, batch, lane, severity, coalesce(date_diff('day', CAST(lag(batch) OVER (PARTITION BY id ORDER BY batch) AS DATE), CAST(batch AS DATE)) <= 45, false) AS is_repeat
+FROM (SELECT * FROM signals QUALIFY row_number() OVER (PARTITION BY id, batch ORDER BY payload_seq DESC, pos DESC) = 1)""")
 oracle("str7_silent_sources", "", """
 SELECT day, source FROM (
   SELECT strftime(unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)), '%Y-%m-%d') AS day FROM events),
