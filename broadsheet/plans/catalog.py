@@ -23,7 +23,7 @@ from ..operators import state as S
 from ..operators import triage as R
 from ..session import scratch_path
 from ..sources import scans
-from ..streaming import jobs, keyed
+from ..streaming import days, jobs, keyed
 from .bindings import (
     AS_OF, COMPANIES, LAST_BATCH, PER_SOURCE, RULES, SKIP, SOURCES, STRICT, SWEEP_AS_OF, Tables,
 )
@@ -923,6 +923,20 @@ def str7_silent_sources(t: Tables) -> DataFrame:
     return jobs.silent_sources(counts, ["click", "view", "silent"])
 
 
+@query
+def str7_closed_days(t: Tables) -> DataFrame:
+    """Three drops with gaps: every closed day of every expected feed, each once, with an alert where it had no rows."""
+    rows = t.events.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("source"), F.col("user_id"))
+    # One day without any row, and a feed that pauses for two days.
+    day = F.dayofmonth("ts")
+    rows = rows.filter((day != 9) & ~((F.col("source") == "click") & day.between(14, 15)))
+    feeds = t.spark.createDataFrame([("click",), ("view",), ("silent",)], "source STRING")
+    log = StateLog(t.spark, scratch_path(t.spark, "days"))
+    drop = F.when(day < 8, 0).when(day < 16, 1).otherwise(2)
+    _ticks(t, rows, drop, "day-drops", lambda stream, checkpoint: days.closing_days(stream, log, checkpoint, feeds, "ts"))
+    return days.closed_days(log).select(F.date_format("date", "yyyy-MM-dd").alias("day"), "source", "n_rows", "alert")
+
+
 def flagship(t: Tables) -> DataFrame:
     """Today's new articles per source: scan, windowed top-k, retention, anti join, count."""
     new = A.not_sent(t.todays(), t.recent_sent())

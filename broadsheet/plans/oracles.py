@@ -687,6 +687,14 @@ SELECT day, source FROM (
   SELECT strftime(unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)), '%Y-%m-%d') AS day FROM events),
   (SELECT unnest(['click', 'view', 'silent']) AS source)
 EXCEPT SELECT strftime(ts, '%Y-%m-%d'), event_type FROM events""")
+oracle("str7_closed_days", "", """
+SELECT day, source, CAST(sum(n) AS BIGINT) AS n_rows, CASE WHEN sum(n) = 0 THEN 'no articles' END AS alert FROM (
+  SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS source, 1 AS n FROM kept
+  UNION ALL SELECT strftime(d, '%Y-%m-%d'), source, 0
+  FROM (SELECT unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), INTERVAL 1 DAY)) AS d FROM kept), (SELECT unnest(['click', 'view', 'silent']) AS source))
+WHERE CAST(day AS DATE) + INTERVAL 2 DAY <= (SELECT max(ts) FROM kept) GROUP BY ALL""",
+       kept="""
+  SELECT * FROM events WHERE day(ts) <> 9 AND NOT (event_type = 'click' AND day(ts) BETWEEN 14 AND 15)""")
 oracle("str7_daily_counts", "", """
 SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS source, count(*) AS n_rows FROM events
 WHERE date_trunc('day', ts) + INTERVAL 2 DAY <= (SELECT max(ts) FROM events) GROUP BY ALL""")
