@@ -599,8 +599,9 @@ def sig1_normalize(t: Tables) -> DataFrame:
 @query
 def sig2_section(t: Tables) -> DataFrame:
     """Sections of all batches: what earlier batches reported is counted, not listed."""
-    marked = G.mark_prior_batches(_signal_table(t))
-    errors = G.funnel(t.payloads()).filter(F.col("n_failed") > 0)
+    signals, counts = G.sweep(t.payloads(), t.lanes())
+    marked = G.mark_prior_batches(_stored(t, signals, "signals"))
+    errors = counts.filter(F.col("n_failed") > 0)
     return G.render_sections(marked.filter("NOT is_repeat"), marked.filter("is_repeat"), errors)
 
 

@@ -124,6 +124,12 @@ def test_normalize_signals(spark):
     funnel = {r["lane"]: r.asDict() for r in G.funnel(payloads(spark, rows)).collect()}
     assert (funnel["a"]["n_raw"], funnel["a"]["n_kept"], funnel["a"]["n_failed"]) == (10, 2, 2)
 
+    # One parse gives the same signals and the same counts.
+    signals, counts = G.sweep(payloads(spark, rows), lanes(spark))
+    assert sorted(signals.collect(), key=lambda r: r["seq"]) == got and signals.columns == G.normalize_signals(payloads(spark, rows), lanes(spark)).columns
+    assert {r["lane"]: r.asDict() for r in counts.collect()} == funnel
+    assert "parse_json" not in signals._jdf.queryExecution().executedPlan().toString() + counts._jdf.queryExecution().executedPlan().toString()
+
 
 def test_signal_id_equals_article_key(spark):
     s = G.normalize_signals(payloads(spark, [("a", {"signals": [signal()]})]), lanes(spark)).first()
