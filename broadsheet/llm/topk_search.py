@@ -1,8 +1,9 @@
 """Exact top-k inner-product search by exhaustive term-at-a-time accumulation.
 
 Candidates and queries are packed into blocks of bounded size while they stream.
-Every block of queries meets every block of candidates by an equi-join on a shard
-number. In a pair of blocks the candidates are turned into postings, one list of
+A shard is a bounded number of candidate blocks, and query blocks travel once per shard.
+There every block of queries meets every block of candidates, by an equi-join on the shard
+number that keeps one shard's candidates, one after the other. In a pair of blocks the candidates are turned into postings, one list of
 (row, weight) per component; each query row scatters its components times the
 postings into a dense array of scores. A partition selection keeps the k best of
 the block for each query, and a ranked window, limited before its shuffle, merges
@@ -18,6 +19,7 @@ table none. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,8 @@ from broadsheet.plans.ordered import first_rows
 
 CANDIDATES = 512
 QUERIES = 128
+#: Candidate blocks a shard holds at most; queries travel once per shard.
+SHARD = 64
 SCALE = 1024
 
 
@@ -91,10 +95,15 @@ def select(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
+def shards_of(n_blocks: int) -> int:
+    """Shards for a table: each holds the square root of all blocks, so that small tables are spread too, up to its bound."""
+    return max(1, math.ceil(n_blocks / max(1, min(SHARD, math.isqrt(n_blocks)))))
+
+
 def search(candidates: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best of ``candidates`` (id, v) per query (id, v)."""
     stored = settle(blocks(candidates, CANDIDATES), "candidate-blocks")
-    shards = max(1, stored.count())
+    shards = shards_of(stored.count())
     shard: Column = F.pmod(F.xxhash64("block"), F.lit(shards))
     left = blocks(queries.distinct(), QUERIES).select(
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard"), F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"))

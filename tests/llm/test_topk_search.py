@@ -36,3 +36,19 @@ def test_few_rows(spark):
     assert sorted(tuple(x) for x in topk_search.search(v, v, 10).collect()) == [(0, 1, 3, 1024 * 2048), (3, 1, 0, 1024 * 2048)]
     assert topk_search.search(v.limit(0), v.limit(0)).collect() == []
     assert topk_search.search(v.limit(0), v).collect() == []
+
+
+def test_queries_travel_once_per_shard(spark, monkeypatch):
+    """Shards of several blocks give the same rows, and fewer copies of query blocks."""
+    monkeypatch.setattr(topk_search, "CANDIDATES", 4)
+    monkeypatch.setattr(topk_search, "QUERIES", 3)
+    r = random.Random(2)
+    rows = [(i, [float(r.randint(-3, 3)) for _ in range(4)]) for i in range(120)]
+    v = topk_search.quantised(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    for shard, least, most in ((1, 30, 10**6), (4, 8, 30), (64, 1, 7)):
+        monkeypatch.setattr(topk_search, "SHARD", shard)
+        out = topk_search.search(v, v.filter("id % 3 = 0"), 3)
+        assert sorted(tuple(x) for x in out.collect()) == brute(rows, 3)
+        assert least <= topk_search.shards_of(30) <= most
+    # 100 million candidates in blocks of 512: queries travel 64 times less often than blocks are many.
+    assert topk_search.shards_of(195_313) == 3_052 and topk_search.shards_of(100) == 10 and topk_search.shards_of(0) == 1
