@@ -115,6 +115,17 @@ def with_lifetime(
     return few.groupBy(key).transformWithState(Lifetime(), schema, "Append", "EventTime", start)
 
 
+def store_keyed(marked: DataFrame, out: str, checkpoint: str) -> None:
+    """Append a stream of ``with_lifetime``, with the state store that keyed state needs, whatever the session names for others."""
+    conf, name = marked.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name)
+    conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        ingest(marked, out, checkpoint)
+    finally:
+        conf.set(name, before)
+
+
 def keyed_threads(
     stream: DataFrame, out: str, checkpoint: str, seen: str, days: int = S.SENT_DAYS, known: DataFrame | None = None
 ) -> None:
@@ -125,10 +136,10 @@ def keyed_threads(
     marked = with_lifetime(
         A.thread_articles(stream), "link", seen, ["feed_ord", "feed_pos"], dt.timedelta(days=days), known=known)
     new = marked.filter(~F.col("is_repeat"))
-    ingest(S.build_threads(new, from_epoch(F.unix_seconds(seen))), out, checkpoint)
+    store_keyed(S.build_threads(new, from_epoch(F.unix_seconds(seen))), out, checkpoint)
 
 
 def keyed_signals(stream: DataFrame, out: str, checkpoint: str, seen: str, days: int = S.SIGNAL_DAYS) -> None:
     """Appends the last report of every signal and sweep, told apart by ``is_repeat``; each report renews the stay of its id."""
     flat = stream.withColumns({"payload_seq": F.col("seq.payload_seq"), "pos": F.col("seq.pos")}).drop("seq")
-    ingest(with_lifetime(flat, "id", seen, ["payload_seq", "pos"], dt.timedelta(days=days), sliding=True, inclusive=True), out, checkpoint)
+    store_keyed(with_lifetime(flat, "id", seen, ["payload_seq", "pos"], dt.timedelta(days=days), sliding=True, inclusive=True), out, checkpoint)
