@@ -108,10 +108,7 @@ LEAD_WORDS = ("top", "priority")
 TOPIC_LIMIT = 5
 MIN_LINK_TEXT = 10
 
-_H2 = rf"(?is)<h2\b{_ATTRS}>.*?</h2\s*>"
-_A = rf"(?is)<a\b{_ATTRS}>(.*?)</a\s*>"
 _A_HREF = rf"(?is)<a\b(?=[^>]*\bhref\b){_ATTRS}>(.*?)</a\s*>"
-_STRONG = rf"(?is)<strong\b{_ATTRS}>(.*?)</strong\s*>"
 
 
 def link_texts(html: Column) -> Column:
@@ -119,46 +116,117 @@ def link_texts(html: Column) -> Column:
     return F.transform(F.regexp_extract_all(html, F.lit(_A_HREF), F.lit(1)), inner_text)
 
 
-def lead_heading(html: Column) -> Column:
-    """The first heading that holds a lead word, with its tags; null without one."""
-    def leads(heading: Column) -> Column:
-        text = F.lower(F.array_join(F.split(heading, NON_TEXT, -1), ""))
-        hit = F.lit(False)
-        for word in LEAD_WORDS:
-            hit = hit | F.contains(text, F.lit(word))
-        return hit
+# Elements that never hold anything.
+VOID = ("area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img", "input",
+        "isindex", "keygen", "link", "meta", "nextid", "param", "source", "spacer", "track", "wbr")
 
-    return F.get(F.filter(F.regexp_extract_all(html, F.lit(_H2), F.lit(0)), leads), F.lit(0))
+_NODE = "\x00"
+_LEAD = r"(?i)" + "|".join(LEAD_WORDS)
+# Where a walk over a page is.
+_SEEK, _HEADING, _SIBLINGS, _LIST, _DONE = range(5)
 
 
-def list_behind(html: Column, heading: Column) -> Column:
-    """Inside of the first list behind a heading, nested lists included; empty without one."""
-    tail = F.substr(html, F.instr(html, heading) + F.length(heading))
-    # Cut before every list tag, then walk along until the first list is closed.
-    parts = F.split(tail, r"(?i)(?=<ul\b|</ul\s*>)", -1)
+def tags(html: Column) -> Column:
+    """Per tag its lower-case name (a closing one's with a slash), whether it closes at once, and the text behind it."""
+    marks = F.regexp_extract_all(html, F.lit(f"({NON_TEXT})"), F.lit(0))
+    texts = F.split(html, NON_TEXT, -1)
+    behind = F.slice(texts, F.lit(2), F.greatest(F.size(texts) - 1, F.lit(0)))
 
-    def step(seen: Column, part: Column) -> Column:
-        opens, closes = part.rlike(r"(?i)^<ul\b"), part.rlike(r"(?i)^</ul\s*>")
-        depth = F.when(seen["done"], F.lit(0)).when(opens, seen["depth"] + 1).when(closes, F.greatest(seen["depth"] - 1, F.lit(0))).otherwise(seen["depth"])
-        ends = closes & (seen["depth"] == 1)
-        text = F.when(depth > 0, F.concat(seen["text"], part)).otherwise(seen["text"])
-        return F.struct(depth.alias("depth"), (seen["done"] | ends).alias("done"), text.alias("text"))
+    def tag(mark: Column, text: Column) -> Column:
+        name = F.lower(F.regexp_extract(mark, r"^<(/?[A-Za-z][^\x20\x09-\x0D/>]*)", 1))
+        at_once = name.isin(*VOID, "script", "style") | F.endswith(mark, F.lit("/>"))
+        return F.struct(name.alias("name"), at_once.alias("at_once"), text.alias("text"))
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
-    return F.when(heading.isNull(), F.lit("")).otherwise(F.aggregate(parts, start, step)["text"])
+    return F.zip_with(marks, behind, tag)
 
 
-def item_titles(inside: Column) -> Column:
-    """Per list item the text of its first link, else of its first strong part."""
-    items = F.regexp_extract_all(inside, F.lit(rf"(?is)<li\b{_ATTRS}>(.*?)(?=<li\b|\z)"), F.lit(1))
+def lead_titles(html: Column) -> Column:
+    """Per item of the lead section's list the text of its first link, else of its first strong part.
 
-    def title(item: Column) -> Column:
-        return (
-            F.when(item.rlike(_A), inner_text(F.regexp_extract(item, _A, 1)))
-            .when(item.rlike(_STRONG), inner_text(F.regexp_extract(item, _STRONG, 1)))
+    The lead section's heading is the first ``h2`` with a lead word in its text, its list the next ``ul``
+    with the same parent; without one the titles are empty. Items are all ``li`` inside, nested ones too, in
+    page order; an outer item's first link may stand in an inner one. At least the first five titles are given.
+
+    One walk over the tags keeps the names of the open elements. A closing tag closes the
+    innermost open element of its name and what is open inside it; without one it means nothing. An element
+    is known by the length of the stack it was opened on, and is open while the stack is longer.
+    """
+    item = "struct<level:int,link_at:int,link:string,strong_at:int,strong:string>"
+
+    def step(s: Column, t: Column) -> Column:
+        name, stack = t["name"], s["stack"]
+        closing = F.startswith(name, F.lit("/"))
+        wanted = F.concat(F.lit("/"), F.ltrim(name, F.lit("/")), F.lit("/"))
+        inner = F.call_function("substring_index", stack, wanted, F.lit(-1))
+        after = (
+            F.when(closing & F.contains(stack, wanted), F.left(stack, F.length(stack) - F.length(inner) - F.length(wanted) + 1))
+            .when((name == "") | closing | t["at_once"], stack)
+            .otherwise(F.concat(stack, name, F.lit("/")))
+        )
+        return F.struct(s.alias("s"), t.alias("t"), F.length(stack).alias("before"), after.alias("stack"), F.length(after).alias("now"))
+
+    def walked(x: Column) -> Column:
+        s, name, before, now = x["s"], x["t"]["name"], x["before"], x["now"]
+        phase, at = s["phase"], s["at"]
+        heard = F.when(phase == _HEADING, F.concat(s["heard"], x["t"]["text"])).otherwise(F.lit(""))
+        starts = (phase == _SEEK) & (name == "h2") & (now > before)
+        ended = (phase == _HEADING) & (now <= at)
+        listed = (phase == _SIBLINGS) & (name == "ul") & (before == at)
+        moved = (
+            F.when(starts, _HEADING)
+            .when(ended & ~s["heard"].rlike(_LEAD), _SEEK)
+            .when(ended, F.when(now < at, _DONE).otherwise(_SIBLINGS))
+            .when(listed, F.when(now > before, _LIST).otherwise(_DONE))
+            .when((phase == _SIBLINGS) & (now < at), _DONE)
+            .when((phase == _LIST) & (now <= at), _DONE)
+            .otherwise(phase)
+        )
+        return F.struct(
+            x["stack"].alias("stack"), moved.cast("int").alias("phase"),
+            F.when(starts, before).otherwise(at).alias("at"),
+            F.when(starts, x["t"]["text"]).otherwise(heard).alias("heard"),
+            F.when((phase == _LIST) & (moved == _LIST), items(x)).otherwise(s["items"]).alias("items"),
         )
 
-    return F.filter(F.transform(items, title), lambda t: t.isNotNull())
+    def items(x: Column) -> Column:
+        name, before, now, text = x["t"]["name"], x["before"], x["now"], x["t"]["text"]
+
+        def part(i: Column, kind: str, tag: str) -> tuple[Column, Column]:
+            first = (name == tag) & i[kind].isNull() & (before > i["level"]) & (i["level"] >= 0)
+            place = F.when(first & (now > before), before).when(now > i[f"{kind}_at"], i[f"{kind}_at"])
+            seen = F.when(first, F.lit("")).otherwise(i[kind])
+            return place, F.when(place.isNotNull(), F.concat(seen, F.lit(_NODE), text)).otherwise(seen)
+
+        def each(i: Column) -> Column:
+            link_at, link = part(i, "link", "a")
+            strong_at, strong = part(i, "strong", "strong")
+            level = F.when(now > i["level"], i["level"]).otherwise(F.lit(-1))
+            return F.struct(level.alias("level"), link_at.alias("link_at"), link.alias("link"), strong_at.alias("strong_at"), strong.alias("strong"))
+
+        titled = lambda i: i["link"].isNotNull() | i["strong"].isNotNull()
+        kept = F.filter(F.transform(x["s"]["items"], each), lambda i: (i["level"] >= 0) | titled(i))
+        nothing, untitled = F.lit(None).cast("int"), F.lit(None).cast("string")
+        new = F.struct(before.alias("level"), nothing.alias("link_at"), untitled.alias("link"), nothing.alias("strong_at"), untitled.alias("strong"))
+        # What starts behind five titles is not among the first five.
+        opens = (name == "li") & (now > before) & (F.size(F.filter(x["s"]["items"], titled)) < TOPIC_LIMIT)
+        return F.when(opens, F.concat(kept, F.array(new))).otherwise(kept)
+
+    start = F.struct(
+        F.lit("/").alias("stack"), F.lit(_SEEK).alias("phase"), F.lit(0).alias("at"), F.lit("").alias("heard"),
+        F.array().cast(f"array<{item}>").alias("items"))
+
+    def walk(s: Column, t: Column) -> Column:
+        # A step's values are used many times, so they are bound once.
+        return F.when(s["phase"] == _DONE, s).otherwise(F.element_at(F.transform(F.array(step(s, t)), walked), 1))
+
+    def title(i: Column) -> Column:
+        nodes = F.transform(F.split(F.coalesce(i["link"], i["strong"]), _NODE, -1), lambda n: strip(unescape(n)))
+        return F.array_join(nodes, "")
+
+    found = F.aggregate(tags(html), start, walk)["items"]
+    titles = F.transform(F.filter(found, lambda i: i["link"].isNotNull() | i["strong"].isNotNull()), title)
+    possible = html.rlike(r"(?i)<h2") & html.rlike(_LEAD)
+    return F.when(possible, titles).otherwise(F.array().cast("array<string>"))
 
 
 def longer_links(html: Column) -> Column:

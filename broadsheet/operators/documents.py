@@ -43,8 +43,7 @@ def topics(digests: DataFrame, key: str, html: str = "html") -> DataFrame:
     Only the first lead heading counts, also when no list follows it.
     """
     page = F.col(html)
-    rows = once(digests.select(key, html), "_h", H.lead_heading(page))
-    rows = once(rows, "_lead", H.item_titles(H.list_behind(page, F.col("_h"))))
+    rows = once(digests.select(key, html), "_lead", H.lead_titles(page))
     found = F.when(F.size("_lead") > 0, F.col("_lead")).otherwise(H.longer_links(page))
     return rows.select(key, F.posexplode(F.slice(found, 1, H.TOPIC_LIMIT)).alias("pos", "topic"))
 

@@ -515,6 +515,18 @@ def top3_lead_topics(t: Tables) -> DataFrame:
     return X.topics(_topic_digests(t), "doc_id")
 
 
+@query
+def txt4_sibling_lists(t: Tables) -> DataFrame:
+    """Topics where heading and list are wrapped: only a list with the heading's parent is its list, nested items count."""
+    links = F.concat(F.lit("<ul>"), F.array_join(F.transform(
+        F.split("text", "\n"), lambda line: F.concat(F.lit('<li><a href="u">'), line, F.lit("</a></li>"))), "\n"), F.lit("</ul>"))
+    html = (
+        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("<div><h2>Top</h2></div>"), links))
+        .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("<h2>Top</h2><div>"), links, F.lit("</div>")))
+        .otherwise(F.concat(F.lit("<section><h2>Top</h2><p>Intro<br></p></p><ul><li>all"), links, F.lit("</li></ul></section>"))))
+    return X.topics(t.documents.select("doc_id", html.alias("html")), "doc_id")
+
+
 @query
 def top4_story_ids(t: Tables) -> DataFrame:
     ids = t.conversations.select(F.col("conv_id").alias("run"), F.col("turn").alias("pos"), F.length("text").alias("id"))

@@ -577,6 +577,10 @@ SELECT doc_id, CAST(unnest(range(0, len(t))) AS INTEGER) AS pos, unnest(t) AS to
     THEN list_filter(list_transform(l, lambda x, i: CASE WHEN (i - 1) % 3 < 2 THEN x END), lambda x: x IS NOT NULL)[1:5]
     ELSE list_filter(list_transform(l, lambda x, i: CASE WHEN (i - 1) % 3 = 0 THEN x END), lambda x: length(x) > 10)[1:5] END AS t
   FROM (SELECT doc_id, {_L} AS l FROM documents))""")
+oracle("txt4_sibling_lists", "", f"""
+SELECT doc_id, CAST(unnest(range(0, len(t))) AS INTEGER) AS pos, unnest(t) AS topic FROM (
+  SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN list_concat(l[1:1], l)[1:5] ELSE list_filter(l, lambda x: length(x) > 10)[1:5] END AS t
+  FROM (SELECT doc_id, {_L} AS l FROM documents))""")
 _SCRIPT_LINE = """CASE WHEN i % 5 = 1 THEN 'Alex: ' || l WHEN i % 5 = 3 THEN '  SAM :' || l WHEN i % 5 = 4 AND i % 2 = 0 THEN 'sam: ' || l
   WHEN i % 7 = 5 THEN 'Alex:' ELSE l END"""
 _SCRIPT_LINES = (
