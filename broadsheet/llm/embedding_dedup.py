@@ -1,10 +1,11 @@
 """Near-duplicate vectors by an inverted multi-index.
 
 Unit vectors are cut in two halves. A codebook per half, fitted on a bounded
-sample, gives a grid of cells: the products of both codebooks. Every vector is
-indexed in its own cell and visits cells in the order of their summed squared
-distances (what the multi-sequence traversal of the two sorted codebooks yields)
-until the extra distance passes a margin. The margin is fitted so that pairs at
+sample, gives a grid of cells: the products of both codebooks. The codebooks grow
+with the largest label, so that a cell keeps some hundred of its vectors. Every vector is
+indexed in its own cell and visits cells by the multi-sequence traversal of the two
+sorted codebooks, in the order of their summed squared distances, until the extra
+distance passes a margin. The margin is fitted so that pairs at
 the threshold itself are met with the target recall; closer pairs are met more
 surely. A pair is met if either side visits the other's cell, is handled in one
 cell only, and counts as a link by its cosine in double precision.
@@ -15,7 +16,7 @@ links, never the links themselves.
 
 Vectors that are null, zero, hold null or non-finite components, or have no label
 or no id link with nothing. Rows that share an id count as one node. Only vectors
-of equal length link. An empty table gives an empty table. Extra columns are
+of equal length link. Labels of any type that casts to a string do. An empty table gives an empty table. Extra columns are
 ignored.
 """
 
@@ -24,6 +25,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +36,16 @@ from broadsheet.llm.components import connected, forest
 from broadsheet.llm.frames import map_batches, settle, ship
 from broadsheet.session import passing_scratch
 
-#: Vectors that codebooks and margin are fitted on, words per codebook, and the target.
+#: Vectors that codebooks and margin are fitted on, their bytes, and the target.
 SAMPLE = 8_192
-WORDS = 8
+SAMPLE_BYTES = 64 << 20
 RECALL = 0.9999
+#: Words per codebook: the least, up to how many vectors of a label, and the most per vector of the sample.
+WORDS = 8
+FEW = 16_384
+FITTED = 32
+#: Lengths that get codebooks of their own, the most frequent first; vectors of others share one cell of their length.
+LENGTHS = 64
 MEMBERS = 2_048
 VISITORS = 8_192
 
@@ -72,30 +80,36 @@ class Index:
     second: np.ndarray
     margin: float = 0.0
 
-    def extra(self, x: np.ndarray) -> np.ndarray:
-        """Per vector and cell the summed squared distance beyond that of its own cell."""
+    def extra(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per half, vector and word the squared distance beyond that of the nearest word."""
         out = []
         for half, words in zip(np.split(x, [self.first.shape[1]], axis=1), (self.first, self.second)):
             d = (words**2).sum(1) - 2 * half @ words.T
             out.append(d - d.min(1, keepdims=True))
-        return (out[0][:, :, None] + out[1][:, None, :]).reshape(len(x), -1)
+        return out[0], out[1]
 
-    def visits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Own cell, and which cells the traversal reaches before it passes the margin."""
-        extra = self.extra(x)
-        return extra.argmin(1), extra <= self.margin
+    def visits(self, x: np.ndarray) -> list[list[int]]:
+        """Cells that the traversal reaches before it passes the margin; a vector's own is the first."""
+        return [[i * len(self.second) + j for i, j, _ in takewhile(lambda c: c[2] <= self.margin, multi_sequence(a, b))]
+                for a, b in zip(*self.extra(x))]
 
     def met(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Extra distance at which the pair is met from the better side."""
         a, b = self.extra(x), self.extra(y)
         rows = np.arange(len(x))
-        return np.minimum(a[rows, b.argmin(1)], b[rows, a.argmin(1)])
+        reach = lambda p, q: sum(d[rows, e.argmin(1)] for d, e in zip(p, q))
+        return np.minimum(reach(a, b), reach(b, a))
 
 
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def words_for(vectors: int, sample: int) -> int:
+    """Words per codebook, so that a cell keeps its share of a label of that many vectors."""
+    return int(max(WORDS, min(sample // FITTED, WORDS * (vectors / FEW) ** 0.5)))
+
+
 def fit_index(sample: np.ndarray, cosine: float, words: int = WORDS, recall: float = RECALL) -> Index:
     """Codebooks on the sample's halves, and the margin from pairs at the threshold itself."""
     x = unit(sample.astype(np.float64))
@@ -111,7 +125,7 @@ def fit_index(sample: np.ndarray, cosine: float, words: int = WORDS, recall: flo
     return index
 
 
-ASSIGNED = "id bigint, copies bigint, label long, vec binary, own int, cells array<int>"
+ASSIGNED = "id bigint, copies bigint, label string, vec binary, own int, cells array<int>"
 
 
 def usable() -> Column:
@@ -130,16 +144,19 @@ def _block(rows: pa.Table, cosine: float) -> dict:
     lengths = np.diff(cells.offsets.to_numpy())
     x = np.frombuffer(b"".join(rows.column("vec").to_pylist()), np.float64).reshape(len(ids), -1)
     m, v = np.flatnonzero(member), np.flatnonzero(~member)
-    # Whether a member visits a given cell.
-    visits = np.zeros((len(ids), int(max(cells.flatten().to_numpy().max(initial=0), own.max())) + 1), bool)
-    visits[np.repeat(np.arange(len(ids)), lengths), cells.flatten().to_numpy()] = True
+    # Which row visits which cell, as ascending numbers.
+    flat = cells.flatten().to_numpy().astype(np.int64)
+    grid = int(max(flat.max(initial=0), own.max())) + 1
+    visited = np.sort(np.repeat(np.arange(len(ids)), lengths) * grid + flat)
     a, b = [], []
     for at in range(0, len(v), 512):
         part = v[at:at + 512]
         p, q = np.nonzero(x[part] @ x[m].T >= cosine)
         p, q = part[p], m[q]
         # The cell that handles a pair: the one only one side visits, else the greater id's.
-        keep = (ids[p] != ids[q]) & (~visits[q, own[p]] | (ids[p] < ids[q]))
+        wanted = q * grid + own[p]
+        place = np.minimum(np.searchsorted(visited, wanted), len(visited) - 1)
+        keep = (ids[p] != ids[q]) & ((visited[place] != wanted) | (ids[p] < ids[q]))
         a.append(p[keep])
         b.append(q[keep])
     a, b = np.concatenate(a or [np.array([], int)]), np.concatenate(b or [np.array([], int)])
@@ -152,24 +169,37 @@ def _block(rows: pa.Table, cosine: float) -> dict:
     return {"id": ids[linked], "n": n[linked], "low": ids[low[linked]]}
 
 
-def deduplicate(vectors: DataFrame, cosine: float = 0.93, words: int = WORDS, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row."""
+def deduplicate(vectors: DataFrame, cosine: float = 0.93, words: int | None = None, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row. ``words`` per codebook follow the table unless given."""
     with passing_scratch(vectors.sparkSession) as keep:
         return keep(settle(_linked(vectors, cosine, words, sample, recall), "near-vectors"))
 
 
-def _linked(vectors: DataFrame, cosine: float, words: int, sample: int, recall: float) -> DataFrame:
+def _indexes(distinct: DataFrame, cosine: float, words: int | None, sample: int, recall: float) -> dict[int, Index]:
+    """An index per frequent length, from a sample that is bounded in rows and bytes."""
+    size = F.size("embedding")
+    lengths = (
+        distinct.groupBy("label", size.alias("size")).agg(F.count(F.lit(1)).alias("n")).groupBy("size").agg(F.max("n").alias("n"))
+        .orderBy(F.desc("n"), "size").limit(LENGTHS).collect()
+    )
+    indexes = {}
+    for r in lengths:
+        rows = max(1, min(sample, SAMPLE_BYTES // (8 * r["size"])))
+        drawn = distinct.filter(size == r["size"]).orderBy(F.xxhash64(F.lit("index"), "id"), "id").select("embedding").limit(rows)
+        flat = drawn.toArrow().column("embedding").combine_chunks().flatten().to_numpy().astype(np.float64)
+        x = flat.reshape(-1, r["size"])
+        indexes[r["size"]] = fit_index(x, cosine, words or words_for(r["n"], len(x)), recall)
+    return indexes
+
+
+def _linked(vectors: DataFrame, cosine: float, words: int | None, sample: int, recall: float) -> DataFrame:
     spark = vectors.sparkSession
     ship(spark)
     rows = vectors.select("vec_id", "label", "embedding")
     keys = [F.xxhash64(F.lit(s), "label", "embedding").alias(f"k{s}") for s in (1, 2)]
     distinct = settle(
         rows.filter(usable()).groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors")
-    drawn = distinct.orderBy(F.xxhash64(F.lit("index"), "id"), "id").limit(sample).collect()
-    by_length: dict[int, list] = {}
-    for r in drawn:
-        by_length.setdefault(len(r.embedding), []).append(r.embedding)
-    indexes = {n: fit_index(np.array(v, np.float64), cosine, words, recall) for n, v in by_length.items()}
+    indexes = _indexes(distinct, cosine, words, sample, recall)
     shared = spark.sparkContext.broadcast(indexes)  # the codebooks
 
     def assign(batch):
@@ -184,15 +214,14 @@ def _linked(vectors: DataFrame, cosine: float, words: int, sample: int, recall:
             x = unit(flat[starts[chosen][:, None] + np.arange(length)])
             index = shared.value.get(int(length))
             if index is not None:
-                o, seen = index.visits(x)
-                own[chosen] = o
-                for i, s in zip(chosen, seen):
-                    cells[i] = np.flatnonzero(s).tolist()
+                for i, seen in zip(chosen, index.visits(x)):
+                    own[i], cells[i] = seen[0], seen
             for i, v in zip(chosen, x):
                 data[i] = v.tobytes()
-        return {"id": batch.column("id"), "copies": batch.column("copies"), "label": batch.column("label").cast(pa.int64()), "vec": data, "own": own, "cells": cells}
+        return {"id": batch.column("id"), "copies": batch.column("copies"), "label": batch.column("label"), "vec": data, "own": own, "cells": cells}
 
-    assigned = settle(map_batches(distinct, assign, ASSIGNED), "index")
+    named = distinct.withColumn("label", F.col("label").cast("string"))
+    assigned = settle(map_batches(named, assign, ASSIGNED), "index")
     # Lengths never mix: they are part of the cell's key.
     space = ["label", F.length("vec").alias("size")]
     visits = assigned.select(*space, F.explode("cells").alias("cell")).groupBy("label", "size", "cell").agg(F.count(F.lit(1)).alias("v"))

@@ -56,12 +56,40 @@ def test_traversal_is_in_order():
     assert [c[2] for c in cells] == sorted(c[2] for c in cells)
     x = r.standard_normal((300, 12))
     index = embedding_dedup.fit_index(x, 0.93)
-    u = embedding_dedup.unit(x[:1])
-    own, seen = index.visits(u)
-    d = [((w**2).sum(1) - 2 * h @ w.T)[0] for h, w in zip(np.split(u, 2, axis=1), (index.first, index.second))]
-    best = d[0].min() + d[1].min()
-    reached = [i * len(d[1]) + j for i, j, t in embedding_dedup.multi_sequence(*d) if t - best <= index.margin]
-    assert reached[0] == own[0] and sorted(reached) == np.flatnonzero(seen[0]).tolist()
+    for v, cells in zip(x[:50], index.visits(embedding_dedup.unit(x[:50]))):
+        u = v / np.linalg.norm(v)
+        grid = np.add.outer(((index.first - u[:6])**2).sum(1), ((index.second - u[6:])**2).sum(1)).ravel()
+        assert cells[0] == grid.argmin()
+        assert sorted(cells) == np.flatnonzero(grid - grid.min() <= index.margin).tolist()
+        assert (np.diff(grid[cells]) >= -1e-12).all()
+
+
+def test_grid_grows_with_the_table(spark):
+    """A larger table gets more words, and its vectors are compared with a smaller share at the same recall."""
+    r = np.random.default_rng(9)
+    x = embedding_dedup.unit(r.standard_normal((8_192, 32)))  # without clusters, whose size would bound the share
+    noise = r.standard_normal(x.shape)
+    near = 0.93 * x + math.sqrt(1 - 0.93**2) * embedding_dedup.unit(noise - (noise * x).sum(1, keepdims=True) * x)
+    shares = []
+    for vectors in (10_000, 1_000_000):
+        index = embedding_dedup.fit_index(x, 0.93, embedding_dedup.words_for(vectors, len(x)))
+        assert (index.met(x, near) <= index.margin).mean() > 0.999
+        cells = index.visits(x[:1000])
+        members = np.bincount([c[0] for c in index.visits(x)], minlength=len(index.first) * len(index.second)) / len(x)
+        shares.append(np.mean([members[c].sum() for c in cells]))
+    assert embedding_dedup.words_for(10_000, 8_192) == 8 and embedding_dedup.words_for(10**9, 8_192) == 256
+    assert shares[1] < shares[0] / 4
+
+
+def test_text_labels_and_a_large_grid(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "LENGTHS", 1)
+    r = np.random.default_rng(3)
+    rows = [(i, "ab"[i % 2], r.standard_normal(12).tolist()) for i in range(400)]
+    rows += [(i, "ab"[i % 2], (np.array(rows[i % 50][2]) + 0.2 * r.standard_normal(12)).tolist()) for i in range(400, 600)]
+    rows += [(i, "a", [1.0, float(i % 3)]) for i in range(600, 612)]
+    df = spark.createDataFrame(rows, "vec_id bigint, label string, embedding array<double>")
+    got = sorted((x.vec_id or -1, x.n_links, x.component_id, x.kept) for x in embedding_dedup.deduplicate(df, words=40).collect())
+    assert got == brute(rows, 0.93)
 
 
 def test_recall_at_the_threshold():
