@@ -115,15 +115,25 @@ def with_lifetime(
     return few.groupBy(key).transformWithState(Lifetime(), schema, "Append", "EventTime", start)
 
 
+#: What queries with keyed state run with, whatever the session names for others. Entries whose lifetime is over
+#: go with the next tick: a batch without rows would start every task of the state once more for nothing else.
+_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
 def store_keyed(marked: DataFrame, out: str, checkpoint: str) -> None:
-    """Append a stream of ``with_lifetime``, with the state store that keyed state needs, whatever the session names for others."""
-    conf, name = marked.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
-    before = conf.get(name)
-    conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """Append a stream of ``with_lifetime``, with the settings that keyed state needs."""
+    conf = marked.sparkSession.conf
+    before = {name: conf.get(name) for name in _SETTINGS}
     try:
+        for name, value in _SETTINGS.items():
+            conf.set(name, value)
         ingest(marked, out, checkpoint)
     finally:
-        conf.set(name, before)
+        for name, value in before.items():
+            conf.set(name, value)
 
 
 def keyed_threads(
