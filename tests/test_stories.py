@@ -54,3 +54,17 @@ def test_no_link_is_lost(spark):
     for percent in (50, 60, 75):
         got = {x["row_id"]: x["story_id"] for x in U.near_stories(df, percent=percent).collect()}
         assert got == plain(rows, percent)
+
+
+def test_pairs_that_cannot_agree_are_not_compared(spark, monkeypatch):
+    """Sets of words that are all frequent share some with most others: few of these pairs may travel with their words."""
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(r.sample(words, 12)), "") for i in range(300)]
+    rows += [(300 + i, rows[i][1] + " more", "") for i in range(20)]
+    seen, linked = [], U._linked
+    monkeypatch.setattr(U, "_linked", lambda pairs, *a: seen.append(pairs.count()) or linked(pairs, *a))
+    df = spark.createDataFrame(rows, "row_id BIGINT, title STRING, summary STRING")
+    got = {x["row_id"]: x["story_id"] for x in U.near_stories(df).collect()}
+    assert got == plain(rows, 60)
+    assert sum(seen) <= 3 * len(rows)
