@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pyarrow as pa
+
 from broadsheet import schemas
 from broadsheet.operators import articles as A
 from broadsheet.streaming import jobs, keyed
@@ -88,3 +90,17 @@ def test_threads_take_over_a_log(spark, tmp_path):
     got = spark.read.schema(schemas.THREAD).parquet(str(tmp_path / "out")).collect()
     assert sorted((r["title"], r["fetched_at"]) for r in got) == [("t4", START.replace(tzinfo=None)), ("t5", START.replace(tzinfo=None))]
     assert A.thread_articles(df).count() == 6
+
+
+def test_state_by_buckets_gives_what_state_by_keys_gives(spark, tmp_path):
+    """Two buckets for all keys; later the watermark passes every end and the store holds the last keys alone."""
+    ticks = made(4, [0, 3, 4, 6])
+    for i, how in enumerate((dict(), dict(sliding=True, inclusive=True))):
+        path = tmp_path / str(i)
+        assert run(spark, path, ticks, lifetime=dt.timedelta(days=7), buckets=2, **how) == plain(ticks, 7, **how)
+    later = [[(k, START + dt.timedelta(days=d), 0, [], 0) for k in ("z", *"abcdefgh")] for d in (100, 200)]
+    run(spark, path, later, lifetime=dt.timedelta(days=7), buckets=2, **how)
+    state = spark.read.format("statestore").option("path", str(path / "cp")).option("stateVarName", "entries").load()
+    held = [r["value"]["entries"] for r in state.collect()]
+    assert sorted(k for h in held for k in pa.ipc.open_stream(bytes(h)).read_all().column("key").to_pylist()) == sorted(("z", *"abcdefgh"))
+    assert len(held) <= 2
