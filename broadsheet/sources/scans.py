@@ -37,8 +37,12 @@ def decoded(content: Column) -> Column:
     return F.when(declared.isin(*_ONE_BYTE) | ~F.is_valid_utf8(text), one_byte).otherwise(F.ltrim(text, F.lit("\ufeff")))
 
 
-def plain_markup(body: Column) -> Column:
-    """Markup that an XML parser takes: CDATA as escaped text, no comments, names of characters resolved, bare ampersands escaped."""
+def plain_markup(rows: DataFrame) -> DataFrame:
+    """``body`` as markup that an XML parser takes: CDATA as escaped text, no comments, names of characters resolved, bare ampersands escaped.
+
+    Every step is a column of its own: an expression that names a text more than once would make it anew each time.
+    """
+    body = F.col("body")
     pieces = F.zip_with(F.split(body, _CDATA), F.regexp_extract_all(body, F.lit(_CDATA), F.lit(1)), lambda x, c: F.concat(x, F.coalesce(html_escape(c), F.lit(""))))
     flat = F.regexp_replace(F.when(F.contains(body, F.lit("<![CDATA[")), F.array_join(pieces, "")).otherwise(body), r"(?s)<!--.*?-->", "")
 
@@ -50,12 +54,14 @@ def plain_markup(body: Column) -> Column:
             .when(known.isNotNull(), F.concat(known, F.substr(after, F.length(name) + 2)))
             .otherwise(F.concat(F.lit("&amp;"), after)))
 
-    parts = F.split(flat, "&")
-    resolved = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), reference), ""))
-    text = F.when(F.contains(flat, F.lit("&")), resolved).otherwise(flat)
+    rows = once(rows, "_flat", flat).drop("body")
+    resolved = F.array_join(F.transform(F.split("_flat", "&"), lambda x, i: F.when(i == 0, x).otherwise(reference(x))), "")
+    rows = once(rows, "_text", F.when(F.contains("_flat", F.lit("&")), resolved).otherwise(F.col("_flat"))).drop("_flat")
     # A feed whose root has a prefix uses it for its own elements.
-    prefix = F.regexp_extract(text, r"<([A-Za-z_][\w.-]*):feed[\s>]", 1)
-    return F.when(prefix != "", F.regexp_replace(text, F.concat(F.lit(r"(</?)\Q"), prefix, F.lit(r"\E:")), F.lit("$1"))).otherwise(text)
+    rows = once(rows, "_prefix", F.regexp_extract("_text", r"<([A-Za-z_][\w.-]*):feed[\s>]", 1))
+    prefix, text = F.col("_prefix"), F.col("_text")
+    own = F.when(prefix != "", F.regexp_replace(text, F.concat(F.lit(r"(</?)\Q"), prefix, F.lit(r"\E:")), F.lit("$1"))).otherwise(text)
+    return once(rows, "body", own).drop("_text", "_prefix")
 
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -75,16 +81,23 @@ def _items(snapshots: DataFrame) -> DataFrame:
     The text is cut before each start of an item, so a broken item ends where the next
     begins. One that does not parse gives the elements that are closed.
     """
-    cut = F.filter(F.split(plain_markup(F.col("body")), r"(?=<(?:item|entry)[\s>])"), lambda x: x.rlike(r"^<(?:item|entry)[\s>]"))
-    rows = snapshots.select("landed", F.posexplode(cut).alias("feed_pos", "_piece"))
+    cut = F.filter(F.split("body", r"(?=<(?:item|entry)[\s>])"), lambda x: x.rlike(r"^<(?:item|entry)[\s>]"))
+    rows = plain_markup(snapshots.select("landed", "body")).select("landed", F.posexplode(cut).alias("feed_pos", "_piece"))
     # The expression is written twice in the plan otherwise.
     rows = once(rows, "_xml", F.regexp_extract("_piece", r"(?s)^<(item|entry)(?=[\s>]).*?</\1\s*>", 0))
     shape = T.StructType([*_ENTRY.fields, *schemas.shape("_broken").fields])
     rows = once(rows, "_p", F.from_xml(F.nullif("_xml", F.lit("")), shape, _PERMISSIVE))
-    closed = lambda name: F.nullif(F.btrim(unescape(F.regexp_extract("_piece", rf"(?s)<{name}(?:\s[^>]*)?>(.*?)</{name}\s*>", 1))), F.lit(""))
-    href = F.nullif(F.regexp_extract("_piece", r"""<link(?![^>]*rel\s*=\s*["'](?!alternate))[^>]*href\s*=\s*["']([^"']*)""", 1), F.lit(""))
-    link = F.struct(closed("link").alias("_VALUE"), unescape(href).alias("_href"), F.lit(None).cast("string").alias("_rel"))
     whole = F.col("_p").isNotNull() & F.col("_p._broken").isNull()
+    tag = lambda name: F.regexp_extract("_piece", rf"(?s)<{name}(?:\s[^>]*)?>(.*?)</{name}\s*>", 1)
+    href = F.regexp_extract("_piece", r"""<link(?![^>]*rel\s*=\s*["'](?!alternate))[^>]*href\s*=\s*["']([^"']*)""", 1)
+    rows = once(rows, "_cut", F.when(~whole, F.struct(*[tag(n).alias(n) for n in (*_FIELDS, "link")], href.alias("href"))))
+    raw = F.col("_cut")
+    rows = once(rows, "_closed", F.when(~whole, F.struct(
+        *[F.btrim(unescape(raw[n])).alias(n) for n in (*_FIELDS, "link")], unescape(raw["href"]).alias("href"))))
+    closed = lambda name: F.nullif(F.col("_closed")[name], F.lit(""))
+    # An address is kept as written, an empty one counts as none.
+    href = F.when(raw["href"] != "", F.col("_closed")["href"])
+    link = F.struct(closed("link").alias("_VALUE"), href.alias("_href"), F.lit(None).cast("string").alias("_rel"))
     salvaged = F.struct(*[closed(n).alias(n) for n in _FIELDS], F.array(link).alias("link"), F.lit(None).cast("string").alias("_broken"))
     rows = once(rows, "_e", F.when(whole, F.col("_p")).otherwise(salvaged))
     some = F.coalesce(F.col("_e.title"), F.get("_e.link", F.lit(0))["_VALUE"], F.get("_e.link", F.lit(0))["_href"]).isNotNull()

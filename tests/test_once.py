@@ -30,3 +30,10 @@ def test_feed_health_parses_items_once(spark, tmp_path):
     """Only the form of whole snapshots is looked at beside the one parse of the items."""
     assert explained(queries()["src4_feed_health"](spark, SF)).count("FileScan binaryFile") == 1
     assert sorted(r["state"] for r in scans.feed_states(snapshots(spark, tmp_path)).collect()) == ["lost", "recovered", "whole"]
+
+
+def test_markup_is_settled_once_per_snapshot(spark, tmp_path):
+    """The pattern of CDATA stands in the plan where the text is cut and where the pieces are taken, and nowhere else."""
+    rows = scans.feed_entries(snapshots(spark, tmp_path))
+    assert explained(rows).count(r"<!\[CDATA\[(.*?)\]\]>") == 2
+    assert [r["title"] for r in rows.orderBy("feed_pos").collect()] == ["a & b", "x"]
