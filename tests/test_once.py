@@ -37,3 +37,14 @@ def test_markup_is_settled_once_per_snapshot(spark, tmp_path):
     rows = scans.feed_entries(snapshots(spark, tmp_path))
     assert explained(rows).count(r"<!\[CDATA\[(.*?)\]\]>") == 2
     assert [r["title"] for r in rows.orderBy("feed_pos").collect()] == ["a & b", "x"]
+
+
+def test_sweep_looks_for_signals_once(spark):
+    rows = G.payload_rows(Tables(spark, SF).payloads(), G.KEY_FIELDS)
+    assert explained(rows).count("$.signals") == 1
+
+
+def test_signals_read_the_rest_of_kept_entries_only(spark):
+    """What a signal says beside its key is read above the dedup."""
+    plan = explained(Tables(spark, SF).signals())
+    assert plan.index("StructField(relevance") < plan.index("WindowGroupLimit") < plan.index("StructField(subject")
