@@ -48,3 +48,16 @@ def test_signals_read_the_rest_of_kept_entries_only(spark):
     """What a signal says beside its key is read above the dedup."""
     plan = explained(Tables(spark, SF).signals())
     assert plan.index("StructField(relevance") < plan.index("WindowGroupLimit") < plan.index("StructField(subject")
+
+
+def test_payloads_are_compiled_and_dealt_out(spark):
+    """The JVM compiles no method over 8,000 bytes; a table in one file is parsed by all tasks."""
+    assert re.search(r"Exchange hashpartitioning\(event_id", explained(Tables(spark, SF).payloads()))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        code = explained(Tables(spark, SF).payloads(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
