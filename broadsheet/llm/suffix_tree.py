@@ -15,7 +15,7 @@ longest kept suffix of what stands before it.
 
 A pass over the texts counts two levels: tasks follow the contexts known so far, sum in
 arrays and send one row per context and next symbol; the driver gets the sums of these
-levels, bounded as above. The last pass scores the texts and cuts its input into
+levels, bounded as above, and holds only the pairs of a context and a symbol that occur. The last pass scores the texts and cuts its input into
 blocks. The words of a block, each once, fetch their counts over the whole corpus by a
 shuffle and come back to the block, so the base score needs neither a broadcast
 vocabulary nor a row per token. Words meet by 64 bits of a hash.
@@ -29,7 +29,6 @@ empty table. Extra columns are ignored.
 from __future__ import annotations
 
 import math
-import pickle
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
@@ -55,6 +54,8 @@ DIVERGENCE = 0.02
 QUANTILE = 3.0
 END = 10
 SYMBOLS = 256
+#: Contexts whose counts the driver has as a table of all symbols at a time.
+ROWS = 1 << 12
 #: Bytes of a piece of a text, symbols that are worked on at a time, tokens and bytes of a block.
 PIECE = 1 << 16
 CHUNK = 1 << 16
@@ -156,6 +157,38 @@ class Trie:
         self.sizes.append(len(prefixes))
 
 
+@dataclass
+class Counts:
+    """How often each symbol follows each context of a level; pairs that never stand together take no room."""
+
+    keys: np.ndarray  # number of the context by the width, and the symbol's code; ascending
+    n: np.ndarray
+    width: int
+
+    @classmethod
+    def of(cls, table: np.ndarray) -> Counts:
+        keys = np.flatnonzero(table)
+        return cls(keys, table.ravel()[keys], table.shape[1])
+
+    def rows(self, contexts: np.ndarray) -> np.ndarray:
+        """The counts of some contexts as a table."""
+        first, end = (np.searchsorted(self.keys, c * self.width) for c in (contexts, contexts + 1))
+        many = end - first
+        row = np.repeat(np.arange(len(contexts)), many)
+        at = np.arange(len(row)) + np.repeat(first - (np.cumsum(many) - many), many)
+        table = np.zeros((len(contexts), self.width), np.int64)
+        table[row, self.keys[at] % self.width] = self.n[at]
+        return table
+
+    def only(self, contexts: np.ndarray, size: int) -> Counts:
+        """Some of ``size`` contexts, named in ascending order and numbered anew."""
+        number = np.full(size, -1)
+        number[contexts] = np.arange(len(contexts))
+        number = number[self.keys // self.width]
+        known = number >= 0
+        return Counts(number[known] * self.width + self.keys[known] % self.width, self.n[known], self.width)
+
+
 @dataclass
 class Model:
     trie: Trie
@@ -173,7 +206,7 @@ class Model:
 
 
 def _sums(docs: DataFrame, find: Callable[[np.ndarray, int], tuple[np.ndarray, int]], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """How often each key stands in what ``find`` makes of all texts: keys of a run, and how many there can be."""
+    """How often each key stands in what ``find`` makes of all texts: keys of a run, and how many there can be. Ascending."""
     arrow = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
@@ -190,7 +223,8 @@ def _sums(docs: DataFrame, find: Callable[[np.ndarray, int], tuple[np.ndarray, i
                 yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part], pa.int64())], schema=arrow)
 
     found = map_stream(docs.select("text"), run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    return found.column("key").to_numpy(), found.column("n").to_numpy()
+    order = np.argsort(found.column("key").to_numpy())
+    return found.column("key").to_numpy()[order], found.column("n").to_numpy()[order]
 
 
 def _pairs(symbols: np.ndarray, lead: int) -> tuple[np.ndarray, int]:
@@ -230,35 +264,35 @@ def fit(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, least: int =
     code = np.full(SYMBOLS, len(seen), np.int64)
     code[seen] = np.arange(len(seen))
     trie = Trie(code, len(seen) + 1)
-    counts = [np.append(single[seen], 0)[None, :]]
+    counts = [Counts.of(np.append(single[seen], 0)[None, :])]
     bound = max(least, math.ceil(share * int(single.sum())))
 
     def grow() -> int:
         """Add the next level; a text ends at its end symbol, which is never part of a context."""
-        often = counts[-1] >= bound
-        often[:, code[END]] = False
-        trie.add(*np.nonzero(often))
+        prefixes, codes = np.divmod(counts[-1].keys, trie.width)
+        often = (counts[-1].n >= bound) & (codes != code[END])
+        trie.add(prefixes[often], codes[often])
         return trie.sizes[-1]
 
     if depth and grow():
         table = np.zeros((trie.sizes[1], trie.width), np.int64)
         table[:, :-1] = pairs[:SYMBOLS * SYMBOLS].reshape(SYMBOLS, SYMBOLS)[seen[np.nonzero(trie.steps[0][0] < trie.sizes[1])[0]]][:, seen]
-        counts.append(table)
+        counts.append(Counts.of(table))
     while trie.sizes[-1] and len(trie.steps) < depth and grow():
         level = len(trie.steps)
-        ahead = pickle.loads(pickle.dumps(trie))
+        ahead = Trie(trie.code, trie.width, list(trie.steps), list(trie.sizes))
         if level < depth:
             ahead.add(*np.nonzero(trie.steps[-1][suffixes(trie)[-1]] < trie.sizes[-1]))
         shared = docs.sparkSession.sparkContext.broadcast(ahead)  # at most 1 / share contexts a level, and their next symbols
         keys, n = _sums(docs, _levels(shared, level), depth)
-        shared.unpersist()
-        sums = np.zeros(sum(ahead.sizes[level:]) * trie.width, np.int64)
-        sums[keys] = n
-        counts.append(sums[:trie.sizes[level] * trie.width].reshape(-1, trie.width))
+        shared.destroy()
+        own = int(np.searchsorted(keys, trie.sizes[level] * trie.width))
+        counts.append(Counts(keys[:own], n[:own], trie.width))
         if level < depth and grow():
             # The deeper contexts that are frequent indeed.
             chosen = ahead.steps[-1][np.nonzero(trie.steps[-1][:-1] < trie.sizes[-1])]
-            counts.append(sums[trie.sizes[level] * trie.width:].reshape(-1, trie.width)[chosen])
+            deeper = Counts(keys[own:] - trie.sizes[level] * trie.width, n[own:], trie.width)
+            counts.append(deeper.only(chosen, ahead.sizes[-1]))
     return smoothed(trie, counts, divergence, quantile)
 
 
@@ -286,33 +320,40 @@ def diverging(table: np.ndarray, base: np.ndarray, divergence: float, quantile:
     return (2 * gain >= needed) & (gain >= divergence * n[:, 0])
 
 
-def smoothed(trie: Trie, counts: list[np.ndarray], divergence: float, quantile: float) -> Model:
-    """Kept contexts, and the distribution of each after that of its suffix."""
+def smoothed(trie: Trie, counts: list[Counts], divergence: float, quantile: float) -> Model:
+    """Kept contexts, and the distribution of each after that of its suffix. Tables of all symbols are made of some contexts at a time."""
     shorter = suffixes(trie)
-    keep = [np.ones(1, bool)] + [
-        diverging(counts[level], counts[level - 1][shorter[level - 1]], divergence, quantile) if trie.sizes[level] else np.zeros(0, bool)
-        for level in range(1, len(counts))]
+
+    def some(level: int) -> Iterator[np.ndarray]:
+        for at in range(0, trie.sizes[level], ROWS):
+            yield np.arange(at, min(at + ROWS, trie.sizes[level]))
+
+    keep = [np.ones(1, bool)]
+    for level in range(1, len(counts)):
+        keep.append(np.zeros(trie.sizes[level], bool))
+        for part in some(level):
+            keep[level][part] = diverging(counts[level].rows(part), counts[level - 1].rows(shorter[level - 1][part]), divergence, quantile)
     for level in range(len(keep) - 1, 0, -1):
         keep[level - 1][shorter[level - 1][keep[level]]] = True
     # One more of each of all symbols; the last column is any one of those not seen.
-    single = counts[0][0]
-    chances = [((single + 1) / (single.sum() + SYMBOLS))[None, :]]
-    rows, kept = [np.array([0, -1])], [chances[0]]
+    single = counts[0].rows(np.zeros(1, np.int64))
+    chances = (single + 1) / (single.sum() + SYMBOLS)
+    rows, logs = [np.array([0, -1])], [np.log10(chances).astype(np.float32)]
     at = 1
     for level in range(1, len(keep)):
-        suffix, table = shorter[level - 1], counts[level]
-        below = chances[-1][suffix]
-        own = table.sum(1, keepdims=True)
-        weight = np.maximum((table > 0).sum(1, keepdims=True), 1)
-        here = np.where(keep[level][:, None], (table + weight * below) / (own + weight), below)
+        suffix, here = shorter[level - 1], np.empty((trie.sizes[level], trie.width))
+        for part in some(level):
+            table, below, own = counts[level].rows(part), chances[suffix[part]], keep[level][part]
+            weight = np.maximum((table > 0).sum(1, keepdims=True), 1)
+            here[part] = np.where(own[:, None], (table + weight * below) / (table.sum(1, keepdims=True) + weight), below)
+            logs.append(np.log10(here[part[own]]).astype(np.float32))
         place = np.where(keep[level], at + np.cumsum(keep[level]) - 1, rows[-1][suffix])
         at += int(keep[level].sum())
-        kept.append(here[keep[level]])
-        chances.append(here)
+        chances = here
         rows.append(np.append(place, -1))
     # A last level without a context has no counts.
     rows += [np.array([-1])] * (len(trie.steps) + 1 - len(rows))
-    return Model(trie, rows, np.log10(np.concatenate(kept)).astype(np.float32))
+    return Model(trie, rows, np.concatenate(logs))
 
 
 @dataclass
@@ -404,6 +445,7 @@ def score(docs: DataFrame, model: Model, held: Column) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)  # at most 1 / SHARE contexts a level
     with passing_scratch(spark) as keep:
         made = settle(map_stream(docs.select("doc_id", held.alias("held_out"), "text"), _blocks(shared), f"block bigint, {PART}, {WORD}"), "blocks")
+        shared.destroy()  # what the tasks made of it is written
         words = made.filter(F.col("word").isNotNull())
         counts = settle(words.groupBy("word").agg(F.sum("train").alias("c")), "word-counts")
         size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()

@@ -3,6 +3,7 @@
 import math
 import pickle
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from zlib import crc32
 
@@ -181,3 +182,16 @@ def test_held_out_texts_are_predicted(spark):
     from pyspark.sql import functions as F
     r = out.filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert r[0] > 1.05 * r[1]
+
+
+def test_driver_holds_pairs_that_occur(spark):
+    """Fitting never has the tables of all levels, each context by all symbols, at once."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    tracemalloc.start()
+    try:
+        model = S.fit(docs, least=8, share=1e-7)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    dense = sum(model.trie.sizes) * model.trie.width * 8
+    assert dense > 30e6 and peak < 2 * dense
