@@ -61,3 +61,11 @@ def test_payloads_are_compiled_and_dealt_out(spark):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
     assert sizes and max(sizes) < 8000
+
+
+def test_payloads_keep_their_number_of_tasks(spark):
+    """Joined by size, events come to about one task a core, and the last of them runs alone."""
+    payloads = Tables(spark, SF).payloads()
+    payloads.collect()
+    assert "REPARTITION_BY_NUM" in explained(payloads)
+    assert payloads.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
