@@ -4,8 +4,11 @@ import contextlib
 import io
 import re
 
+import pytest
+
 from __spark_entry__ import queries
 from broadsheet.operators import signals as G
+from broadsheet.plans import catalog
 from broadsheet.plans.bindings import Tables
 from broadsheet.sources import scans
 
@@ -69,3 +72,18 @@ def test_payloads_keep_their_number_of_tasks(spark):
     payloads.collect()
     assert "REPARTITION_BY_NUM" in explained(payloads)
     assert payloads.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
+class Taken(Exception):
+    """Ends a query where its first run begins."""
+
+
+def test_runs_share_one_intake(spark, monkeypatch):
+    """Three runs look at the articles of a day several times each; the table of documents is read once."""
+    def run(log, articles, *_, **__):
+        raise Taken(explained(articles))
+
+    monkeypatch.setattr(catalog, "run_daily", run)
+    with pytest.raises(Taken) as taken:
+        queries()["snk2_commit"](spark, SF)
+    assert "documents.parquet" not in str(taken.value)
